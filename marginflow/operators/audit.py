@@ -19,6 +19,7 @@ from marginflow.operators.cleaning import as_number, outside
 from marginflow.settings import (
     CALENDAR_TABLE, DELIVERED, FORBIDDEN_COLUMN_TOKENS, Bounds, Settings, TableContract,
 )
+from marginflow.sources.inline import values_table
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 RESULT_COLUMNS = ("table_name", "check_name", "status", "severity", "blocking", "violations",
@@ -200,9 +201,8 @@ def funnel(df: DataFrame, stages: Sequence[str]) -> DataFrame:
 
 def column_listing(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, column_name) of a layer, from its schemas."""
-    return spark.createDataFrame(
-        [(t, c) for t, df in tables.items() for c in df.columns],
-        "table_name string, column_name string")
+    return values_table(spark, [(t, c) for t, df in tables.items() for c in df.columns],
+                        "table_name string, column_name string")
 
 
 def leakage(listing: DataFrame, forbidden: Sequence[str] = FORBIDDEN_COLUMN_TOKENS) -> DataFrame:

@@ -11,7 +11,8 @@ The per-slice summaries are broadcast. Their size is bounded by the number of sl
 partitions of the session) times the number of ``by`` groups, so ``by`` must name vocabulary
 columns such as a category, never an entity id.
 
-Use ordinary windows instead where the number of rows is bounded by a vocabulary.
+Inputs that Spark would call small enough to broadcast take ordinary windows instead; both ways
+give the same rows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import quotient
+from marginflow.operators.sizing import fits_one_task
 from marginflow.sources.scratch import durable
 
 SLICE = "slice_id"
@@ -30,15 +32,103 @@ ROW = "slice_row"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def place(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Rows in ordered slices, numbered from 0 inside the slice. ``order`` must be unique."""
-    sorted_slices = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = sorted_slices.withColumn(ROW, F.monotonically_increasing_id())
-    return durable(
-        numbered.withColumn(SLICE, F.shiftright(ROW, _ROW_BITS).cast("int"))
-        .withColumn(ROW, F.col(ROW).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))),
-        "placed",
-    )
+class Ordered:
+    """Rows under a total order. ``order`` has to be unique; each step adds a column."""
+
+    def __init__(self, df: DataFrame, order: Sequence[Column],
+                 spread: bool | None = None) -> None:
+        self._order = list(order)
+        self._spread = not fits_one_task(df) if spread is None else spread
+        self._df = self._place(df) if self._spread else df
+
+    @property
+    def rows(self) -> DataFrame:
+        return self._df.drop(SLICE, ROW) if self._spread else self._df
+
+    def _place(self, df: DataFrame) -> DataFrame:
+        """Ordered slices, rows numbered from 0 inside the slice."""
+        numbered = (df.repartitionByRange(*self._order).sortWithinPartitions(*self._order)
+                    .withColumn(ROW, F.monotonically_increasing_id()))
+        return durable(
+            numbered.withColumn(SLICE, F.shiftright(ROW, _ROW_BITS).cast("int"))
+            .withColumn(ROW, F.col(ROW).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))), "placed")
+
+    def position(self, name: str, by: Sequence[str] = (),
+                 count_name: str | None = None) -> Ordered:
+        """1-based position of each row, overall or inside its ``by`` group, and group size."""
+        if not self._spread:
+            self._df = self._df.withColumn(
+                name, F.row_number().over(W.partitionBy(*by).orderBy(*self._order))
+                .cast("bigint"))
+            if count_name:
+                self._df = self._df.withColumn(
+                    count_name, F.count(F.lit(1)).over(W.partitionBy(*by)))
+            return self
+        local = F.col(ROW) + 1
+        if by:
+            local = F.row_number().over(W.partitionBy(SLICE, *by).orderBy(ROW))
+        return self._accumulate(local, F.count(F.lit(1)), "bigint", name, by, count_name)
+
+    def running_total(self, value: str, name: str, by: Sequence[str] = (),
+                      total_name: str | None = None) -> Ordered:
+        """Inclusive running total of ``value``, and the total."""
+        kind = self._df.schema[value].dataType.simpleString()
+        kind = "decimal(38,4)" if kind.startswith("decimal") else kind
+        if not self._spread:
+            upto = (W.partitionBy(*by).orderBy(*self._order)
+                    .rowsBetween(W.unboundedPreceding, W.currentRow))
+            self._df = self._df.withColumn(name, F.sum(value).over(upto).cast(kind))
+            if total_name:
+                self._df = self._df.withColumn(
+                    total_name, F.sum(value).over(W.partitionBy(*by)).cast(kind))
+            return self
+        inside = (W.partitionBy(SLICE, *by).orderBy(ROW)
+                  .rowsBetween(W.unboundedPreceding, W.currentRow))
+        return self._accumulate(F.sum(value).over(inside), F.sum(value), kind, name, by,
+                                total_name)
+
+    def _accumulate(self, local: Column, per_slice: Column, kind: str, name: str,
+                    by: Sequence[str], total_name: str | None) -> Ordered:
+        """``local`` inside the slice plus ``per_slice`` of all earlier slices."""
+        every = W.partitionBy(*by)
+        earlier = every.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+        summary = (
+            self._df.groupBy(SLICE, *by).agg(per_slice.cast(kind).alias("_here"))
+            .select(SLICE, *by,
+                    F.coalesce(F.sum("_here").over(earlier), F.lit(0)).cast(kind)
+                    .alias("_before"),
+                    F.sum("_here").over(every).cast(kind).alias("_all")))
+        joined = _join_slices(self._df.withColumn("_local", local.cast(kind)), summary, by)
+        added = joined.withColumn(name, (F.col("_before") + F.col("_local")).cast(kind))
+        if total_name:
+            added = added.withColumn(total_name, F.col("_all"))
+        self._df = added.drop("_local", "_before", "_all")
+        return self
+
+    def tie_rank(self, position: str, name: str, ties: Sequence[str]) -> Ordered:
+        """Smallest position among rows equal on ``ties``, which must lead the order.
+
+        Equal rows inside one slice are resolved there. Only the first and last key of a slice
+        can reach into another one, so at most two keys per slice are looked up.
+        """
+        if not self._spread:
+            self._df = self._df.withColumn(name, F.min(position).over(W.partitionBy(*ties)))
+            return self
+        local = self._df.withColumn(
+            "_start", F.min(position).over(W.partitionBy(SLICE, *ties)))
+        ends = self._df.groupBy(SLICE).agg(F.max(ROW).alias("_last"))
+        edges = (
+            _join_slices(local, ends, ())
+            .filter((F.col(ROW) == 0) | (F.col(ROW) == F.col("_last")))
+            .groupBy(*ties).agg(F.min("_start").alias("_edge"))
+        ).select(*[F.col(c).alias(f"_{c}") for c in ties], "_edge")
+        match = F.lit(True)
+        for c in ties:
+            match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        self._df = (local.join(F.broadcast(edges), match, "left")
+                    .withColumn(name, F.coalesce("_edge", "_start"))
+                    .drop("_edge", "_start", *[f"_{c}" for c in ties]))
+        return self
 
 
 def _join_slices(placed: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -54,49 +144,6 @@ def _join_slices(placed: DataFrame, summary: DataFrame, by: Sequence[str]) -> Da
     return placed.join(F.broadcast(renamed), match).drop("_slice", *[f"_{c}" for c in by])
 
 
-def add_position(placed: DataFrame, name: str, by: Sequence[str] = (),
-                 count_name: str | None = None) -> DataFrame:
-    """1-based position of each row, overall or inside its ``by`` group, and the group size."""
-    every = W.partitionBy(*by)
-    earlier = every.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-    summary = (
-        placed.groupBy(SLICE, *by).agg(F.count(F.lit(1)).alias("_here"))
-        .select(SLICE, *by,
-                F.coalesce(F.sum("_here").over(earlier), F.lit(0)).alias("_before"),
-                F.sum("_here").over(every).alias("_all")))
-    local = F.col(ROW) + 1
-    if by:
-        local = F.row_number().over(W.partitionBy(SLICE, *by).orderBy(ROW))
-    out = _join_slices(placed.withColumn("_local", local), summary, by)
-    out = out.withColumn(name, F.col("_before") + F.col("_local"))
-    if count_name:
-        out = out.withColumn(count_name, F.col("_all"))
-    return out.drop("_local", "_before", "_all")
-
-
-def add_tie_rank(positioned: DataFrame, position: str, name: str,
-                 ties: Sequence[str]) -> DataFrame:
-    """Smallest position among rows equal on ``ties`` (which must lead the placing order).
-
-    Equal rows inside one slice are resolved there. Only the first and last key of a slice can
-    reach into another one, so at most two keys per slice are looked up.
-    """
-    local = positioned.withColumn(
-        "_start", F.min(position).over(W.partitionBy(SLICE, *ties)))
-    ends = positioned.groupBy(SLICE).agg(F.max(ROW).alias("_last"))
-    edges = (
-        _join_slices(local, ends, ())
-        .filter((F.col(ROW) == 0) | (F.col(ROW) == F.col("_last")))
-        .groupBy(*ties).agg(F.min("_start").alias("_edge"))
-    ).select(*[F.col(c).alias(f"_{c}") for c in ties], "_edge")
-    match = F.lit(True)
-    for c in ties:
-        match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return (local.join(F.broadcast(edges), match, "left")
-            .withColumn(name, F.coalesce("_edge", "_start"))
-            .drop("_edge", "_start", *[f"_{c}" for c in ties]))
-
-
 def percent_rank(tie_rank: Column, rows: Column) -> Column:
     """(rank - 1) / (n - 1); 0 for a single row."""
     return F.when(rows > 1, quotient(tie_rank - 1, rows - 1)).otherwise(F.lit(0.0))
@@ -108,43 +155,28 @@ def tile(position: Column, rows: Column, tiles: int) -> Column:
     long_rows = (rows % F.lit(tiles)) * (size + 1)
     return F.when(
         position <= long_rows, F.floor((position - 1) / (size + 1)) + 1,
-    ).otherwise(rows % F.lit(tiles) + F.floor((position - long_rows - 1) / F.greatest(size, F.lit(1))) + 1).cast("int")
-
-
-def add_running_total(placed: DataFrame, value: str, name: str, by: Sequence[str] = (),
-                      total_name: str | None = None) -> DataFrame:
-    """Inclusive running total of ``value`` in placed order, and the total."""
-    every = W.partitionBy(*by)
-    earlier = every.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-    kind = placed.schema[value].dataType.simpleString()
-    wide = "decimal(38,4)" if kind.startswith("decimal") else kind
-    summary = (
-        placed.groupBy(SLICE, *by).agg(F.sum(value).cast(wide).alias("_here"))
-        .select(SLICE, *by,
-                F.coalesce(F.sum("_here").over(earlier), F.lit(0)).cast(wide).alias("_before"),
-                F.sum("_here").over(every).cast(wide).alias("_all")))
-    inside = (W.partitionBy(SLICE, *by).orderBy(ROW)
-              .rowsBetween(W.unboundedPreceding, W.currentRow))
-    local = placed.withColumn("_local", F.sum(value).over(inside).cast(wide))
-    out = _join_slices(local, summary, by)
-    out = out.withColumn(name, (F.col("_before") + F.col("_local")).cast(wide))
-    if total_name:
-        out = out.withColumn(total_name, F.col("_all"))
-    return out.drop("_local", "_before", "_all")
+    ).otherwise(
+        rows % F.lit(tiles) + F.floor((position - long_rows - 1) / F.greatest(size, F.lit(1))) + 1
+    ).cast("int")
 
 
 def exact_quantiles(df: DataFrame, column: str, points: dict[str, float],
-                    by: Sequence[str] = ()) -> DataFrame:
+                    by: Sequence[str] = (), spread: bool | None = None) -> DataFrame:
     """Interpolated quantiles of the non-null values, one row per ``by`` group.
 
-    Values are first counted, so frequent values cost one row each; the counted values are then
-    accumulated in order across slices. No group is ever held in one task.
+    Small inputs take the exact percentile aggregate, which holds a group's values in one task.
+    Otherwise values are first counted, so frequent values cost one row each, and the counted
+    values are accumulated in order across slices.
     """
-    counted = (df.filter(F.col(column).isNotNull())
-               .groupBy(*by, F.col(column).cast("double").alias("_v"))
-               .agg(F.count(F.lit(1)).alias("_n")))
-    order = [F.col(c).asc() for c in (*by, "_v")]
-    cumulated = add_running_total(place(counted, order), "_n", "_upto", by, "_rows")
+    known = df.filter(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
+    if spread is None:
+        spread = not fits_one_task(known)
+    if not spread:
+        return known.groupBy(*by).agg(
+            *[F.percentile("_v", F.lit(float(p))).alias(n) for n, p in points.items()])
+    counted = known.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    cumulated = Ordered(counted, [F.col(c).asc() for c in (*by, "_v")], spread=True) \
+        .running_total("_n", "_upto", by, "_rows").rows
     hits, values = F.lit(False), []
     for name, point in points.items():
         at = F.lit(float(point)) * (F.col("_rows") - 1)

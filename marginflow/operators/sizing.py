@@ -1,0 +1,30 @@
+"""How large Catalyst expects a result to be."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _bytes(text: str) -> int:
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text.strip().lower()).groups()
+    return int(number) * _UNITS[unit]
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size statistic of the optimized plan: file sizes at the leaves, bounds above them."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes()))
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """True for inputs that Spark itself would call small enough to broadcast.
+
+    No job runs. Without statistics the estimate is huge and the answer is no.
+    """
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return 0 <= estimated_bytes(df) <= limit

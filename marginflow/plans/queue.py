@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import half_up
 from marginflow.functions.text import whole
-from marginflow.operators.ranking import add_position, place, tile
+from marginflow.operators.ranking import Ordered, tile
 from marginflow.settings import INTERVENTIONS, Settings
+from marginflow.sources.scratch import durable
 
 QUEUE_COLUMNS = (
     "intervention_id", "entity_type", "entity_id", "category", "seller_id", "intervention_type",
@@ -148,11 +149,11 @@ def intervention_queue(listings: DataFrame, sellers: DataFrame,
     One range shuffle serves all three: the rows are placed once, and the position inside a
     category counts the earlier rows of that category.
     """
-    placed = place(proposals(listings, sellers, settings), [
+    by_amount = Ordered(durable(proposals(listings, sellers, settings), "proposals"), [
         F.col("opportunity").desc(), F.col("entity_type").asc(), F.col("entity_id").asc(),
         F.col("intervention_type").asc()])
-    ranked = add_position(placed, "global_priority_rank", count_name="_all_rows")
-    ranked = add_position(ranked, "category_priority_rank", ("category",))
+    ranked = (by_amount.position("global_priority_rank", count_name="_all_rows")
+              .position("category_priority_rank", ("category",)).rows)
     third = tile(F.col("global_priority_rank"), F.col("_all_rows"), 3)
     recovered, reduced = F.round("opportunity", 2), F.round("cost_reduction", 2)
     return ranked.withColumns({

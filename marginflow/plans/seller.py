@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from marginflow.functions.numeric import (
     count_where, half_up, quotient, rate, sum_where, weighted_mean,
 )
-from marginflow.operators.ranking import add_position, add_tie_rank, percent_rank, place
+from marginflow.operators.ranking import Ordered, percent_rank
 from marginflow.settings import TIER_PRIOR, TRUST_WEIGHTS, Settings
 from marginflow.sources.scratch import durable
 
@@ -150,23 +150,23 @@ def seller_base(sellers: DataFrame, listings: DataFrame, order_lines: DataFrame,
 
 def add_cost_rank(base: DataFrame, settings: Settings) -> DataFrame:
     """Rank of failed-delivery cost and the flag of its most expensive share of sellers."""
-    placed = place(base, [F.col("seller_rto_cost").desc(), F.col("seller_id").asc()])
-    ranked = add_tie_rank(add_position(placed, "rto_cost_rank", count_name="_sellers"),
-                          "rto_cost_rank", "_rank", ("seller_rto_cost",))
+    by_cost = Ordered(base, [F.col("seller_rto_cost").desc(), F.col("seller_id").asc()])
+    ranked = (by_cost.position("rto_cost_rank", count_name="_sellers")
+              .tie_rank("rto_cost_rank", "_rank", ("seller_rto_cost",)).rows)
     share = percent_rank(F.col("_rank"), F.col("_sellers"))
     return (ranked.withColumn("is_top_decile_rto_cost", share <= settings.toxic_top_fraction)
-            .drop("_rank", "_sellers", "slice_id", "slice_row"))
+            .drop("_rank", "_sellers"))
 
 
 def add_peer_percentile(base: DataFrame) -> DataFrame:
     """Percentile of the net margin among sellers with the same primary category."""
-    placed = place(base, [F.col("primary_category").asc_nulls_last(),
-                          F.col("net_margin_after_returns").asc(), F.col("seller_id").asc()])
-    at = add_position(placed, "_at", ("primary_category",), "_peers")
-    ranked = add_tie_rank(at, "_at", "_rank", ("primary_category", "net_margin_after_returns"))
+    peers = Ordered(base, [F.col("primary_category").asc_nulls_last(),
+                           F.col("net_margin_after_returns").asc(), F.col("seller_id").asc()])
+    ranked = (peers.position("_at", ("primary_category",), "_peers")
+              .tie_rank("_at", "_rank", ("primary_category", "net_margin_after_returns")).rows)
     return (ranked.withColumn("seller_percentile_within_category",
                               half_up(percent_rank(F.col("_rank"), F.col("_peers")), 4))
-            .drop("_at", "_rank", "_peers", "slice_id", "slice_row"))
+            .drop("_at", "_rank", "_peers"))
 
 
 def seller_metrics(sellers: DataFrame, listings: DataFrame, order_lines: DataFrame,

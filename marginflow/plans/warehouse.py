@@ -52,12 +52,23 @@ class GuardFailure(RuntimeError):
 class Warehouse:
     def __init__(self, raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
                  store: Callable[[DataFrame, str], DataFrame] = durable) -> None:
-        self.raw = dict(raw)
+        self.raw = raw
         self.settings = settings
         self._store = store
         self._plans: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
 
+    # -- raw layer -----------------------------------------------------------------------
+    def landed(self) -> dict[str, DataFrame]:
+        """The raw layer as written tables, for work that reads each table many times."""
+        return {name: self._written(f"bronze {name}", self.raw[name])
+                for name in self.settings.contracts}
+
+    def _written(self, key: str, df: DataFrame) -> DataFrame:
+        if key not in self._stored:
+            self._stored[key] = self._store(df, key.replace(" ", "-"))
+        return self._stored[key]
+
     # -- cleaned layer -------------------------------------------------------------------
     def cleaned(self, name: str) -> DataFrame:
         """One table after its own rules, without flags that need other tables."""
@@ -100,6 +111,11 @@ class Warehouse:
         names = (CALENDAR_TABLE, *self.settings.cleaning, *PASS_THROUGH)
         return {name: self.silver(name) for name in names}
 
+    def stored_silver(self) -> dict[str, DataFrame]:
+        """The cleaned layer as written tables."""
+        return {name: self._written(f"silver {name}", df)
+                for name, df in self.silver_layer().items()}
+
     def key_guard(self) -> DataFrame:
         """(table_name, duplicate_rows, status) of every deduplicated table."""
         return union_all([

@@ -9,6 +9,7 @@ keys, as listed in ``oracles/prelude.py`` in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +25,25 @@ CALENDAR_END = "2000-12-31"
 LISTINGS_PER_SELLER = 20
 
 
+# Columns the bridge reads, with their declared types
+GENERIC_DDL = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "ts timestamp_ntz, user_id bigint, event_type string",
+}
+
+
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(GENERIC_DDL[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _cents(c: Column) -> Column:
@@ -52,7 +70,7 @@ def _unit_price() -> Column:
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     lines, orders = scan(spark, folder, "lineitem"), scan(spark, folder, "orders")
-    buyers = scan(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    buyers = scan(spark, folder, "customer")
     joined = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(buyers, F.col("o_custkey") == F.col("c_custkey"), "left"))
     odd = F.col("l_linenumber") % 2 == 1
@@ -202,21 +220,42 @@ def raw_traffic(spark: SparkSession, folder: str) -> DataFrame:
                  F.when(bought > 0, bought.cast("double")).alias("add_to_carts")))
 
 
-def raw_layer(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The ten bronze tables over one folder of generic tables."""
-    return {
-        "dim_date": raw_calendar(spark, folder),
-        "dim_geography": raw_geography(spark, folder),
-        "dim_return_reason": inline.return_reasons(spark),
-        "dim_seller": raw_sellers(spark, folder),
-        "dim_listing": raw_listings(spark, folder),
-        "fact_listing_traffic": raw_traffic(spark, folder),
-        "fact_orders": raw_orders(spark, folder),
-        "fact_returns": raw_returns(spark, folder),
-        "ref_category_economics": inline.category_economics(spark),
-        "ref_logistics_rate_card": inline.rate_card(spark),
+class RawLayer(Mapping):
+    """The ten bronze tables over one folder of generic tables, each planned on first use.
+
+    ``flagged_returns`` is an extra: returned lines of any order status, for the check that
+    returns were delivered.
+    """
+
+    _tables = {
+        "dim_date": raw_calendar,
+        "dim_geography": raw_geography,
+        "dim_return_reason": lambda spark, folder: inline.return_reasons(spark),
+        "dim_seller": raw_sellers,
+        "dim_listing": raw_listings,
+        "fact_listing_traffic": raw_traffic,
+        "fact_orders": raw_orders,
+        "fact_returns": raw_returns,
+        "ref_category_economics": lambda spark, folder: inline.category_economics(spark),
+        "ref_logistics_rate_card": lambda spark, folder: inline.rate_card(spark),
+        "flagged_returns": lambda spark, folder: raw_returns(spark, folder, any_status=True),
     }
 
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder = spark, folder
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            self._planned[name] = self._tables[name](self._spark, self._folder)
+        return self._planned[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
 
 def bridge_settings() -> Settings:
     """Rules for the bridged data, whose line keys repeat and whose history ends in 2001."""

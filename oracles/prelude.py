@@ -592,7 +592,7 @@ def _entry(kind: str, source: str, ident: str, category: str, reason: str, summa
     return f"""SELECT '{prefix}-' || CAST({ident} AS VARCHAR) AS intervention_id,
   '{entity}' AS entity_type, CAST({ident} AS VARCHAR) AS entity_id, {category} AS category,
   {figures}.seller_id AS seller_id, '{kind}' AS intervention_type, {reason} AS intervention_reason,
-  {gain} AS gain, {cut} AS cut, CAST({lqs} AS DOUBLE) AS lqs, CAST({trust}.trust_score AS DOUBLE) AS trust,
+  CAST({gain} AS DECIMAL(38,4)) AS gain, CAST({cut} AS DECIMAL(38,4)) AS cut, CAST({lqs} AS DOUBLE) AS lqs, CAST({trust}.trust_score AS DOUBLE) AS trust,
   {figures}.catalog_return_rate AS crr, {figures}.rto_rate AS rr, {figures}.return_cost AS rc,
   {figures}.gross_margin AS gm, {figures}.net_margin_after_returns AS nm,
   '{owner}' AS owner, '{outcome}' AS outcome, {summary} AS summary

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from marginflow.settings import NULL_TOKENS
 
 
+# Every character that counts as white space
+WHITE_SPACE = "".join(chr(n) for n in range(0x3001) if chr(n).isspace())
+
+
 def strip(c: Column) -> Column:
-    """Remove all leading and trailing white space, not only blanks."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Remove all leading and trailing white space, not only blanks, without a regex."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def folded(c: Column) -> Column:

@@ -44,7 +44,11 @@ def comparable(df: DataFrame, column: str, as_text: bool) -> Column:
 
 
 def _sample(values: DataFrame, column: str) -> Column:
-    """The ten smallest values as text, through a top-k and never a full collection."""
+    """The ten smallest values as text, through a top-k and never a full collection.
+
+    Callers filter on the row count too, so that the sample needs the very exchange that the
+    totals need and Spark runs it once.
+    """
     top = values.select(F.col(column).cast("string").alias("v")).distinct().orderBy("v")
     return (top.limit(SAMPLE).agg(F.array_join(F.array_sort(F.collect_list("v")), ","))
             .scalar())
@@ -103,7 +107,7 @@ def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column:
     if not samples:
         return out
     return out.withColumn(
-        "orphan_sample", F.coalesce(_sample(marked.filter("orphan"), "key"), F.lit("")))
+        "orphan_sample", F.coalesce(_sample(marked.filter("orphan AND n > 0"), "key"), F.lit("")))
 
 
 def membership(df: DataFrame, column: str, values: Sequence[str] = (),
@@ -129,9 +133,10 @@ def membership(df: DataFrame, column: str, values: Sequence[str] = (),
         _n(F.sum(F.when(unknown, F.col("n")))).alias("unknown_count"),
         _n(F.sum(F.when(dirty, F.col("n")))).alias("needs_normalization_count"),
     ).withColumns({
-        "unknown_sample": F.coalesce(_sample(marked.filter(unknown), "raw"), F.lit("")),
+        "unknown_sample":
+            F.coalesce(_sample(marked.filter(unknown & (F.col("n") > 0)), "raw"), F.lit("")),
         "needs_normalization_sample":
-            F.coalesce(_sample(marked.filter(dirty), "raw"), F.lit("")),
+            F.coalesce(_sample(marked.filter(dirty & (F.col("n") > 0)), "raw"), F.lit("")),
     })
 
 

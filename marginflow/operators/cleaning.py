@@ -32,7 +32,7 @@ def standardize_null_tokens(df: DataFrame) -> DataFrame:
 
 def completeness(df: DataFrame) -> Column:
     """Number of non-null columns of a row."""
-    return sum((F.col(c).isNotNull().cast("int") for c in df.columns), F.lit(0))
+    return F.expr(" + ".join(f"CAST(`{c}` IS NOT NULL AS INT)" for c in df.columns))
 
 
 def deduplicate(df: DataFrame, key: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
@@ -62,14 +62,18 @@ def normalize_category(df: DataFrame, column: str, canonical: Sequence[str] = CA
 
 
 def normalize_enum(df: DataFrame, column: str, canonical: Sequence[str]) -> DataFrame:
-    """Canonical spelling of an enumeration; unknown text is kept."""
+    """Canonical spelling of an enumeration; unknown text is kept.
+
+    Text that is canonical already is taken as it is and never meets the regex.
+    """
     raw = F.col(column)
     pairs = [("_".join(c.strip().lower().replace("_", " ").split()), c) for c in canonical]
     mapped = literal_lookup(enum_key(raw), pairs)
-    return df.withColumns({
-        column: F.coalesce(mapped, raw),
-        f"dq_{column}_normalized": F.coalesce(mapped != raw, F.lit(False)),
-    })
+    right = F.when(raw.isin(*canonical), raw).otherwise(F.coalesce(mapped, raw))
+    return df.withColumn("_right", right).withColumns({
+        column: F.col("_right"),
+        f"dq_{column}_normalized": F.coalesce(F.col("_right") != raw, F.lit(False)),
+    }).drop("_right")
 
 
 def unmapped_values(df: DataFrame, column: str, canonical: Sequence[str]) -> DataFrame:

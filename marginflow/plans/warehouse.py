@@ -60,8 +60,12 @@ class Warehouse:
 
     # -- raw layer -----------------------------------------------------------------------
     def landed(self) -> dict[str, DataFrame]:
-        """The raw layer as written tables, for work that reads each table many times."""
-        return {name: self._written(f"bronze {name}", self.raw[name])
+        """The raw layer as written tables, for work that reads each table many times.
+
+        Reference tables that are passed through unchanged are read where they are.
+        """
+        return {name: self.raw[name] if name in PASS_THROUGH
+                else self._written(f"bronze {name}", self.raw[name])
                 for name in self.settings.contracts}
 
     def _written(self, key: str, df: DataFrame) -> DataFrame:
@@ -113,7 +117,7 @@ class Warehouse:
 
     def stored_silver(self) -> dict[str, DataFrame]:
         """The cleaned layer as written tables."""
-        return {name: self._written(f"silver {name}", df)
+        return {name: df if name in PASS_THROUGH else self._written(f"silver {name}", df)
                 for name, df in self.silver_layer().items()}
 
     def key_guard(self) -> DataFrame:

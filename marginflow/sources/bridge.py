@@ -46,8 +46,14 @@ def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(GENERIC_DDL[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _cents(c: Column) -> Column:
-    return c.cast("decimal(18,2)")
+def _hundredths(c: Column) -> Column:
+    """A two-place double as a whole number of hundredths; cheaper than a cast to decimal."""
+    return F.floor(c * 100 + 0.5)
+
+
+def _share(c: Column) -> Column:
+    return (_hundredths(c).cast("decimal(4,0)") * F.lit("0.01").cast("decimal(2,2)")) \
+        .cast("decimal(4,2)")
 
 
 def _pick(key: Column, *choices: Column | str | None) -> Column:
@@ -65,45 +71,55 @@ def _line_id() -> Column:
 
 def _unit_price() -> Column:
     """A hundredth of the extended price, exact to four places."""
-    return (_cents(F.col("l_extendedprice")) * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
+    units = _hundredths(F.col("l_extendedprice")).cast("decimal(14,0)")
+    return (units * F.lit("0.0001").cast("decimal(4,4)")).cast(MONEY)
+
+
+def _order_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """What all lines of an order share, worked out once per order before the lines join."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    day = F.col("o_orderdate").cast("date")
+    method = F.when(F.lit(False), F.lit(""))
+    for raw, written in (("1-URGENT", "COD"), ("2-HIGH", " cod "), ("3-MEDIUM", "card"),
+                         ("4-NOT SPECIFIED", "Wallet"), ("5-LOW", "bnpl")):
+        method = method.when(priority == raw, written)
+    return (scan(spark, folder, "orders")
+            .join(scan(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"),
+                  "left")
+            .select("o_orderkey", status,
+                    date_key(day).alias("order_date_key"),
+                    F.col("c_nationkey").cast("bigint").alias("geo_id"),
+                    method.otherwise(priority).alias("payment_method"),
+                    date_key(F.date_add(day, 90)).alias("promised_delivery_date_key")))
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    lines, orders = scan(spark, folder, "lineitem"), scan(spark, folder, "orders")
-    buyers = scan(spark, folder, "customer")
-    joined = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(buyers, F.col("o_custkey") == F.col("c_custkey"), "left"))
-    odd = F.col("l_linenumber") % 2 == 1
-    status = (F.when(F.col("o_orderstatus") == "F", "delivered")
-              .when(F.col("o_orderstatus") == "O", "cancelled_pre_shipment")
-              .when(odd, "rto_customer_refused").otherwise("rto_unreachable"))
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    arrived = (((F.col("o_orderstatus") == "F") & (F.col("l_orderkey") % 101 != 0))
-               | (F.col("l_linenumber") == 7))
+    heads = _order_heads(spark, folder)
+    joined = scan(spark, folder, "lineitem").join(
+        heads, F.col("l_orderkey") == F.col("o_orderkey"))
+    done, cancelled = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
+    status = (F.when(done, "delivered").when(cancelled, "cancelled_pre_shipment")
+              .when(F.col("l_linenumber") % 2 == 1, "rto_customer_refused")
+              .otherwise("rto_unreachable"))
+    discount = _share(F.col("l_discount"))
+    arrived = (done & (F.col("l_orderkey") % 101 != 0)) | (F.col("l_linenumber") == 7)
     return joined.select(
         _line_id().alias("order_line_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("listing_id"),
         F.col("l_suppkey").alias("seller_id"),
-        date_key(F.col("o_orderdate")).alias("order_date_key"),
-        F.col("c_nationkey").cast("bigint").alias("geo_id"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "COD")
-        .when(F.col("o_orderpriority") == "2-HIGH", " cod ")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "card")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Wallet")
-        .when(F.col("o_orderpriority") == "5-LOW", "bnpl")
-        .otherwise(F.col("o_orderpriority")).alias("payment_method"),
+        "order_date_key", "geo_id", "payment_method",
         F.when(F.col("l_orderkey") % 97 == 13, F.lit(-1))
         .otherwise(F.col("l_quantity")).cast("bigint").alias("quantity"),
         _unit_price().alias("unit_selling_price"),
         F.round(_unit_price() * discount, 4).cast(MONEY).alias("item_discount_amount"),
-        F.when(F.col("l_tax") > 0, F.round(F.col("l_tax") * 100)).cast(MONEY)
+        F.when(F.col("l_tax") > 0, _hundredths(F.col("l_tax"))).cast(MONEY)
         .alias("shipping_fee_charged"),
-        date_key(F.date_add(F.col("o_orderdate").cast("date"), 90))
-        .alias("promised_delivery_date_key"),
-        F.when(arrived, date_key(F.col("l_shipdate"))).alias("actual_delivery_date_key"),
-        F.when(F.col("o_orderstatus") == "O", F.lit(0))
-        .otherwise(F.col("l_quantity") % 3 + 1).cast("bigint").alias("delivery_attempts"),
+        "promised_delivery_date_key",
+        F.when(arrived, date_key(F.col("l_shipdate").cast("date")))
+        .alias("actual_delivery_date_key"),
+        F.when(cancelled, F.lit(0)).otherwise(F.col("l_quantity") % 3 + 1).cast("bigint")
+        .alias("delivery_attempts"),
         status.alias("order_status"),
     )
 
@@ -120,7 +136,7 @@ def raw_returns(spark: SparkSession, folder: str, any_status: bool = False) -> D
     received = F.date_add(initiated, (F.col("l_quantity") % 5 - 1).cast("int"))
     quantity = F.floor((F.col("l_quantity") + 1) / 2).cast("bigint")
     reason = F.concat(F.lit("R0"), F.lpad((F.col("l_orderkey") % 10 + 1).cast("string"), 2, "0"))
-    paid = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
+    paid = F.lit(1).cast("decimal(4,2)") - _share(F.col("l_discount"))
     return lines.select(
         _line_id().alias("return_id"),
         _line_id().alias("order_line_id"),

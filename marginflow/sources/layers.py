@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marginflow.sources.schemas import TABLE_DDL
 
@@ -20,15 +21,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
         spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """Typed CSV scan. Values that do not fit their type are read as NULL.
+# Margins of a cell are data here; the CSV writer would trim them by default
+CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
 
-    Dates and booleans keep the defaults of the CSV reader; header names are matched by the
-    declared order.
-    """
-    return (spark.read.schema(ddl).option("header", True).option("mode", "PERMISSIVE")
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+def read_csv(spark: SparkSession, path: str, ddl: str | StructType) -> DataFrame:
+    """Typed CSV scan. Values that do not fit their type are read as NULL."""
+    return spark.read.schema(ddl).options(**CSV_OPTIONS, mode="PERMISSIVE").csv(path)
 
 
 def read_layer(spark: SparkSession, folder: str, tables: Iterable[str] = tuple(TABLE_DDL),
@@ -48,7 +48,7 @@ def write_layer(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parque
     for name, df in tables.items():
         writer = df.write.mode("overwrite")
         if fmt == "csv":
-            writer.option("header", True).csv(f"{folder}/{name}.csv")
+            writer.options(**CSV_OPTIONS).csv(f"{folder}/{name}.csv")
         else:
             writer.parquet(f"{folder}/{name}")
 

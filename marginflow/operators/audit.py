@@ -22,8 +22,6 @@ from marginflow.settings import (
 from marginflow.sources.inline import values_table
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
-RESULT_COLUMNS = ("table_name", "check_name", "status", "severity", "blocking", "violations",
-                  "summary", "details")
 SAMPLE = 10
 
 
@@ -69,14 +67,13 @@ def primary_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def _matched_keys(child: DataFrame, column: str, parent: DataFrame,
                   parent_column: str) -> DataFrame:
     """(key, n, known): distinct child keys with row counts and whether the parent has them."""
-    texts = {dict(child.dtypes)[column], dict(parent.dtypes)[parent_column]}
-    as_text = "string" in texts
+    as_text = "string" in (dict(child.dtypes)[column], dict(parent.dtypes)[parent_column])
     keys = (child.groupBy(comparable(child, column, as_text).alias("key"))
             .agg(F.count(F.lit(1)).alias("n")))
     parents = (parent.select(comparable(parent, parent_column, as_text).alias("parent_key"))
-               .filter(F.col("parent_key").isNotNull()).distinct())
-    return keys.join(parents, F.col("key") == F.col("parent_key"), "left").select(
-        "key", "n", F.col("parent_key").isNotNull().alias("known"))
+               .filter("parent_key IS NOT NULL").distinct())
+    return keys.join(parents, F.expr("key = parent_key"), "left").selectExpr(
+        "key", "n", "parent_key IS NOT NULL AS known")
 
 
 def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
@@ -86,24 +83,28 @@ def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column:
     For a calendar parent an orphan beyond its last key only shows that the calendar is short.
     """
     matched = _matched_keys(child, column, parent, parent_column)
-    orphan = F.col("key").isNotNull() & ~F.col("known")
-    beyond = F.lit(False)
+    marked = matched.withColumn("orphan", F.expr("key IS NOT NULL AND NOT known"))
     if coverage_aware:
         last = parent.agg(F.max(F.col(parent_column).try_cast("bigint"))).scalar()
-        beyond = F.coalesce(orphan & (F.col("key").try_cast("bigint") > last), F.lit(False))
-    marked = matched.withColumns({"orphan": orphan, "beyond": beyond})
-    orphans = _n(F.sum(F.when(F.col("orphan"), F.col("n"))))
-    gaps = _n(F.sum(F.when(F.col("beyond"), F.col("n"))))
-    filled = _n(F.sum(F.when(F.col("key").isNotNull(), F.col("n"))))
-    out = marked.agg(
-        _n(F.sum(F.when(F.col("key").isNull(), F.col("n")))).alias("null_count"),
-        orphans.alias("orphan_count"),
-        (orphans - gaps).alias("broken_orphans"),
-        gaps.alias("coverage_orphans"),
-        F.max(F.when(F.col("beyond"), F.col("key").try_cast("bigint")))
-        .alias("coverage_extend_through"),
-        F.coalesce(rate(filled - orphans, filled), F.lit(1.0)).alias("match_rate"),
+        number = F.col("key").try_cast("bigint")
+        marked = marked.withColumn(
+            "beyond", F.coalesce(F.col("orphan") & (number > last), F.lit(False)))
+    else:
+        marked = marked.withColumn("beyond", F.lit(False))
+    counts = marked.groupBy().agg(
+        F.expr("coalesce(sum(CASE WHEN key IS NULL THEN n END), 0) AS null_count"),
+        F.expr("coalesce(sum(CASE WHEN key IS NOT NULL THEN n END), 0) AS filled"),
+        F.expr("coalesce(sum(CASE WHEN orphan THEN n END), 0) AS orphan_count"),
+        F.expr("coalesce(sum(CASE WHEN beyond THEN n END), 0) AS coverage_orphans"),
+        F.expr("max(CASE WHEN beyond THEN try_cast(key AS BIGINT) END) "
+               "AS coverage_extend_through"),
     )
+    out = counts.select(
+        "null_count", "orphan_count",
+        F.expr("orphan_count - coverage_orphans AS broken_orphans"),
+        "coverage_orphans", "coverage_extend_through",
+        F.coalesce(rate(F.expr("filled - orphan_count"), F.col("filled")), F.lit(1.0))
+        .alias("match_rate"))
     if not samples:
         return out
     return out.withColumn(
@@ -218,96 +219,93 @@ def leakage(listing: DataFrame, forbidden: Sequence[str] = FORBIDDEN_COLUMN_TOKE
 
 
 # -- results: one row per check ------------------------------------------------------------------
-def _result(measured: DataFrame, table: str, check: str, failures: Column,
-            warnings: Column | None = None, blocking: bool = True, summary: Column | None = None,
-            details: Sequence[str] | None = None) -> DataFrame:
+def _result(measured: DataFrame, table: str, check: str, failures: str, warnings: str = "0",
+            blocking: bool = True) -> DataFrame:
     """Turn a one-row measurement into a result row.
 
-    ``failures`` rows block; ``warnings`` rows only warn. Passing structural checks keep the
-    severity of their kind.
+    ``failures`` (SQL over the measured columns) block; ``warnings`` only warn. Passing
+    structural checks keep the severity of their kind. All measured columns become details.
     """
-    warnings = warnings if warnings is not None else F.lit(0).cast("bigint")
-    names = list(details) if details is not None else measured.columns
-    pairs = [part for n in names
-             for part in (F.lit(n), F.coalesce(F.col(n).cast("string"), F.lit("")))]
-    status = F.when(failures > 0, FAIL).when(warnings > 0, WARN).otherwise(PASS)
-    severity = (F.when((failures == 0) & (warnings > 0), "warn").otherwise("error")
-                if blocking else F.lit("warn"))
-    text = F.concat_ws(" ", F.lit(f"{check}:"), failures.cast("string"), F.lit("broken,"),
-                       warnings.cast("string"), F.lit("advisory"))
-    out = measured.select(
-        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-        status.alias("status"), severity.alias("severity"),
-        (failures + warnings).cast("bigint").alias("violations"),
-        (summary if summary is not None else text).alias("summary"),
-        (F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>"))
-        .alias("details"))
-    return out.withColumn(
-        "blocking", (F.col("status") == FAIL) & (F.col("severity") == "error")
-    ).select(*RESULT_COLUMNS)
+    pairs = ", ".join(f"'{n}', coalesce(CAST({n} AS STRING), '')" for n in measured.columns)
+    severity = (f"CASE WHEN {failures} = 0 AND {warnings} > 0 THEN 'warn' ELSE 'error' END"
+                if blocking else "'warn'")
+    return measured.selectExpr(
+        f"'{table}' AS table_name", f"'{check}' AS check_name",
+        f"CASE WHEN {failures} > 0 THEN '{FAIL}' WHEN {warnings} > 0 THEN '{WARN}' "
+        f"ELSE '{PASS}' END AS status",
+        f"{severity} AS severity",
+        f"{failures} > 0 AND {str(blocking).lower()} AS blocking",
+        f"CAST({failures} + {warnings} AS BIGINT) AS violations",
+        f"concat('{check}: ', {failures}, ' broken, ', {warnings}, ' advisory') AS summary",
+        f"map({pairs}) AS details")
 
 
 def _missing_column(spark: SparkSession, table: str, check: str, column: str,
                     status: str = FAIL, severity: str = "error") -> DataFrame:
-    return spark.createDataFrame(
-        [(table, check, status, severity, status == FAIL and severity == "error", 1,
-          f"column '{column}' missing", {"column": column})],
-        "table_name string, check_name string, status string, severity string, "
-        "blocking boolean, violations bigint, summary string, details map<string,string>")
+    hard = status == FAIL and severity == "error"
+    return spark.sql(
+        f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{status}' AS status, "
+        f"'{severity}' AS severity, {str(hard).lower()} AS blocking, 1L AS violations, "
+        f"'column missing: {column}' AS summary, map('column', '{column}') AS details")
+
+
+def _number(df: DataFrame, column: str) -> str:
+    return f"try_cast(`{column}` AS DOUBLE)" if dict(df.dtypes)[column] == "string" \
+        else f"`{column}`"
+
+
+def _outside(df: DataFrame, b: Bounds) -> str:
+    value = _number(df, b.column)
+    limits = ([f"{value} < {b.low}"] if b.low is not None else []) + (
+        [f"{value} > {b.high}"] if b.high is not None else [])
+    return " OR ".join(limits)
 
 
 def _profile_results(df: DataFrame, table: str, contract: TableContract) -> DataFrame:
     """Null profile, ranges and funnel share one scan of the table."""
-    names = df.columns
-    bounds = [b for b in contract.bounds if b.column in names]
-    stages = contract.funnel if all(c in names for c in contract.funnel) else ()
-    nulls = F.array(*[
-        F.struct(F.lit(c).alias("name"), F.count_if(F.col(c).isNull()).alias("n"))
-        for c in names])
-    measures = {"null_analysis": nulls}
-    if bounds:
-        measures["distribution_ranges"] = F.array(*[
-            F.struct(F.lit(b.column).alias("name"),
-                     F.count_if(outside(as_number(df, b.column), b)).alias("n"))
-            for b in bounds])
-    if stages:
-        measures["funnel_monotonicity"] = F.array(*[
-            F.struct(F.lit(f"{u}<{v}").alias("name"),
-                     F.count_if(as_number(df, u) < as_number(df, v)).alias("n"))
-            for u, v in zip(stages, stages[1:])])
-    one_row = df.agg(*[m.alias(n) for n, m in measures.items()])
-    checks = F.array(*[
-        F.struct(F.lit(n).alias("check_name"),
-                 F.filter(F.col(n), lambda x: x["n"] > 0).alias("found")) for n in measures])
-    found = one_row.select(F.inline(checks))
-    return found.select(
-        F.lit(table).alias("table_name"), "check_name",
-        F.when(F.size("found") > 0, WARN).otherwise(PASS).alias("status"),
-        F.lit("warn").alias("severity"), F.lit(False).alias("blocking"),
-        F.aggregate("found", F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
-        .alias("violations"),
-        F.concat(F.size("found").cast("string"), F.lit(" finding(s)")).alias("summary"),
-        F.map_from_entries(F.transform("found", lambda x: F.struct(
-            x["name"], x["n"].cast("string")))).alias("details"),
-    )
+    stages = contract.funnel if all(c in df.columns for c in contract.funnel) else ()
+    conditions = {
+        "null_analysis": {c: f"`{c}` IS NULL" for c in df.columns},
+        "distribution_ranges": {b.column: _outside(df, b) for b in contract.bounds
+                                if b.column in df.columns},
+        "funnel_monotonicity": {f"{u}<{v}": f"{_number(df, u)} < {_number(df, v)}"
+                                for u, v in zip(stages, stages[1:])},
+    }
+    asked = {check: found for check, found in conditions.items() if found}
+    one_row = df.agg(*[
+        F.expr("array(" + ", ".join(
+            f"named_struct('name', '{name}', 'n', count_if({condition}))"
+            for name, condition in found.items()) + f") AS {check}")
+        for check, found in asked.items()])
+    listed = ", ".join(
+        f"named_struct('check_name', '{check}', 'found', filter({check}, x -> x.n > 0))"
+        for check in asked)
+    return one_row.selectExpr(f"inline(array({listed}))").selectExpr(
+        f"'{table}' AS table_name", "check_name",
+        f"CASE WHEN size(found) > 0 THEN '{WARN}' ELSE '{PASS}' END AS status",
+        "'warn' AS severity", "false AS blocking",
+        "aggregate(found, 0L, (total, x) -> total + x.n) AS violations",
+        "concat(size(found), ' finding(s)') AS summary",
+        "map_from_entries(transform(found, x -> struct(x.name, CAST(x.n AS STRING)))) "
+        "AS details")
 
 
 def table_checks(table: str, tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
     """All checks the contract of one table asks for."""
     df, contract = tables[table], settings.contracts[table]
     spark = df.sparkSession
-    results = [_result(
-        leakage(column_listing(spark, {table: df})), table, "leakage",
-        F.col("offending_columns"), details=("offending_columns",))]
+    names = column_listing(spark, {table: df})
+    results = [_result(leakage(names).select("offending_columns"), table, "leakage",
+                       "offending_columns")]
 
     absent = [c for c in contract.key if c not in df.columns]
     if absent:
         results.append(_missing_column(spark, table, "primary_key", ",".join(absent)))
     else:
         results.append(_result(primary_key(df, contract.key), table, "primary_key",
-                               F.col("null_key_rows") + F.col("duplicate_rows")))
-    results.append(_result(duplicate_rows(df), table, "duplicate_rows",
-                           F.lit(0).cast("bigint"), F.col("duplicate_rows"), blocking=False))
+                               "(null_key_rows + duplicate_rows)"))
+    results.append(_result(duplicate_rows(df), table, "duplicate_rows", "0", "duplicate_rows",
+                           blocking=False))
     results.append(_profile_results(df, table, contract))
 
     for fk in contract.foreign_keys:
@@ -317,8 +315,7 @@ def table_checks(table: str, tables: Mapping[str, DataFrame], settings: Settings
             continue
         measured = foreign_key(df, fk.column, tables[fk.table], fk.parent_column,
                                coverage_aware=fk.table == CALENDAR_TABLE)
-        results.append(_result(measured, table, check,
-                               F.col("broken_orphans"), F.col("coverage_orphans")))
+        results.append(_result(measured, table, check, "broken_orphans", "coverage_orphans"))
     for m in contract.members:
         check = f"membership:{m.column}"
         if m.column not in df.columns:
@@ -326,20 +323,19 @@ def table_checks(table: str, tables: Mapping[str, DataFrame], settings: Settings
             continue
         parent = tables[m.table] if m.table else None
         measured = membership(df, m.column, m.values, parent, m.parent_column)
-        results.append(_result(measured, table, check, F.col("unknown_count"),
-                               F.col("needs_normalization_count")))
+        results.append(_result(measured, table, check, "unknown_count",
+                               "needs_normalization_count"))
     if contract.funnel and any(c not in df.columns for c in contract.funnel):
         results.append(_missing_column(spark, table, "funnel_monotonicity",
                                        ",".join(contract.funnel), WARN, "warn"))
     if contract.delivered_only:
         measured = delivered_only(df, tables["fact_orders"]).agg(
-            _n(F.sum(F.when(F.col("outcome") == "unmatched", F.col("n_returns"))))
-            .alias("unmatched_order_lines"),
-            _n(F.sum(F.when(~F.col("outcome").isin("unmatched", "no_status", DELIVERED),
-                            F.col("n_returns")))).alias("returns_against_non_delivered"))
-        results.append(_result(
-            measured, table, "returns_delivered_reconciliation",
-            F.col("unmatched_order_lines") + F.col("returns_against_non_delivered")))
+            F.expr("coalesce(sum(CASE WHEN outcome = 'unmatched' THEN n_returns END), 0) "
+                   "AS unmatched_order_lines"),
+            F.expr(f"coalesce(sum(CASE WHEN outcome NOT IN ('unmatched', 'no_status', "
+                   f"'{DELIVERED}') THEN n_returns END), 0) AS returns_against_non_delivered"))
+        results.append(_result(measured, table, "returns_delivered_reconciliation",
+                               "(unmatched_order_lines + returns_against_non_delivered)"))
     return union_all(results)
 
 

@@ -364,8 +364,11 @@ def primary_category(w: Warehouse) -> DataFrame:
 
 @query
 def safe_rates(w: Warehouse) -> DataFrame:
-    """Rates by seller and status mix; zero denominators stay undefined."""
-    return w.table(ORDER_LINES).groupBy("listing_id", "payment_method").agg(
+    """Rates by listing and payment method; zero denominators stay undefined.
+
+    On the stored lines: grouped by its join key, the lazy plan could not split a hot listing.
+    """
+    return w.stored(ORDER_LINES).groupBy("listing_id", "payment_method").agg(
         F.count_if("is_rto").alias("rto_orders"), F.count_if("is_shipped").alias("shipped_orders"),
         F.count_if("is_on_time").alias("on_time"),
         F.count_if("is_delivered").alias("delivered_orders"),

@@ -39,6 +39,8 @@ def test_query_equals_sql_without_small_tables(spark, name):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         compare(spark, name)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.functions.numeric import count_where, half_up, quotient, rate
+from marginflow.functions.numeric import count_where, half_up, quotient
 from marginflow.operators.audit import union_all
 from marginflow.operators.cleaning import duplicate_keys
 from marginflow.plans.listing import category_signal_weights

@@ -1,36 +1,24 @@
 """Durable intermediate tables.
 
-``durable`` writes a DataFrame as Parquet below the folder that the cluster names in
-``spark.checkpoint.dir`` and reads it back. That cuts the lineage, survives the loss of
-executors, fixes non-deterministic columns such as row numbers, keeps column pruning, and
-gives Catalyst true file sizes to choose a join strategy from.
+``durable`` writes a DataFrame as Parquet and reads it back. That cuts the lineage, survives
+the loss of executors, fixes non-deterministic columns such as row numbers, keeps column
+pruning, and gives Catalyst true file sizes to choose a join strategy from.
+
+Tables lie in the folder that the cluster names in ``spark.checkpoint.dir``; where it names
+none, in the SQL warehouse, which all executors share as well.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_folders:
-        created = tempfile.mkdtemp(prefix="marginflow-")
-        atexit.register(shutil.rmtree, created, ignore_errors=True)
-        _local_folders[context.applicationId] = created
-    return _local_folders[context.applicationId]
+    folder = (spark.conf.get("spark.checkpoint.dir", None)
+              or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch")
+    return folder.rstrip("/")
 
 
 def application_folder(spark: SparkSession) -> str:
@@ -45,8 +33,13 @@ def durable(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the durable tables this application wrote."""
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete one folder through the file system that holds it."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(application_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every durable table this application wrote."""
+    drop(spark, application_folder(spark))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from marginflow.llm.langid import op5_language_id
+from marginflow.llm.pieces import op3_pieces
 
 QUERIES = {
+    "op3_pieces": op3_pieces,
     "op5_language_id": op5_language_id,
 }
 

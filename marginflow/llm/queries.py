@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from marginflow.llm.decontaminate import OP7_SQL, op7_decontaminate
+from marginflow.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from marginflow.llm.langid import op5_language_id
 from marginflow.llm.pieces import op3_pieces
 from marginflow.llm.pii import op1_pii
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_pieces": op3_pieces,
     "op5_language_id": op5_language_id,
     "op7_decontaminate": op7_decontaminate,
 }
 
 STATEMENTS: dict[str, str] = {
+    "op2_jaccard_join": OP2_SQL,
     "op7_decontaminate": OP7_SQL,
 }

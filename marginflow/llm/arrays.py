@@ -51,6 +51,19 @@ def ranges_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix((sums[end] - sums[start]) * _power("down", n + 1)[start] + length)
 
 
+def without_one(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """At each place the hash, as by ``ranges_hash``, of its run without that value."""
+    n = len(values)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(values * _power("up", n), out=sums[1:])
+    sizes = np.diff(bounds)
+    start, end = np.repeat(bounds[:-1], sizes), np.repeat(bounds[1:], sizes)
+    at, down = np.arange(n), _power("down", n + 2)
+    return mix((sums[at] - sums[start]) * down[start]
+               + (sums[end] - sums[at + 1]) * down[start + 1]
+               + (end - start - 1).astype(np.uint64))
+
+
 @dataclass
 class Words:
     """The words of several texts, one after the other."""

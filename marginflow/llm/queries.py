@@ -5,6 +5,7 @@ from __future__ import annotations
 from marginflow.llm.decontaminate import OP7_SQL, op7_decontaminate
 from marginflow.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from marginflow.llm.langid import op5_language_id
+from marginflow.llm.line_dedup import OP9_SQL, op9_line_dedup
 from marginflow.llm.pieces import op3_pieces
 from marginflow.llm.pii import op1_pii
 
@@ -14,9 +15,11 @@ QUERIES = {
     "op3_pieces": op3_pieces,
     "op5_language_id": op5_language_id,
     "op7_decontaminate": op7_decontaminate,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 STATEMENTS: dict[str, str] = {
     "op2_jaccard_join": OP2_SQL,
     "op7_decontaminate": OP7_SQL,
+    "op9_line_dedup": OP9_SQL,
 }

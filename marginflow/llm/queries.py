@@ -9,6 +9,7 @@ from marginflow.llm.line_dedup import OP9_SQL, op9_line_dedup
 from marginflow.llm.pieces import op3_pieces
 from marginflow.llm.pii import op1_pii
 from marginflow.llm.suffix_dedup import op10_suffix_dedup
+from marginflow.llm.url_filter import op8_url_filter
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_pieces": op3_pieces,
     "op5_language_id": op5_language_id,
     "op7_decontaminate": op7_decontaminate,
+    "op8_url_filter": op8_url_filter,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }

@@ -8,6 +8,7 @@ from marginflow.llm.langid import op5_language_id
 from marginflow.llm.line_dedup import OP9_SQL, op9_line_dedup
 from marginflow.llm.pieces import op3_pieces
 from marginflow.llm.pii import op1_pii
+from marginflow.llm.quality_mil import op4_quality
 from marginflow.llm.suffix_dedup import op10_suffix_dedup
 from marginflow.llm.url_filter import op8_url_filter
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_pieces": op3_pieces,
+    "op4_quality": op4_quality,
     "op5_language_id": op5_language_id,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,

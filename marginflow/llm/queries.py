@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from marginflow.llm.decontaminate import OP7_SQL, op7_decontaminate
 from marginflow.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from marginflow.llm.langid import op5_language_id
 from marginflow.llm.line_dedup import OP9_SQL, op9_line_dedup
+from marginflow.llm.nn_descent import op6_nn_descent
 from marginflow.llm.pieces import op3_pieces
 from marginflow.llm.pii import op1_pii
 from marginflow.llm.quality_mil import op4_quality
@@ -18,10 +20,12 @@ QUERIES = {
     "op3_pieces": op3_pieces,
     "op4_quality": op4_quality,
     "op5_language_id": op5_language_id,
+    "op6_nn_descent": op6_nn_descent,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 STATEMENTS: dict[str, str] = {

@@ -36,12 +36,15 @@ from marginflow.sources.scratch import durable
 class Similarity:
     """Jaccard of at least ``percent`` / 100 on runs of ``n`` words. ``few_rows``: a column with
     up to so many rows multiplies all of them at once. ``slots``: size of the table of column
-    counts (one byte a slot is broadcast), whatever the corpus."""
+    counts (one byte a slot is broadcast), whatever the corpus. ``broadcast_ids``: up to so many
+    ids of documents to be compared are broadcast (8 bytes each), so that the texts stay where
+    they are; beyond, texts and ids are joined by shuffle."""
 
     n: int = 4
     percent: int = 85
     few_rows: int = 12
     slots: int = 1 << 22
+    broadcast_ids: int = 1_000_000
 
 
 BLOCK = 1 << 16
@@ -187,6 +190,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, rules: Similarity) -> DataFrame
                     .distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(
         pairs.select(F.col("b").alias("doc_id"))).distinct()
+    if 2 * pairs.count() <= rules.broadcast_ids:
+        needed = F.broadcast(needed)
     rows = durable(whole_rows(docs.join(needed, "doc_id", "left_semi"), rules), "rows")
     overlap = F.size(F.array_intersect("row_a", "row_b"))
     return (pairs.join(rows.select(F.col("doc_id").alias("a"), F.col("row").alias("row_a")), "a")

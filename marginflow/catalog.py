@@ -150,6 +150,11 @@ def cleaning_actions(w: Warehouse) -> DataFrame:
     return w.actions()
 
 
+@query
+def cleaning_report(w: Warehouse) -> DataFrame:
+    return w.action_details()
+
+
 # -- audit ------------------------------------------------------------------------------------
 @query
 def dq_primary_key(w: Warehouse) -> DataFrame:
@@ -173,6 +178,19 @@ def dq_foreign_key(w: Warehouse) -> DataFrame:
     return audit.union_all(frames)
 
 
+@query
+def dq_key_normalization(w: Warehouse) -> DataFrame:
+    """Keys held as fractional numbers against the same keys as padded text; every fifth is
+    moved by a half and must not resolve."""
+    key = F.col("listing_id")
+    child = w.raw["fact_orders"].select(
+        (key + F.when(key % 5 == 0, 0.5).otherwise(0.0)).cast("double").alias("listing_id"))
+    parent = w.raw["dim_listing"].select(
+        F.concat(F.lit("  "), key.cast("string"), F.lit(" ")).alias("listing_id"))
+    return audit.foreign_key(child, "listing_id", parent, "listing_id").select(
+        "null_count", "orphan_count", "match_rate", "orphan_sample")
+
+
 @query
 def dq_fk_coverage(w: Warehouse) -> DataFrame:
     frames = []
@@ -221,7 +239,7 @@ def dq_membership(w: Warehouse) -> DataFrame:
 @query
 def dq_delivered_only(w: Warehouse) -> DataFrame:
     """All lines flagged as returned, whatever became of their order, against its status."""
-    return audit.delivered_only(w.raw["flagged_returns"], w.raw["fact_orders"])
+    return audit.delivered_only(w.raw["fact_returns"], w.raw["fact_orders"])
 
 
 @query
@@ -235,7 +253,8 @@ def dq_null_profile(w: Warehouse) -> DataFrame:
 @query
 def dq_duplicate_rows(w: Warehouse) -> DataFrame:
     return audit.union_all([
-        audit.duplicate_rows(w.raw[t]).withColumn("table_name", F.lit(t))
+        audit.duplicate_rows(w.raw[t], w.settings.contracts[t].key)
+        .withColumn("table_name", F.lit(t))
         for t in ("fact_orders", "fact_returns", "dim_listing")])
 
 
@@ -264,6 +283,12 @@ def audit_summary(w: Warehouse) -> DataFrame:
     return audit.summarize(audit.audit_layer(w.landed(), w.settings))
 
 
+@query
+def audit_report(w: Warehouse) -> DataFrame:
+    tables = w.landed()
+    return audit.report(audit.audit_layer(tables, w.settings), tables)
+
+
 @query
 def audit_before_after(w: Warehouse) -> DataFrame:
     """The same contract on the raw and the cleaned layer."""
@@ -547,10 +572,16 @@ def row_count_regression(w: Warehouse) -> DataFrame:
     return checks.row_count_regression(w.gold_layer(), checks.expected_counts(w.cleaned))
 
 
+@query
+def gold_build_checks(w: Warehouse) -> DataFrame:
+    """All checks of the business build in one table."""
+    return w.gold_checks()
+
+
 # -- slices -----------------------------------------------------------------------------------------
 @query
 def weighted_rates_by_slice(w: Warehouse) -> DataFrame:
-    lines = w.stored(ORDER_LINES)
+    lines = w.table(ORDER_LINES)
     return slices.weighted_rates(lines, w.table(RETURN_LINES), ("seller_id", "category"))
 
 
@@ -581,7 +612,7 @@ def recovery_by_condition(w: Warehouse) -> DataFrame:
 
 @query
 def monthly_trend(w: Warehouse) -> DataFrame:
-    lines = w.stored(ORDER_LINES)
+    lines = w.table(ORDER_LINES)
     return slices.monthly_trend(lines, w.table(RETURN_LINES))
 
 
@@ -646,7 +677,8 @@ def net_margin_after_rto(w: Warehouse) -> DataFrame:
 
 @query
 def concentration_by_segment(w: Warehouse) -> DataFrame:
-    lines = w.stored(ORDER_LINES)
+    lines = durable(w.table(ORDER_LINES).groupBy("category", "payment_method", "seller_id")
+                    .agg(F.sum("rto_cost_aed").alias("rto_cost_aed")), "rto_cost")
     frames = []
     for segment in ("category", "payment_method"):
         out = slices.concentration(lines, "seller_id", segment, w.settings.toxic_top_fraction)
@@ -657,7 +689,7 @@ def concentration_by_segment(w: Warehouse) -> DataFrame:
 
 @query
 def listing_metrics_monthly(w: Warehouse) -> DataFrame:
-    lines = w.stored(ORDER_LINES)
+    lines = w.table(ORDER_LINES)
     return slices.listing_months(lines, w.table(RETURN_LINES))
 
 

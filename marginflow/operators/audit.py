@@ -20,6 +20,7 @@ from marginflow.settings import (
     CALENDAR_TABLE, DELIVERED, FORBIDDEN_COLUMN_TOKENS, Bounds, Settings, TableContract,
 )
 from marginflow.sources.inline import values_table
+from marginflow.sources.layers import row_counts
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 SAMPLE = 10
@@ -33,12 +34,27 @@ def _n(value: Column) -> Column:
     return F.coalesce(value, F.lit(0)).cast("bigint")
 
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _as_text(*sides: tuple[DataFrame, str]) -> bool:
+    """Keys are compared as numbers only if both sides are whole numbers by type."""
+    return any(dict(df.dtypes)[column] not in _WHOLE for df, column in sides)
+
+
 def comparable(df: DataFrame, column: str, as_text: bool) -> Column:
-    """Key in the form in which child and parent are compared."""
-    c = F.col(column)
-    if dict(df.dtypes)[column] == "string":
+    """Key in the form in which child and parent are compared.
+
+    Text is trimmed. A fractional type holds a key such as 10 as 10.0: whole values become the
+    text of the whole number, others keep their own, and nothing is cut off.
+    """
+    c, kind = F.col(column), dict(df.dtypes)[column]
+    if kind == "string":
         return strip(c)
-    return c.cast("string") if as_text else c.cast("bigint")
+    if kind in ("double", "float") or kind.startswith("decimal"):
+        whole = (c == F.floor(c)) & (F.abs(c) < F.lit(9.0e18))
+        return F.when(whole, F.floor(c).cast("bigint").cast("string")).otherwise(c.cast("string"))
+    return c.cast("string") if as_text or kind not in _WHOLE else c.cast("bigint")
 
 
 def _sample(values: DataFrame, column: str) -> Column:
@@ -67,7 +83,7 @@ def primary_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def _matched_keys(child: DataFrame, column: str, parent: DataFrame,
                   parent_column: str) -> DataFrame:
     """(key, n, known): distinct child keys with row counts and whether the parent has them."""
-    as_text = "string" in (dict(child.dtypes)[column], dict(parent.dtypes)[parent_column])
+    as_text = _as_text((child, column), (parent, parent_column))
     keys = (child.groupBy(comparable(child, column, as_text).alias("key"))
             .agg(F.count(F.lit(1)).alias("n")))
     parents = (parent.select(comparable(parent, parent_column, as_text).alias("parent_key"))
@@ -145,23 +161,37 @@ def delivered_only(returns: DataFrame, orders: DataFrame, ref_column: str = "ord
                    key: str = "order_line_id", status: str = "order_status") -> DataFrame:
     """(outcome, n_returns): returns by what their order line says.
 
-    Outcomes are ``unmatched``, ``no_status`` or the status of the order.
+    Outcomes are ``unmatched``, ``no_status`` or the status of the order. Keys are compared in
+    the same form as by ``foreign_key``.
     """
-    keys = (returns.filter(F.col(ref_column).isNotNull()).groupBy(F.col(ref_column).alias("ref"))
+    as_text = _as_text((returns, ref_column), (orders, key))
+    keys = (returns.filter(F.col(ref_column).isNotNull())
+            .groupBy(comparable(returns, ref_column, as_text).alias("ref"))
             .agg(F.count(F.lit(1)).alias("n")))
-    states = orders.groupBy(F.col(key).alias("line")).agg(F.max(status).alias("state"))
+    states = (orders.groupBy(comparable(orders, key, as_text).alias("line"))
+              .agg(F.max(status).alias("state")).filter("line IS NOT NULL"))
     outcome = (F.when(F.col("line").isNull(), "unmatched")
                .when(F.col("state").isNull(), "no_status").otherwise(strip(F.col("state"))))
     return (keys.join(states, F.col("ref") == F.col("line"), "left")
             .groupBy(outcome.alias("outcome")).agg(_n(F.sum("n")).alias("n_returns")))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows of which an identical copy exists (all copies count)."""
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.agg(
-        _n(F.sum("_n")).alias("row_count"),
-        _n(F.sum(F.when(F.col("_n") > 1, F.col("_n")))).alias("duplicate_rows"))
+def duplicate_rows(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """Rows of which an identical copy exists (all copies count).
+
+    Identical rows share their key, so with a ``key`` only rows of repeated keys are compared
+    in full width.
+    """
+    rows = df
+    if key:
+        repeated = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+                    .select(*[F.col(c).alias(f"_{c}") for c in key]))
+        match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+        rows = df.join(repeated, match, "left_semi")
+    counted = rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    found = counted.agg(_n(F.sum(F.when(F.col("_n") > 1, F.col("_n")))).alias("duplicate_rows"))
+    return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn(
+        "duplicate_rows", found.scalar())
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -186,10 +216,18 @@ def _range_measures(df: DataFrame, bounds: Sequence[Bounds]) -> list[Column]:
 
 
 def ranges(df: DataFrame, bounds: Sequence[Bounds]) -> DataFrame:
-    """(column_name, out_of_range, observed_min, observed_max) of violating columns."""
+    """(column_name, out_of_range, observed_min, observed_max) of violating columns.
+
+    A column the table lacks is listed too, with NULL in place of measures.
+    """
     present = [b for b in bounds if b.column in df.columns]
-    return (df.agg(F.array(*_range_measures(df, present)).alias("m"))
-            .select(F.inline("m")).filter("out_of_range > 0"))
+    absent = [F.struct(F.lit(b.column).alias("column_name"),
+                       F.lit(None).cast("bigint").alias("out_of_range"),
+                       F.lit(None).cast("double").alias("observed_min"),
+                       F.lit(None).cast("double").alias("observed_max"))
+              for b in bounds if b.column not in df.columns]
+    return (df.agg(F.array(*_range_measures(df, present), *absent).alias("m"))
+            .select(F.inline("m")).filter("out_of_range IS NULL OR out_of_range > 0"))
 
 
 def _funnel_measures(df: DataFrame, stages: Sequence[str]) -> list[Column]:
@@ -304,9 +342,11 @@ def table_checks(table: str, tables: Mapping[str, DataFrame], settings: Settings
     else:
         results.append(_result(primary_key(df, contract.key), table, "primary_key",
                                "(null_key_rows + duplicate_rows)"))
-    results.append(_result(duplicate_rows(df), table, "duplicate_rows", "0", "duplicate_rows",
-                           blocking=False))
+    results.append(_result(duplicate_rows(df, () if absent else contract.key), table,
+                           "duplicate_rows", "0", "duplicate_rows", blocking=False))
     results.append(_profile_results(df, table, contract))
+    results += [_missing_column(spark, table, "distribution_ranges", b.column, WARN, "warn")
+                for b in contract.bounds if b.column not in df.columns]
 
     for fk in contract.foreign_keys:
         check = f"fk:{fk.column}"
@@ -357,7 +397,22 @@ def summarize(results: DataFrame) -> DataFrame:
         .otherwise(PASS))
 
 
-def write_report(results: DataFrame, folder: str) -> None:
-    """JSON report: one line per check plus a summary line in a folder of its own."""
+def report(results: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row: totals, verdict, number of tables and rows, row counts per table, and the
+    blocking findings as ``table: check``, sorted."""
+    counted = row_counts(tables)
+    size = counted.agg(
+        F.count(F.lit(1)).alias("tables"), F.sum("n_rows").cast("bigint").alias("total_rows"),
+        F.array_join(F.array_sort(F.collect_list(
+            F.concat_ws("=", "table_name", F.col("n_rows").cast("string")))), ",")
+        .alias("row_counts"))
+    blocking = results.agg(F.array_join(F.array_sort(F.collect_list(F.when(
+        F.col("blocking"), F.concat_ws(": ", "table_name", "check_name")))), ",")
+        .alias("blocking_findings"))
+    return summarize(results).join(size).join(blocking)
+
+
+def write_report(results: DataFrame, tables: Mapping[str, DataFrame], folder: str) -> None:
+    """JSON: one line per check with its details, and the one-line report."""
     results.coalesce(1).write.mode("overwrite").json(f"{folder}/results")
-    summarize(results).coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+    report(results, tables).coalesce(1).write.mode("overwrite").json(f"{folder}/summary")

@@ -7,6 +7,7 @@ deduplication, category, enumerations, null policy, ranges, temporal flags.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,6 +19,7 @@ from marginflow.settings import (
     CATEGORIES, DELIVERED, EVENT_FLAG_DEFAULTS, UNMAPPED_CATEGORY, WEEKEND_DAYS, Bounds,
     CleaningRules, NullRule, Settings,
 )
+from marginflow.sources.inline import values_table
 
 
 def _string_columns(df: DataFrame) -> list[str]:
@@ -218,8 +220,19 @@ def guard_rows(name: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
         F.when(F.col("duplicate_rows") > 0, "FAIL").otherwise("OK").alias("status"))
 
 
-def action_counts(name: str, raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """(table, action, target, affected): one pass over the raw and one over the cleaned rows."""
+def rule_errors(df: DataFrame, rules: CleaningRules) -> list[tuple[str, str, str]]:
+    """(action, column, reason) of the rules that cannot be applied; the rest still are."""
+    out = [("null_policy", c, why) for c, why in policy_errors(df, rules.nulls).items()]
+    out += [("flag_invalid_ranges", b.column, "column missing") for b in rules.bounds
+            if b.column not in df.columns]
+    return out + [("normalize_enum", c, "column missing") for c in rules.enums
+                  if c not in df.columns]
+
+
+def action_counts(name: str, raw: DataFrame, cleaned: DataFrame,
+                  rules: CleaningRules) -> DataFrame:
+    """(table_name, action, target, affected): one pass over the raw and one over the cleaned
+    rows. Deduplication is listed for tables with such a rule."""
     tokens = F.lit(0).cast("bigint")
     for c in _string_columns(raw):
         tokens = tokens + F.count_if(is_null_token(F.col(c)))
@@ -228,17 +241,51 @@ def action_counts(name: str, raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     after = cleaned.agg(F.count(F.lit(1)).alias("after"),
                         *[F.count_if(F.col(c)).alias(c) for c in flags])
     lead = F.lit(name).alias("table_name")
-    n_before = before.select("before").scalar()
-    return (
-        before.select(lead, F.lit("standardize_null_tokens").alias("action"),
-                      F.lit("*").alias("target"), F.col("tokens").alias("affected"))
-        .unionByName(after.select(
+    frames = [before.select(lead, F.lit("standardize_null_tokens").alias("action"),
+                            F.lit("*").alias("target"), F.col("tokens").alias("affected"))]
+    if rules.dedup_key:
+        n_before = before.select("before").scalar()
+        frames.append(after.select(
             lead, F.lit("deduplicate").alias("action"), F.lit("*").alias("target"),
             (n_before - F.col("after")).alias("affected")))
-        .unionByName(
-            after.unpivot([], flags, "target", "affected")
-            .select(lead, F.lit("flag").alias("action"), "target", "affected"))
-        if flags else
-        before.select(lead, F.lit("standardize_null_tokens").alias("action"),
-                      F.lit("*").alias("target"), F.col("tokens").alias("affected"))
-    )
+    if flags:
+        frames.append(after.unpivot([], flags, "target", "affected")
+                      .select(lead, F.lit("flag").alias("action"), "target", "affected"))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def cleaning_details(name: str, raw: DataFrame, rules: CleaningRules) -> DataFrame:
+    """(table_name, action, target, affected, detail): what the action log says beyond counts.
+
+    Values that no enum spelling covers with their ten smallest samples, the nulls that a
+    ``keep`` rule leaves, and rules that cannot be applied with the reason.
+    """
+    spark, frames = raw.sparkSession, []
+    tokens = standardize_null_tokens(raw)
+    lead = F.lit(name).alias("table_name")
+    for column, canonical in rules.enums.items():
+        if column in raw.columns:
+            counted = (unmapped_values(tokens, column, canonical)
+                       .withColumnRenamed("n_rows", "n"))
+            samples = counted.orderBy("value").limit(10).agg(
+                F.array_join(F.array_sort(F.collect_list("value")), ",")).scalar()
+            frames.append(counted.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"))
+                          .select(lead, F.lit("unmapped_values").alias("action"),
+                                  F.lit(column).alias("target"), F.col("n").alias("affected"),
+                                  F.coalesce(samples, F.lit("")).alias("detail")))
+    kept = [c for c, rule in rules.nulls.items() if rule.strategy == "keep" and c in raw.columns]
+    if kept:
+        counts = tokens.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in kept])
+        frames.append(counts.unpivot([], kept, "target", "affected").select(
+            lead, F.lit("keep").alias("action"), "target", "affected",
+            F.lit("nulls kept").alias("detail")))
+    failed = rule_errors(raw, rules)
+    if failed:
+        frames.append(values_table(spark, [(name, "error", c, 0, f"{action}: {why}")
+                                           for action, c, why in failed],
+                                   "table_name string, action string, target string, "
+                                   "affected bigint, detail string"))
+    if not frames:
+        return spark.sql("SELECT '' AS table_name, '' AS action, '' AS target, 0L AS affected, "
+                         "'' AS detail WHERE false")
+    return reduce(DataFrame.unionByName, frames)

@@ -7,12 +7,8 @@ numbered rows are made durable, because slice limits are sampled and must not be
 Adding what lies in earlier slices gives exact positions, tie ranks, tertiles, running totals and
 quantiles.
 
-The per-slice summaries are broadcast. Their size is bounded by the number of slices (the shuffle
-partitions of the session) times the number of ``by`` groups, so ``by`` must name vocabulary
-columns such as a category, never an entity id.
-
-Inputs that Spark would call small enough to broadcast take ordinary windows instead; both ways
-give the same rows.
+The per-slice summaries are aggregates: one row for each slice and ``by`` group that occurs in it.
+They join without a hint, so Spark broadcasts them only when their size at run time allows it.
 """
 
 from __future__ import annotations
@@ -24,7 +20,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import quotient
-from marginflow.operators.sizing import fits_one_task
 from marginflow.sources.scratch import durable
 
 SLICE = "slice_id"
@@ -35,15 +30,13 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33
 class Ordered:
     """Rows under a total order. ``order`` has to be unique; each step adds a column."""
 
-    def __init__(self, df: DataFrame, order: Sequence[Column],
-                 spread: bool | None = None) -> None:
+    def __init__(self, df: DataFrame, order: Sequence[Column]) -> None:
         self._order = list(order)
-        self._spread = not fits_one_task(df) if spread is None else spread
-        self._df = self._place(df) if self._spread else df
+        self._df = self._place(df)
 
     @property
     def rows(self) -> DataFrame:
-        return self._df.drop(SLICE, ROW) if self._spread else self._df
+        return self._df.drop(SLICE, ROW)
 
     def _place(self, df: DataFrame) -> DataFrame:
         """Ordered slices, rows numbered from 0 inside the slice."""
@@ -56,14 +49,6 @@ class Ordered:
     def position(self, name: str, by: Sequence[str] = (),
                  count_name: str | None = None) -> Ordered:
         """1-based position of each row, overall or inside its ``by`` group, and group size."""
-        if not self._spread:
-            self._df = self._df.withColumn(
-                name, F.row_number().over(W.partitionBy(*by).orderBy(*self._order))
-                .cast("bigint"))
-            if count_name:
-                self._df = self._df.withColumn(
-                    count_name, F.count(F.lit(1)).over(W.partitionBy(*by)))
-            return self
         local = F.col(ROW) + 1
         if by:
             local = F.row_number().over(W.partitionBy(SLICE, *by).orderBy(ROW))
@@ -74,14 +59,6 @@ class Ordered:
         """Inclusive running total of ``value``, and the total."""
         kind = self._df.schema[value].dataType.simpleString()
         kind = "decimal(38,4)" if kind.startswith("decimal") else kind
-        if not self._spread:
-            upto = (W.partitionBy(*by).orderBy(*self._order)
-                    .rowsBetween(W.unboundedPreceding, W.currentRow))
-            self._df = self._df.withColumn(name, F.sum(value).over(upto).cast(kind))
-            if total_name:
-                self._df = self._df.withColumn(
-                    total_name, F.sum(value).over(W.partitionBy(*by)).cast(kind))
-            return self
         inside = (W.partitionBy(SLICE, *by).orderBy(ROW)
                   .rowsBetween(W.unboundedPreceding, W.currentRow))
         return self._accumulate(F.sum(value).over(inside), F.sum(value), kind, name, by,
@@ -111,9 +88,6 @@ class Ordered:
         Equal rows inside one slice are resolved there. Only the first and last key of a slice
         can reach into another one, so at most two keys per slice are looked up.
         """
-        if not self._spread:
-            self._df = self._df.withColumn(name, F.min(position).over(W.partitionBy(*ties)))
-            return self
         local = self._df.withColumn(
             "_start", F.min(position).over(W.partitionBy(SLICE, *ties)))
         ends = self._df.groupBy(SLICE).agg(F.max(ROW).alias("_last"))
@@ -125,14 +99,14 @@ class Ordered:
         match = F.lit(True)
         for c in ties:
             match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        self._df = (local.join(F.broadcast(edges), match, "left")
+        self._df = (local.join(edges, match, "left")
                     .withColumn(name, F.coalesce("_edge", "_start"))
                     .drop("_edge", "_start", *[f"_{c}" for c in ties]))
         return self
 
 
 def _join_slices(placed: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach per-slice values (see the module text for the bound on the broadcast side)."""
+    """Attach per-slice values."""
     renamed = summary.select(
         F.col(SLICE).alias("_slice"),
         *[F.col(c).alias(f"_{c}") for c in by],
@@ -141,7 +115,7 @@ def _join_slices(placed: DataFrame, summary: DataFrame, by: Sequence[str]) -> Da
     match = F.col(SLICE) == F.col("_slice")
     for c in by:
         match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return placed.join(F.broadcast(renamed), match).drop("_slice", *[f"_{c}" for c in by])
+    return placed.join(renamed, match).drop("_slice", *[f"_{c}" for c in by])
 
 
 def percent_rank(tie_rank: Column, rows: Column) -> Column:
@@ -161,21 +135,15 @@ def tile(position: Column, rows: Column, tiles: int) -> Column:
 
 
 def exact_quantiles(df: DataFrame, column: str, points: dict[str, float],
-                    by: Sequence[str] = (), spread: bool | None = None) -> DataFrame:
+                    by: Sequence[str] = ()) -> DataFrame:
     """Interpolated quantiles of the non-null values, one row per ``by`` group.
 
-    Small inputs take the exact percentile aggregate, which holds a group's values in one task.
-    Otherwise values are first counted, so frequent values cost one row each, and the counted
-    values are accumulated in order across slices.
+    Values are first counted, so frequent values cost one row each, and the counted values are
+    accumulated in order across slices; no task holds a group.
     """
     known = df.filter(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
-    if spread is None:
-        spread = not fits_one_task(known)
-    if not spread:
-        return known.groupBy(*by).agg(
-            *[F.percentile("_v", F.lit(float(p))).alias(n) for n, p in points.items()])
     counted = known.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    cumulated = Ordered(counted, [F.col(c).asc() for c in (*by, "_v")], spread=True) \
+    cumulated = Ordered(counted, [F.col(c).asc() for c in (*by, "_v")]) \
         .running_total("_n", "_upto", by, "_rows").rows
     hits, values = F.lit(False), []
     for name, point in points.items():

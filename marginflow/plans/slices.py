@@ -104,6 +104,7 @@ def recovery_by_condition(return_lines: DataFrame) -> DataFrame:
 def monthly_trend(order_lines: DataFrame, return_lines: DataFrame) -> DataFrame:
     """Orders by order month, returns by initiation month, and month-on-month change.
 
+    The change is against the calendar month before; it is undefined after a month without rows.
     Rows are months, so the ordered windows hold a bounded number of them.
     """
     sold = order_lines.groupBy(month_key(F.col("order_date_key")).alias("month")).agg(
@@ -115,8 +116,11 @@ def monthly_trend(order_lines: DataFrame, return_lines: DataFrame) -> DataFrame:
         F.sum("return_cost_aed").cast(AMOUNT).alias("return_cost"))
     merged = sold.join(back, "month", "full").fillna(0, ["orders", "returns"])
     previous = W.orderBy("month")
-    cost_before = F.lag("return_cost").over(previous)
-    orders_before = F.lag("orders").over(previous)
+    january = F.col("month") % 100 == 1
+    month_before = F.col("month") - F.when(january, 89).otherwise(1)
+    follows = F.lag("month").over(previous) == month_before
+    cost_before = F.when(follows, F.lag("return_cost").over(previous))
+    orders_before = F.when(follows, F.lag("orders").over(previous))
     return merged.withColumns({
         "orders_mom": rate(F.col("orders") - orders_before, orders_before),
         "return_cost_mom": rate(F.col("return_cost") - cost_before, cost_before),

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from marginflow.operators.audit import union_all
 from marginflow.operators.cleaning import (
-    action_counts, clean_table, extend_calendar, guard_rows,
+    action_counts, clean_table, cleaning_details, extend_calendar, guard_rows,
+    standardize_null_tokens,
 )
+from marginflow.plans import reconciliation as checks
 from marginflow.plans.category import category_metrics
 from marginflow.plans.executive import executive_summary
 from marginflow.plans.facts import order_line_economics, return_line_economics
@@ -49,6 +51,10 @@ class GuardFailure(RuntimeError):
     """A cleaned table still has duplicate keys; it must not be written."""
 
 
+class BuildFailure(RuntimeError):
+    """A business table miscounts or a check fails; nothing is published."""
+
+
 class Warehouse:
     def __init__(self, raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
                  store: Callable[[DataFrame, str], DataFrame] = durable) -> None:
@@ -128,17 +134,30 @@ class Warehouse:
 
     def row_delta(self) -> DataFrame:
         """(table_name, bronze, silver, delta)."""
-        after = {name: self.cleaned(name) if name != CALENDAR_TABLE else self.silver(name)
+        after = {name: self._survivors(name)
                  for name in (CALENDAR_TABLE, *self.settings.cleaning, *PASS_THROUGH)}
         before = row_counts({name: self.raw[name] for name in after})
         later = row_counts(after).withColumnRenamed("n_rows", "silver")
         return (before.withColumnRenamed("n_rows", "bronze").join(later, "table_name")
                 .withColumn("delta", F.col("silver") - F.col("bronze")))
 
+    def _survivors(self, name: str) -> DataFrame:
+        """As many rows as the cleaned table: one per key where a rule deduplicates. Counting
+        needs neither the tie order nor the other columns."""
+        rules = self.settings.cleaning.get(name)
+        if rules is not None and rules.dedup_key:
+            return standardize_null_tokens(self.raw[name].select(*rules.dedup_key)).distinct()
+        return self.silver(name) if name == CALENDAR_TABLE else self.cleaned(name)
+
     def actions(self) -> DataFrame:
         """What each rule changed, per table."""
-        return union_all([action_counts(name, self.raw[name], self.silver(name))
-                          for name in self.settings.cleaning])
+        return union_all([action_counts(name, self.raw[name], self.silver(name), rules)
+                          for name, rules in self.settings.cleaning.items()])
+
+    def action_details(self) -> DataFrame:
+        """Unmapped spellings, kept nulls and rules that could not be applied, per table."""
+        return union_all([cleaning_details(name, self.raw[name], rules)
+                          for name, rules in self.settings.cleaning.items()])
 
     def write_silver(self, folder: str, fmt: str = "parquet") -> None:
         """Fail closed: nothing is written when a key is still duplicated."""
@@ -171,7 +190,7 @@ class Warehouse:
             return order_line_economics(cleaned("fact_orders"), cleaned("dim_listing"),
                                         cleaned("dim_geography"), economics, rates)
         if name == RETURN_LINES:
-            return return_line_economics(cleaned("fact_returns"), self.table(ORDER_LINES),
+            return return_line_economics(cleaned("fact_returns"), self._sold(),
                                          cleaned("dim_return_reason"), economics, rates)
         if name == LISTINGS:
             orders, returns = self.stored(ORDER_LINES), self.stored(RETURN_LINES)
@@ -193,6 +212,60 @@ class Warehouse:
             return intervention_queue(self.stored(LISTINGS), sellers, self.settings)
         raise KeyError(name)
 
+    def _sold(self) -> DataFrame:
+        """The order lines that returns refer to: the stored table, or else only the returned
+        lines, picked before they are deduplicated and enriched."""
+        key, rules = "order_line_id", self.settings.cleaning.get("fact_orders")
+        if ORDER_LINES in self._stored or rules is None or (
+                rules.dedup_key and key not in rules.dedup_key):
+            return self.table(ORDER_LINES)
+        asked = self.raw["fact_returns"].select(key).distinct()
+        lines = clean_table(self.raw["fact_orders"].join(asked, key, "left_semi"), rules,
+                            self.settings)
+        cleaned = self.cleaned
+        return order_line_economics(lines, cleaned("dim_listing"), cleaned("dim_geography"),
+                                    cleaned("ref_category_economics"),
+                                    cleaned("ref_logistics_rate_card"))
+
+    def gold_checks(self) -> DataFrame:
+        """(table_name, check_name, value, pass) of every check of every business table."""
+        stored, cleaned = self.stored, self.cleaned
+        orders, returns = stored(ORDER_LINES), stored(RETURN_LINES)
+        listings, sellers = stored(LISTINGS), stored(SELLERS)
+        categories = stored(CATEGORIES)
+        found = {
+            ORDER_LINES: checks.order_line_checks(orders, cleaned("fact_orders")),
+            RETURN_LINES: checks.return_line_checks(returns, orders, cleaned("fact_returns")),
+            LISTINGS: checks.listing_checks(listings, orders, returns, cleaned("dim_listing")),
+            SELLERS: checks.seller_checks(sellers, listings, orders, returns,
+                                          cleaned("dim_seller")),
+            CATEGORIES: checks.category_checks(categories, listings),
+            EXECUTIVE: checks.executive_checks(stored(EXECUTIVE), listings, sellers, categories,
+                                               orders, returns, self.settings),
+            QUEUE: checks.queue_checks(stored(QUEUE), listings, self.settings),
+        }
+        return union_all([df.withColumn("table_name", F.lit(name))
+                          for name, df in found.items()])
+
+    def build_gold(self, folder: str) -> DataFrame:
+        """Build the business tables in order, check them, and only then publish them as
+        ``folder/<table>``. Raises ``BuildFailure`` at the first miscounting table, and on any
+        check that fails or is undefined; then nothing is published."""
+        expected = checks.expected_counts(self.cleaned)
+        for name in GOLD_KEYS:
+            self.stored(name)
+            if name in expected:
+                row = checks.row_count_regression(
+                    {name: self.stored(name)}, {name: expected[name]}).first()
+                if not row["pass"]:
+                    raise BuildFailure(f"{name}: {row.actual} rows, expected {row.expected}")
+        results = self._written("gold checks", self.gold_checks())
+        failed = results.filter("NOT coalesce(`pass`, false)").collect()
+        if failed:
+            raise BuildFailure("; ".join(f"{r.table_name}: {r.check_name}" for r in failed))
+        write_layer({name: self.table(name) for name in GOLD_KEYS}, folder)
+        return results
+
     def gold_layer(self) -> dict[str, DataFrame]:
         """All business tables, stored, in build order."""
         for name in GOLD_KEYS:

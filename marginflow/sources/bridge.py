@@ -21,7 +21,6 @@ from marginflow.settings import DEFAULT, WEEKEND_DAYS, Settings
 from marginflow.sources import inline
 
 AS_OF = 20010630
-CALENDAR_END = "2000-12-31"
 LISTINGS_PER_SELLER = 20
 
 
@@ -124,13 +123,9 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_returns(spark: SparkSession, folder: str, any_status: bool = False) -> DataFrame:
-    """Returned lines; ``any_status`` keeps those whose order was never delivered."""
+def raw_returns(spark: SparkSession, folder: str) -> DataFrame:
+    """Every returned line, also those whose order was never delivered; checks report them."""
     lines = scan(spark, folder, "lineitem").filter(F.col("l_returnflag") == "R")
-    if not any_status:
-        done = (scan(spark, folder, "orders").filter(F.col("o_orderstatus") == "F")
-                .select("o_orderkey"))
-        lines = lines.join(done, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     shipped = F.col("l_shipdate").cast("date")
     initiated = F.date_add(shipped, F.col("l_linenumber") - 2)
     received = F.date_add(initiated, (F.col("l_quantity") % 5 - 1).cast("int"))
@@ -207,14 +202,13 @@ def raw_geography(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    """Days from the first order up to the last one, but not beyond ``CALENDAR_END``."""
+    """Days from the first order up to the last one; promised dates lie beyond."""
     day = F.col("full_date")
     fields = calendar_fields(day, WEEKEND_DAYS)
     month, dom = F.month(day), F.dayofmonth(day)
     days = (scan(spark, folder, "orders")
             .agg(F.min("o_orderdate").cast("date").alias("a"),
-                 F.least(F.max("o_orderdate").cast("date"), F.lit(CALENDAR_END).cast("date"))
-                 .alias("b"))
+                 F.max("o_orderdate").cast("date").alias("b"))
             .select(F.explode(F.sequence("a", "b")).alias("full_date")))
     return days.select(
         *[c.alias(n) for n, c in fields.items()],
@@ -237,11 +231,7 @@ def raw_traffic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 class RawLayer(Mapping):
-    """The ten bronze tables over one folder of generic tables, each planned on first use.
-
-    ``flagged_returns`` is an extra: returned lines of any order status, for the check that
-    returns were delivered.
-    """
+    """The ten bronze tables over one folder of generic tables, each planned on first use."""
 
     _tables = {
         "dim_date": raw_calendar,
@@ -254,7 +244,6 @@ class RawLayer(Mapping):
         "fact_returns": raw_returns,
         "ref_category_economics": lambda spark, folder: inline.category_economics(spark),
         "ref_logistics_rate_card": lambda spark, folder: inline.rate_card(spark),
-        "flagged_returns": lambda spark, folder: raw_returns(spark, folder, any_status=True),
     }
 
     def __init__(self, spark: SparkSession, folder: str) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from marginflow import settings as S
-from marginflow.sources.bridge import AS_OF, CALENDAR_END, LISTINGS_PER_SELLER
+from marginflow.sources.bridge import AS_OF, LISTINGS_PER_SELLER
 
 _CTES: dict[str, str] = {}
 
@@ -103,9 +103,8 @@ SELECT l_orderkey * 8 + l_linenumber AS order_line_id, l_orderkey AS order_id,
     AS order_status
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
 """
-_CTES["flagged_returns"] = f"""
+_CTES["raw_returns"] = f"""
 SELECT l_orderkey * 8 + l_linenumber AS return_id, l_orderkey * 8 + l_linenumber AS order_line_id,
-  o_orderstatus,
   {key_of("CAST(l_shipdate AS DATE) + to_days(CAST(l_linenumber - 2 AS INTEGER))")}
     AS return_initiated_date_key,
   {key_of("CAST(l_shipdate AS DATE) + to_days(CAST(l_linenumber - 2 + l_quantity % 5 - 1 AS INTEGER))")}
@@ -120,10 +119,7 @@ SELECT l_orderkey * 8 + l_linenumber AS return_id, l_orderkey * 8 + l_linenumber
          + " AS DECIMAL(18,4)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))), 4)")}
     AS refund_amount,
   CASE l_linenumber % 2 WHEN 0 THEN 'wallet' ELSE 'card' END AS refund_method
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'
-"""
-_CTES["raw_returns"] = """
-SELECT * EXCLUDE (o_orderstatus) FROM flagged_returns WHERE o_orderstatus = 'F'
+FROM lineitem WHERE l_returnflag = 'R'
 """
 _CTES["raw_listings"] = f"""
 SELECT p_partkey AS listing_id, CAST(floor(p_partkey / {LISTINGS_PER_SELLER}.0) AS BIGINT) AS seller_id,
@@ -168,7 +164,7 @@ _CTES["raw_calendar"] = f"""
 SELECT {key_of('d')} AS date_key, CAST(d AS DATE) AS full_date
 FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d
       FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo,
-              least(CAST(max(o_orderdate) AS DATE), DATE '{CALENDAR_END}') AS hi FROM orders))
+              CAST(max(o_orderdate) AS DATE) AS hi FROM orders))
 """
 _CTES["raw_traffic"] = f"""
 SELECT user_id AS listing_id, {key_of('ts')} AS date_key,

@@ -9,7 +9,7 @@ from marginflow.plans.listing import LISTING_COLUMNS
 from marginflow.plans.queue import QUEUE_COLUMNS
 from marginflow.plans.seller import SELLER_COLUMNS
 from marginflow.sources.bridge import AS_OF
-from oracles.audit_sql import LAYERS, audit, outside
+from oracles.audit_sql import COLUMNS, LAYERS, audit, outside
 from oracles.prelude import (
     ORDER_REST, SIGNAL_SQL, best_row, denull, enum_form, half_up, quot, rate, squeeze, statement,
 )
@@ -267,11 +267,25 @@ add("dq_foreign_key", "\nUNION ALL ".join(
 add("dq_fk_coverage", "\nUNION ALL ".join(
     _fk(t, fk, True) for t in ("fact_listing_traffic", "fact_orders", "fact_returns")
     for fk in S.CONTRACTS[t].foreign_keys if fk.table == "dim_date"))
+# fixed values: a column whose letters contain one of these is a metric
+_METRIC_NAMES = "listingqualityscore|lqs|trustscore|returncost|recoverableprofit"
+
+
+def _exposed(table: str, src: str, columns) -> str:
+    """Columns are matched by name in SQL; their filled cells are counted."""
+    names = ", ".join(f"'{c}'" for c in columns)
+    bad = (f"regexp_matches(regexp_replace(lower(u.c), '[^a-z0-9]', '', 'g'), "
+           f"'{_METRIC_NAMES}')")
+    cells = " + ".join(
+        f"CASE WHEN {bad.replace('u.c', repr(c))} THEN count({c}) ELSE 0 END" for c in columns)
+    return (f"SELECT '{table}' AS table_name, count(*) AS n_rows, (SELECT count(*) FROM "
+            f"(SELECT unnest([{names}]) AS c) u WHERE {bad}) AS offending_columns, "
+            f"CAST({cells} AS BIGINT) AS exposed_values FROM {src} AS x")
+
+
 add("dq_leakage", "\nUNION ALL ".join(
-    [f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS offending_columns, "
-     f"CAST(0 AS BIGINT) AS exposed_values FROM {src} AS x" for t, src in _RAW.items()]
-    + ["SELECT 'gold_listing_metrics', count(*), CAST(3 AS BIGINT), count(listing_quality_score) "
-       "+ count(return_cost) + count(recoverable_profit) FROM listing_mart"]))
+    [_exposed(t, src, COLUMNS[t]) for t, src in _RAW.items()]
+    + [_exposed("gold_listing_metrics", "listing_mart", LISTING_COLUMNS)]))
 
 
 def _member(table: str, column: str, words: str, forms: str) -> str:
@@ -301,7 +315,7 @@ add("dq_membership", "\nUNION ALL ".join([
             _words(S.PAYMENT_METHODS))]))
 add("dq_delivered_only", """
 SELECT COALESCE(s, 'unmatched') AS outcome, count(*) AS n_returns
-FROM flagged_returns r LEFT JOIN
+FROM raw_returns r LEFT JOIN
   (SELECT order_line_id, max(order_status) AS s FROM raw_orders GROUP BY 1) o
   ON r.order_line_id = o.order_line_id GROUP BY ALL""")
 
@@ -474,8 +488,12 @@ def _near(a: str, b: str, tol: float = 0.01) -> str:
     return f"abs({a} - {b}) < {tol}"
 
 
+_CHECK_ROWS: dict[str, str] = {}
+
+
 def _checks(name: str, rows: list[str]) -> None:
-    add(name, "\nUNION ALL ".join(rows))
+    _CHECK_ROWS[name] = "\nUNION ALL ".join(rows)
+    add(name, _CHECK_ROWS[name])
 
 
 _O, _R, _L, _SM, _C, _E, _Q = ("order_lines", "return_lines", "listing_mart", "seller_mart",
@@ -734,16 +752,18 @@ SELECT item_condition_on_receipt, {I('sum(quantity_returned)', 'units')},
 FROM return_lines GROUP BY ALL""")
 add("monthly_trend", f"""
 SELECT {I('month')}, orders, {D('revenue')}, returns, {D('cost', 'return_cost')},
-  {rate('orders - lag(orders) OVER (ORDER BY month)', 'lag(orders) OVER (ORDER BY month)')}
-    AS orders_mom,
-  {rate('cost - lag(cost) OVER (ORDER BY month)', 'lag(cost) OVER (ORDER BY month)')}
-    AS return_cost_mom
-FROM (SELECT COALESCE(o.month, r.month) AS month, COALESCE(orders, 0) AS orders, revenue,
+  {rate('orders - orders_before', 'orders_before')} AS orders_mom,
+  {rate('cost - cost_before', 'cost_before')} AS return_cost_mom
+FROM (SELECT *,
+        max(orders) OVER before AS orders_before, max(cost) OVER before AS cost_before
+      FROM (SELECT COALESCE(o.month, r.month) AS month, COALESCE(orders, 0) AS orders, revenue,
         COALESCE(returns, 0) AS returns, cost
       FROM (SELECT order_date_key // 100 AS month, count(*) AS orders,
               sum(realized_net_revenue_aed) AS revenue FROM order_lines GROUP BY 1) o
       FULL JOIN (SELECT return_initiated_date_key // 100 AS month, count(*) AS returns,
-              sum(return_cost_aed) AS cost FROM return_lines GROUP BY 1) r ON o.month = r.month)""")
+              sum(return_cost_aed) AS cost FROM return_lines GROUP BY 1) r ON o.month = r.month)
+      WINDOW before AS (ORDER BY month // 100 * 12 + month % 100
+                        RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING))""")
 add("period_to_date", f"""
 SELECT {I('k', 'date_key')}, {D('c', 'return_cost')},
   {D('sum(c) OVER (PARTITION BY k // 100 ORDER BY k ROWS UNBOUNDED PRECEDING)', 'mtd')},
@@ -840,3 +860,60 @@ add("queue_top_n", typed(("global_priority_rank", "intervention_id", "interventi
                           "priority_opportunity_aed", "recommended_owner",
                           "recommendation_summary"), "queue",
                          "WHERE global_priority_rank <= 50"))
+
+
+# -- reports ----------------------------------------------------------------------------------------
+_KEYED = "CASE WHEN listing_id % 5 = 0 THEN CAST(listing_id AS VARCHAR) || '.5' " \
+         "ELSE CAST(listing_id AS VARCHAR) END"
+add("dq_key_normalization", f"""
+SELECT count(*) FILTER (k IS NULL) AS null_count, count(*) FILTER (NOT known) AS orphan_count,
+  COALESCE({rate('count(k) - count(*) FILTER (NOT known)', 'count(k)')}, 1.0::DOUBLE) AS match_rate,
+  COALESCE((SELECT string_agg(k, ',' ORDER BY k) FROM (
+    SELECT DISTINCT {_KEYED} AS k FROM raw_orders WHERE {_KEYED} NOT IN
+      (SELECT CAST(listing_id AS VARCHAR) FROM raw_listings) ORDER BY k LIMIT 10)), '')
+    AS orphan_sample
+FROM (SELECT {_KEYED} AS k, {_KEYED} IN (SELECT CAST(listing_id AS VARCHAR) FROM raw_listings)
+        AS known FROM raw_orders)""")
+_MARTS = {"gold_order_line_economics": "checks_order_economics",
+          "gold_return_line_economics": "checks_return_economics",
+          "gold_listing_metrics": "checks_listing", "gold_seller_metrics": "checks_seller",
+          "gold_category_metrics": "checks_category",
+          "gold_executive_summary": "checks_executive",
+          "gold_intervention_queue": "checks_queue"}
+add("gold_build_checks", "\nUNION ALL ".join(
+    f"SELECT '{table}' AS table_name, * FROM ({_CHECK_ROWS[name]})"
+    for table, name in _MARTS.items()))
+add("audit_report", f"""
+SELECT a.*, tables, total_rows, row_counts, COALESCE(blocking_findings, '') AS blocking_findings
+FROM (SELECT count(*) AS checks_run, count(*) FILTER (status = 'PASS') AS passed,
+        count(*) FILTER (status = 'WARN') AS warnings,
+        count(*) FILTER (blocking) AS blocking_failures,
+        CASE WHEN bool_or(blocking) THEN 'FAIL' WHEN bool_or(status = 'WARN') THEN 'WARN'
+          ELSE 'PASS' END AS overall_status,
+        string_agg(table_name || ': ' || check_name, ',' ORDER BY table_name || ': ' || check_name)
+          FILTER (blocking) AS blocking_findings
+      FROM ({audit('bronze')})) a,
+  (SELECT count(*) AS tables, CAST(sum(n_rows) AS BIGINT) AS total_rows,
+     string_agg(table_name || '=' || n_rows, ',' ORDER BY table_name || '=' || n_rows)
+       AS row_counts FROM ({_counts('bronze')}))""".replace("SELECT a.*,", """SELECT checks_run,
+  passed, warnings, blocking_failures, overall_status,"""))
+
+
+def _unmapped(table: str, column: str, words) -> str:
+    src = _RAW[table]
+    known = ", ".join("'" + "_".join(w.strip().lower().replace("_", " ").split()) + "'"
+                      for w in words)
+    other = f"({denull(column)}) IS NOT NULL AND {enum_form(column)} NOT IN ({known})"
+    return (f"SELECT '{table}' AS table_name, 'unmapped_values' AS action, '{column}' AS target, "
+            f"(SELECT count(*) FROM {src} WHERE {other}) AS affected, "
+            f"COALESCE((SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {column} AS v "
+            f"FROM {src} WHERE {other} ORDER BY v LIMIT 10)), '') AS detail")
+
+
+add("cleaning_report", "\nUNION ALL ".join([
+    _unmapped("dim_seller", "fulfillment_type", ("marketplace_fulfilled", "seller_fulfilled")),
+    _unmapped("dim_seller", "seller_country", S.SELLER_COUNTRIES),
+    _unmapped("fact_orders", "payment_method", S.PAYMENT_METHODS),
+    _unmapped("fact_returns", "item_condition_on_receipt", S.ITEM_CONDITIONS),
+    "SELECT 'fact_orders', 'keep', 'actual_delivery_date_key', "
+    "count(*) FILTER (actual_delivery_date_key IS NULL), 'nulls kept' FROM raw_orders"]))

@@ -1,7 +1,9 @@
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from marginflow.operators import audit as A
-from marginflow.settings import Bounds
+from marginflow.settings import DEFAULT, Bounds, TableContract
 
 
 def one(df):
@@ -72,3 +74,51 @@ def test_summary_verdict(spark):
     failed = results.union(spark.createDataFrame([("FAIL", True)], results.schema))
     assert one(A.summarize(failed))["overall_status"] == "FAIL"
     assert one(A.summarize(results.filter(F.col("status") == "PASS")))["overall_status"] == "PASS"
+
+
+def test_fractional_keys_are_never_cut_off(spark):
+    child = spark.createDataFrame([(10.0,), (10.5,), (20251025.0,), (None,), (7.0,)], "k double")
+    parent = spark.createDataFrame([("10",), (" 20251025 ",), ("10.5x",)], "k string")
+    out = one(A.foreign_key(child, "k", parent, "k"))
+    assert (out["null_count"], out["orphan_count"], out["orphan_sample"]) == (1, 2, "10.5,7")
+    numbers = spark.createDataFrame([(10,), (20251025,), (7,)], "k bigint")
+    assert one(A.foreign_key(child, "k", numbers, "k"))["orphan_sample"] == "10.5"
+    large = spark.createDataFrame([(2.0251025e7,)], "k double")
+    assert one(A.foreign_key(large, "k", numbers, "k"))["orphan_count"] == 0
+
+
+def test_delivered_only_compares_keys_like_foreign_keys(spark):
+    returns = spark.createDataFrame([(" a ",), ("b",), ("c",), (None,)], "order_line_id string")
+    orders = spark.createDataFrame([("a", "delivered"), ("b ", "cancelled"), (None, "x")],
+                                   "order_line_id string, order_status string")
+    got = {r.outcome: r.n_returns for r in A.delivered_only(returns, orders).collect()}
+    assert got == {"delivered": 1, "cancelled": 1, "unmatched": 1}
+
+
+def test_bounds_of_missing_columns_warn(spark):
+    df = spark.createDataFrame([(1, 5.0)], "k int, v double")
+    found = A.ranges(df, [Bounds("v", 0, 1), Bounds("gone", 0, 1)]).collect()
+    assert {(r.column_name, r.out_of_range) for r in found} == {("v", 1), ("gone", None)}
+    contract = TableContract(key=("k",), bounds=(Bounds("gone", 0, 1),))
+    settings = replace(DEFAULT, contracts={"t": contract})
+    rows = A.audit_layer({"t": df}, settings).filter("check_name = 'distribution_ranges'").collect()
+    assert [(r.status, r.details.get("column")) for r in rows] == [("WARN", "gone")]
+
+
+def test_duplicates_are_compared_within_repeated_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "d")],
+                               "k int, v string")
+    for key in ((), ("k",)):
+        assert one(A.duplicate_rows(df, key)) == {"row_count": 6, "duplicate_rows": 4}
+
+
+def test_report_is_written_with_counts_and_blocking_findings(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (1,)], "k int")
+    settings = replace(DEFAULT, contracts={"t": TableContract(key=("k",))})
+    tables = {"t": df}
+    results = A.audit_layer(tables, settings)
+    A.write_report(results, tables, str(tmp_path))
+    summary = one(spark.read.json(str(tmp_path / "summary")))
+    assert (summary["tables"], summary["total_rows"], summary["row_counts"]) == (1, 2, "t=2")
+    assert summary["blocking_findings"] == "t: primary_key" and summary["overall_status"] == "FAIL"
+    assert spark.read.json(str(tmp_path / "results")).count() == summary["checks_run"]

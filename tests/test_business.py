@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from marginflow.operators import audit
 from marginflow.plans import reconciliation as R
 from marginflow.plans import seller as seller_plan
+from marginflow.plans import slices
 from marginflow.plans.warehouse import (
     CATEGORIES, EXECUTIVE, GOLD_KEYS, LISTINGS, ORDER_LINES, QUEUE, RETURN_LINES, SELLERS,
-    GuardFailure, Warehouse,
+    BuildFailure, GuardFailure, Warehouse,
 )
 from marginflow.settings import DEFAULT
 from marginflow.sources import inline
 from marginflow.sources.export import MissingTables, export_tables, read_back
-from marginflow.sources.layers import MissingTable, read_layer, write_layer
+from marginflow.sources.layers import MissingTable, read_layer, register_views, write_layer
 from marginflow.sources.schemas import TABLE_DDL
 
 
@@ -187,3 +188,39 @@ def test_export_reads_back(warehouse, tmp_path):
     assert len(report) == 14 and {r.status for r in report} == {"OK"}
     with pytest.raises(MissingTables):
         export_tables({}, GOLD_KEYS, str(tmp_path))
+
+
+def test_monthly_change_is_against_the_calendar_month_before(spark):
+    sold = spark.createDataFrame(
+        [(20251201, D(1)), (20260105, D(1)), (20260106, D(1)), (20260301, D(1))],
+        "order_date_key int, realized_net_revenue_aed decimal(18,4)")
+    back = spark.createDataFrame([], "return_initiated_date_key int, return_cost_aed decimal(18,4)")
+    out = {r.month: r.orders_mom for r in slices.monthly_trend(sold, back).collect()}
+    assert out == {202512: None, 202601: 1.0, 202603: None}
+
+
+def test_build_publishes_only_what_passes(spark, raw, tmp_path):
+    w = Warehouse(raw, DEFAULT)
+    results = w.gold_checks()
+    assert results.count() == 72
+    failed = results.filter("NOT coalesce(`pass`, false)").count()
+    if failed:
+        with pytest.raises(BuildFailure):
+            w.build_gold(str(tmp_path / "gold"))
+        assert not (tmp_path / "gold").exists()
+    else:
+        w.build_gold(str(tmp_path / "gold"))
+        assert {p.name for p in (tmp_path / "gold").iterdir()} == set(GOLD_KEYS)
+
+
+def test_miscounting_table_stops_the_build(spark, raw, tmp_path):
+    w = Warehouse(raw, DEFAULT)
+    w._stored[RETURN_LINES] = w.stored(RETURN_LINES).limit(0)
+    with pytest.raises(BuildFailure, match=RETURN_LINES):
+        w.build_gold(str(tmp_path / "gold"))
+    assert not (tmp_path / "gold").exists()
+
+
+def test_views_over_a_layer(spark, raw):
+    register_views({"dim_seller": raw["dim_seller"]}, "bronze_")
+    assert spark.sql("SELECT count(*) FROM bronze_dim_seller").first()[0] == 3

@@ -3,7 +3,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from marginflow.operators import cleaning as C
-from marginflow.settings import DEFAULT, Bounds, NullRule
+from marginflow.settings import DEFAULT, Bounds, CleaningRules, NullRule
 
 
 def rows(df, *order):
@@ -125,3 +125,30 @@ def test_cleaning_twice_changes_nothing(spark):
                                                               "seller_id")
     assert C.guard_rows("dim_seller", once, ["seller_id"]).collect()[0].status == "OK"
     assert C.guard_rows("dim_seller", df, ["seller_id"]).collect()[0].duplicate_rows == 2
+
+
+def test_action_log_without_flags_keeps_the_dedup_row(spark):
+    raw = spark.createDataFrame([(1, "n/a"), (1, "x"), (2, "y")], "k int, v string")
+    rules = CleaningRules(dedup_key=("k",))
+    log = C.action_counts("t", raw, C.clean_table(raw, rules, DEFAULT), rules)
+    assert {(r.action, r.affected) for r in log.collect()} == {
+        ("standardize_null_tokens", 1), ("deduplicate", 1)}
+    plain = C.action_counts("t", raw, C.clean_table(raw, CleaningRules(), DEFAULT),
+                            CleaningRules())
+    assert [r.action for r in plain.collect()] == ["standardize_null_tokens"]
+
+
+def test_action_details(spark):
+    raw = spark.createDataFrame([("red",), ("Blue ",), ("teal",), ("teal",), ("n/a",)], "c string")
+    rules = CleaningRules(enums={"c": ("red", "blue"), "gone": ("x",)},
+                          nulls={"c": NullRule("keep"), "d": NullRule("fill", 1),
+                                 }, bounds=(Bounds("e", 0),))
+    got = {(r.action, r.target): (r.affected, r.detail)
+           for r in C.cleaning_details("t", raw, rules).collect()}
+    assert got == {("unmapped_values", "c"): (2, "teal"), ("keep", "c"): (1, "nulls kept"),
+                   ("error", "gone"): (0, "normalize_enum: column missing"),
+                   ("error", "d"): (0, "null_policy: column missing"),
+                   ("error", "e"): (0, "flag_invalid_ranges: column missing")}
+    odd = CleaningRules(nulls={"c": NullRule("guess")})
+    assert [r.detail for r in C.cleaning_details("t", raw, odd).collect()] == [
+        "null_policy: unknown strategy 'guess'"]

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from marginflow.operators.ranking import Ordered, exact_quantiles, percent_rank, tile
-from marginflow.operators.sizing import fits_one_task
 
 
 @pytest.fixture(autouse=True)
@@ -23,8 +22,8 @@ def data(spark, n=400, seed=1):
     return spark.createDataFrame(made, "id int, g string, v int").repartition(7)
 
 
-def ranked(df, spread):
-    o = Ordered(df, [F.col("g").asc(), F.col("v").desc_nulls_last(), F.col("id").asc()], spread)
+def ranked(df):
+    o = Ordered(df, [F.col("g").asc(), F.col("v").desc_nulls_last(), F.col("id").asc()])
     out = (o.position("p", count_name="n").position("pg", ("g",), "ng")
            .tie_rank("pg", "tie", ("g", "v"))
            .running_total("w", "run", total_name="total")
@@ -34,47 +33,45 @@ def ranked(df, spread):
 
 
 @pytest.mark.parametrize("n", [1, 2, 400])
-def test_spread_equals_plain_windows(spark, n):
+def test_slices_equal_plain_windows(spark, n):
     df = data(spark, n).withColumn("w", (F.col("id") % 5 + 1).cast("bigint"))
-    spread, plain = ranked(df, True), ranked(df, False)
-    names = sorted(plain.columns)
-    assert sorted(spread.columns) == names
-    left = [tuple(r) for r in spread.select(names).orderBy("id").collect()]
-    assert left == [tuple(r) for r in plain.select(names).orderBy("id").collect()]
     df.createOrReplaceTempView("ranking_input")
-    sql = spark.sql("""
-        SELECT id, ntile(3) OVER (ORDER BY g, v DESC NULLS LAST, id) AS third,
+    plain = spark.sql("""
+        SELECT *, row_number() OVER (ORDER BY g, v DESC NULLS LAST, id) AS p,
+               count(*) OVER () AS n,
+               row_number() OVER (PARTITION BY g ORDER BY v DESC NULLS LAST, id) AS pg,
+               count(*) OVER (PARTITION BY g) AS ng,
+               rank() OVER (PARTITION BY g ORDER BY v DESC NULLS LAST) AS tie,
+               sum(w) OVER (ORDER BY g, v DESC NULLS LAST, id ROWS UNBOUNDED PRECEDING) AS run,
+               sum(w) OVER () AS total,
+               sum(w) OVER (PARTITION BY g ORDER BY v DESC NULLS LAST, id
+                            ROWS UNBOUNDED PRECEDING) AS run_g,
+               ntile(3) OVER (ORDER BY g, v DESC NULLS LAST, id) AS third,
                percent_rank() OVER (PARTITION BY g ORDER BY v DESC NULLS LAST) AS pr
         FROM ranking_input""")
-    want = [tuple(r) for r in sql.orderBy("id").collect()]
-    assert want == [tuple(r) for r in spread.select("id", "third", "pr").orderBy("id").collect()]
+    names, sliced = sorted(plain.columns), ranked(df)
+    assert sorted(sliced.columns) == names
+    assert [tuple(r) for r in sliced.select(names).orderBy("id").collect()] == \
+        [tuple(r) for r in plain.select(names).orderBy("id").collect()]
 
 
 def test_one_value_spreads_over_slices(spark):
     df = spark.range(4000).withColumn("v", F.lit(7))
-    placed = Ordered(df, [F.col("v").desc(), F.col("id").asc()], True)
+    placed = Ordered(df, [F.col("v").desc(), F.col("id").asc()])
     assert placed._df.select("slice_id").distinct().count() > 1
     out = placed.position("p").tie_rank("p", "tie", ("v",)).rows
     assert out.agg(F.min("tie"), F.max("tie"), F.count_distinct("p")).collect()[0][:] == (1, 1, 4000)
 
 
-def test_quantiles_agree(spark):
+def test_quantiles_equal_the_percentile_aggregate(spark):
     df = data(spark)
     points = {"low": 0.1, "mid": 0.5, "high": 0.75}
-    both = [sorted(tuple(r) for r in exact_quantiles(df, "v", points, ("g",), spread).collect())
-            for spread in (True, False)]
-    for left, right in zip(*both, strict=True):
-        assert left[0] == right[0] and left[1:] == pytest.approx(right[1:])
-    whole = [exact_quantiles(df, "v", points, (), s).collect()[0] for s in (True, False)]
-    assert tuple(whole[0]) == pytest.approx(tuple(whole[1]))
-
-
-def test_size_decides(spark, tmp_path):
-    spark.range(1000).write.parquet(str(tmp_path / "t"))
-    assert fits_one_task(spark.read.parquet(str(tmp_path / "t")))
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert not fits_one_task(spark.read.parquet(str(tmp_path / "t")))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for by in (("g",), ()):
+        exact = df.filter("v is not null").groupBy(*by).agg(
+            *[F.percentile("v", F.lit(p)).alias(n) for n, p in points.items()])
+        want, got = (sorted(tuple(r) for r in d.collect())
+                     for d in (exact, exact_quantiles(df, "v", points, by)))
+        assert len(got) == len(want)
+        for left, right in zip(got, want, strict=True):
+            assert left[:len(by)] == right[:len(by)]
+            assert left[len(by):] == pytest.approx(right[len(by):])

@@ -142,12 +142,11 @@ def equal_neighbours(rows: DataFrame) -> DataFrame:
         rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
             run, "key long, doc_id long, at int, first long, repeated boolean, edge boolean"),
         "neighbours")
-    edges = compared.filter("edge")
-    ends = edges.groupBy("key").agg(F.min("first").alias("least"), F.count("*").alias("rows"))
-    settled = edges.join(ends, "key").filter("repeated or rows > 1") \
-        .select("doc_id", "at", F.least("first", "least").alias("first"))
-    return compared.filter("repeated and not edge").select("doc_id", "at", "first") \
-        .unionByName(settled)
+    # at most two keys for each partition, so the broadcast is bounded
+    ends = compared.filter("edge").groupBy("key").agg(F.min("first").alias("least"),
+                                                      F.count("*").alias("ends"))
+    return (compared.join(F.broadcast(ends), "key", "left").filter("repeated or ends > 1")
+            .select("doc_id", "at", F.least("first", "least").alias("first")))
 
 
 def _runs_around(docs: DataFrame, rules: Passages) -> DataFrame:

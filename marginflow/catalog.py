@@ -21,8 +21,8 @@ from marginflow.plans.warehouse import (
     CATEGORIES, EXECUTIVE, GOLD_KEYS, LISTINGS, ORDER_LINES, QUEUE, RETURN_LINES, SELLERS,
     Warehouse,
 )
+from marginflow.settings import CALENDAR_TABLE, PAYMENT_METHODS
 from marginflow.settings import CATEGORIES as CATEGORY_NAMES
-from marginflow.settings import PAYMENT_METHODS
 from marginflow.sources.export import export_tables, read_back
 from marginflow.sources.layers import row_counts
 from marginflow.sources.schemas import TABLES
@@ -167,15 +167,18 @@ def dq_primary_key(w: Warehouse) -> DataFrame:
 
 @query
 def dq_foreign_key(w: Warehouse) -> DataFrame:
-    frames = []
-    for table in ("dim_listing", "fact_listing_traffic", "fact_orders", "fact_returns"):
-        for fk in w.settings.contracts[table].foreign_keys:
-            if fk.table != "dim_date":
-                frames.append(audit.foreign_key(
-                    w.raw[table], fk.column, w.raw[fk.table], fk.parent_column)
-                    .select(F.lit(f"{table}.{fk.column}").alias("reference"), "null_count",
-                            "orphan_count", "match_rate", "orphan_sample"))
-    return audit.union_all(frames)
+    return audit.union_all([
+        _references(w, table, calendar=False).select(
+            "reference", "null_count", "orphan_count", "match_rate", "orphan_sample")
+        for table in ("dim_listing", "fact_listing_traffic", "fact_orders", "fact_returns")])
+
+
+def _references(w: Warehouse, table: str, calendar: bool) -> DataFrame:
+    return audit.foreign_keys(w.raw[table], [
+        audit.Reference(f"{table}.{fk.column}", fk.column, w.raw[fk.table], fk.parent_column,
+                        calendar)
+        for fk in w.settings.contracts[table].foreign_keys
+        if (fk.table == CALENDAR_TABLE) == calendar])
 
 
 @query
@@ -193,14 +196,9 @@ def dq_key_normalization(w: Warehouse) -> DataFrame:
 
 @query
 def dq_fk_coverage(w: Warehouse) -> DataFrame:
-    frames = []
-    for table in ("fact_listing_traffic", "fact_orders", "fact_returns"):
-        for fk in w.settings.contracts[table].foreign_keys:
-            if fk.table == "dim_date":
-                frames.append(audit.foreign_key(
-                    w.raw[table], fk.column, w.raw[fk.table], fk.parent_column, True)
-                    .withColumn("reference", F.lit(f"{table}.{fk.column}")))
-    return audit.union_all(frames)
+    return audit.union_all([
+        _references(w, table, calendar=True)
+        for table in ("fact_listing_traffic", "fact_orders", "fact_returns")])
 
 
 @query
@@ -274,26 +272,26 @@ def dq_funnel(w: Warehouse) -> DataFrame:
 
 @query
 def audit_full(w: Warehouse) -> DataFrame:
-    return audit.audit_layer(w.landed(), w.settings).select(
+    return audit.audit_layer(w.raw, w.settings).select(
         "table_name", "check_name", "status", "severity", "blocking", "violations")
 
 
 @query
 def audit_summary(w: Warehouse) -> DataFrame:
-    return audit.summarize(audit.audit_layer(w.landed(), w.settings))
+    return audit.summarize(audit.audit_layer(w.raw, w.settings))
 
 
 @query
 def audit_report(w: Warehouse) -> DataFrame:
-    tables = w.landed()
-    return audit.report(audit.audit_layer(tables, w.settings), tables)
+    return audit.report(audit.audit_layer(w.raw, w.settings),
+                        {name: w.raw[name] for name in w.settings.contracts})
 
 
 @query
 def audit_before_after(w: Warehouse) -> DataFrame:
     """The same contract on the raw and the cleaned layer."""
     frames = []
-    for layer, tables in (("bronze", w.landed()), ("silver", w.stored_silver())):
+    for layer, tables in (("bronze", w.raw), ("silver", w.stored_silver())):
         results = audit.audit_layer(tables, w.settings)
         frames.append(results.groupBy("table_name").agg(
             F.count(F.lit(1)).alias("checks"),

@@ -8,9 +8,11 @@ values before it joins, so a value shared by very many rows moves as one row.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import rate
@@ -80,51 +82,83 @@ def primary_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def _matched_keys(child: DataFrame, column: str, parent: DataFrame,
-                  parent_column: str) -> DataFrame:
-    """(key, n, known): distinct child keys with row counts and whether the parent has them."""
-    as_text = _as_text((child, column), (parent, parent_column))
-    keys = (child.groupBy(comparable(child, column, as_text).alias("key"))
-            .agg(F.count(F.lit(1)).alias("n")))
-    parents = (parent.select(comparable(parent, parent_column, as_text).alias("parent_key"))
-               .filter("parent_key IS NOT NULL").distinct())
-    return keys.join(parents, F.expr("key = parent_key"), "left").selectExpr(
-        "key", "n", "parent_key IS NOT NULL AS known")
+@dataclass(frozen=True)
+class Reference:
+    """One foreign key of a child table. For a calendar parent an orphan beyond its last key
+    only shows that the calendar is short (``coverage_aware``)."""
 
+    name: str
+    column: str
+    parent: DataFrame
+    parent_column: str
+    coverage_aware: bool = False
 
-def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                coverage_aware: bool = False, samples: bool = True) -> DataFrame:
-    """Nulls are counted apart and are no orphans.
 
-    For a calendar parent an orphan beyond its last key only shows that the calendar is short.
+def _parents(references: Sequence[Reference]) -> tuple[DataFrame, dict[str, int]]:
+    """(parent, key): the keys of every distinct parent column, and each reference's parent."""
+    numbers: dict[tuple[int, str], int] = {}
+    number_of = {r.name: numbers.setdefault((id(r.parent), r.parent_column), len(numbers))
+                 for r in references}
+    frames = {number_of[r.name]: r.parent.select(
+        F.lit(number_of[r.name]).alias("parent"),
+        comparable(r.parent, r.parent_column, True).alias("parent_key"))
+        for r in references}
+    return union_all(list(frames.values())).filter("parent_key IS NOT NULL").distinct(), number_of
+
+
+def foreign_keys(child: DataFrame, references: Sequence[Reference]) -> DataFrame:
+    """One row per reference: nulls, orphans, those beyond the calendar, match rate, and the ten
+    smallest orphans as text.
+
+    The table is scanned once: its keys are stacked as (reference, key) and counted before they
+    meet the parents, and references to the same parent column share one scan of it. Nulls are
+    counted apart and are no orphans.
     """
-    matched = _matched_keys(child, column, parent, parent_column)
-    marked = matched.withColumn("orphan", F.expr("key IS NOT NULL AND NOT known"))
-    if coverage_aware:
-        last = parent.agg(F.max(F.col(parent_column).try_cast("bigint"))).scalar()
-        number = F.col("key").try_cast("bigint")
-        marked = marked.withColumn(
-            "beyond", F.coalesce(F.col("orphan") & (number > last), F.lit(False)))
-    else:
-        marked = marked.withColumn("beyond", F.lit(False))
-    counts = marked.groupBy().agg(
-        F.expr("coalesce(sum(CASE WHEN key IS NULL THEN n END), 0) AS null_count"),
+    spark = child.sparkSession
+    parents, number_of = _parents(references)
+    pairs = F.array(*[F.struct(
+        F.lit(r.name).alias("reference"), F.lit(number_of[r.name]).alias("of"),
+        F.lit(r.coverage_aware).alias("covered"),
+        comparable(child, r.column, True).alias("key")) for r in references])
+    keys = (child.select(F.inline(pairs)).groupBy("reference", "of", "covered", "key")
+            .agg(F.count(F.lit(1)).alias("n")))
+    last = parents.groupBy("parent").agg(
+        F.max(F.col("parent_key").try_cast("bigint")).alias("last")) \
+        .withColumnRenamed("parent", "last_of")
+    marked = (keys.join(parents, F.expr("of = parent AND key = parent_key"), "left")
+              .join(last, F.expr("of = last_of"), "left")
+              .withColumn("orphan", F.expr("key IS NOT NULL AND parent_key IS NULL"))
+              .withColumn("beyond", F.expr(
+                  "coalesce(covered AND orphan AND try_cast(key AS BIGINT) > last, false)")))
+    counts = marked.groupBy(F.col("reference").alias("counted")).agg(
+        F.expr("coalesce(sum(CASE WHEN key IS NULL THEN n END), 0) AS nulls"),
         F.expr("coalesce(sum(CASE WHEN key IS NOT NULL THEN n END), 0) AS filled"),
-        F.expr("coalesce(sum(CASE WHEN orphan THEN n END), 0) AS orphan_count"),
-        F.expr("coalesce(sum(CASE WHEN beyond THEN n END), 0) AS coverage_orphans"),
+        F.expr("coalesce(sum(CASE WHEN orphan THEN n END), 0) AS orphans"),
+        F.expr("coalesce(sum(CASE WHEN beyond THEN n END), 0) AS beyond"),
         F.expr("max(CASE WHEN beyond THEN try_cast(key AS BIGINT) END) "
-               "AS coverage_extend_through"),
-    )
-    out = counts.select(
-        "null_count", "orphan_count",
-        F.expr("orphan_count - coverage_orphans AS broken_orphans"),
-        "coverage_orphans", "coverage_extend_through",
-        F.coalesce(rate(F.expr("filled - orphan_count"), F.col("filled")), F.lit(1.0))
-        .alias("match_rate"))
-    if not samples:
-        return out
-    return out.withColumn(
-        "orphan_sample", F.coalesce(_sample(marked.filter("orphan AND n > 0"), "key"), F.lit("")))
+               "AS coverage_extend_through"))
+    smallest = W.partitionBy("reference").orderBy("key")
+    samples = (marked.filter("orphan").withColumn("rank", F.row_number().over(smallest))
+               .filter(F.col("rank") <= SAMPLE)
+               .groupBy(F.col("reference").alias("sampled")).agg(
+                   F.array_join(F.array_sort(F.collect_list("key")), ",").alias("sample")))
+    names = values_table(spark, [(r.name,) for r in references], "reference string")
+    return (names.join(counts, F.expr("reference = counted"), "left")
+            .join(samples, F.expr("reference = sampled"), "left")
+            .select("reference", _n(F.col("nulls")).alias("null_count"),
+                    _n(F.col("orphans")).alias("orphan_count"),
+                    _n(F.expr("orphans - beyond")).alias("broken_orphans"),
+                    _n(F.col("beyond")).alias("coverage_orphans"), "coverage_extend_through",
+                    F.coalesce(rate(F.expr("filled - orphans"), F.col("filled")), F.lit(1.0))
+                    .alias("match_rate"),
+                    F.coalesce("sample", F.lit("")).alias("orphan_sample")))
+
+
+def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
+                coverage_aware: bool = False) -> DataFrame:
+    """One reference alone."""
+    return foreign_keys(child, [Reference(column, column, parent, parent_column,
+                                          coverage_aware)]).drop("reference")
 
 
 def membership(df: DataFrame, column: str, values: Sequence[str] = (),
@@ -258,23 +292,25 @@ def leakage(listing: DataFrame, forbidden: Sequence[str] = FORBIDDEN_COLUMN_TOKE
 
 # -- results: one row per check ------------------------------------------------------------------
 def _result(measured: DataFrame, table: str, check: str, failures: str, warnings: str = "0",
-            blocking: bool = True) -> DataFrame:
-    """Turn a one-row measurement into a result row.
+            blocking: bool = True, named_by: str | None = None) -> DataFrame:
+    """Turn every row of a measurement into a result row, named ``check`` or by a column.
 
     ``failures`` (SQL over the measured columns) block; ``warnings`` only warn. Passing
     structural checks keep the severity of their kind. All measured columns become details.
     """
-    pairs = ", ".join(f"'{n}', coalesce(CAST({n} AS STRING), '')" for n in measured.columns)
+    pairs = ", ".join(f"'{n}', coalesce(CAST({n} AS STRING), '')" for n in measured.columns
+                      if n != named_by)
+    check = named_by or f"'{check}'"
     severity = (f"CASE WHEN {failures} = 0 AND {warnings} > 0 THEN 'warn' ELSE 'error' END"
                 if blocking else "'warn'")
     return measured.selectExpr(
-        f"'{table}' AS table_name", f"'{check}' AS check_name",
+        f"'{table}' AS table_name", f"{check} AS check_name",
         f"CASE WHEN {failures} > 0 THEN '{FAIL}' WHEN {warnings} > 0 THEN '{WARN}' "
         f"ELSE '{PASS}' END AS status",
         f"{severity} AS severity",
         f"{failures} > 0 AND {str(blocking).lower()} AS blocking",
         f"CAST({failures} + {warnings} AS BIGINT) AS violations",
-        f"concat('{check}: ', {failures}, ' broken, ', {warnings}, ' advisory') AS summary",
+        f"concat({check}, ': ', {failures}, ' broken, ', {warnings}, ' advisory') AS summary",
         f"map({pairs}) AS details")
 
 
@@ -348,14 +384,17 @@ def table_checks(table: str, tables: Mapping[str, DataFrame], settings: Settings
     results += [_missing_column(spark, table, "distribution_ranges", b.column, WARN, "warn")
                 for b in contract.bounds if b.column not in df.columns]
 
+    references = []
     for fk in contract.foreign_keys:
         check = f"fk:{fk.column}"
         if fk.column not in df.columns:
             results.append(_missing_column(spark, table, check, fk.column))
-            continue
-        measured = foreign_key(df, fk.column, tables[fk.table], fk.parent_column,
-                               coverage_aware=fk.table == CALENDAR_TABLE)
-        results.append(_result(measured, table, check, "broken_orphans", "coverage_orphans"))
+        else:
+            references.append(Reference(check, fk.column, tables[fk.table], fk.parent_column,
+                                        fk.table == CALENDAR_TABLE))
+    if references:
+        results.append(_result(foreign_keys(df, references), table, "", "broken_orphans",
+                               "coverage_orphans", named_by="reference"))
     for m in contract.members:
         check = f"membership:{m.column}"
         if m.column not in df.columns:

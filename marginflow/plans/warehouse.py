@@ -64,16 +64,6 @@ class Warehouse:
         self._plans: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
 
-    # -- raw layer -----------------------------------------------------------------------
-    def landed(self) -> dict[str, DataFrame]:
-        """The raw layer as written tables, for work that reads each table many times.
-
-        Reference tables that are passed through unchanged are read where they are.
-        """
-        return {name: self.raw[name] if name in PASS_THROUGH
-                else self._written(f"bronze {name}", self.raw[name])
-                for name in self.settings.contracts}
-
     def _written(self, key: str, df: DataFrame) -> DataFrame:
         if key not in self._stored:
             self._stored[key] = self._store(df, key.replace(" ", "-"))

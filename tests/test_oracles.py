@@ -1,4 +1,4 @@
-"""A few named queries against their SQL on the smallest tables, in both ordering modes.
+"""A few named queries against their SQL on the smallest tables, and all that order globally.
 
 ``python -m oracles.compare`` runs all of them.
 """
@@ -30,15 +30,18 @@ def compare(spark, name):
     assert mine[1]
 
 
-@pytest.mark.parametrize("name", ["rto_by_payment", "temporal_returns", "dq_fk_coverage",
-                                  "listing_metrics_monthly"])
+@pytest.mark.parametrize("name", [
+    "rto_by_payment", "temporal_returns", "dq_fk_coverage", "listing_metrics_monthly",
+    "dq_key_normalization", "cleaning_report"])
 def test_query_equals_sql(spark, name):
     compare(spark, name)
 
 
-@pytest.mark.parametrize("name", ["intervention_queue", "concentration_by_segment"])
-def test_query_equals_sql_without_small_tables(spark, name):
-    """No broadcast joins and no single-task windows: the way taken by large data."""
+@pytest.mark.parametrize("name", [
+    "intervention_queue", "concentration_by_segment", "weight_fallback", "seller_ranking",
+    "seller_percentile", "bottom_quartile_share", "lqs_histogram", "pareto_recoverable"])
+def test_ordered_query_equals_sql_over_many_slices(spark, name):
+    """Ranks and quantiles with no broadcast join and no merged partitions."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -305,7 +305,11 @@ def audit_before_after(w: Warehouse) -> DataFrame:
 # -- line facts ---------------------------------------------------------------------------------
 @query
 def weight_fallback(w: Warehouse) -> DataFrame:
-    return facts.category_weight_medians(w.cleaned("dim_listing"))
+    """Every category; NULL where no listing has a weight."""
+    listings = w.cleaned("dim_listing")
+    medians = facts.category_weight_medians(listings).withColumnRenamed("category", "of")
+    return (listings.select("category").distinct()
+            .join(medians, F.col("category").eqNullSafe(F.col("of")), "left").drop("of"))
 
 
 @query

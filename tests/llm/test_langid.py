@@ -6,7 +6,8 @@ import zstandard
 
 from marginflow.llm.langid import UNKNOWN, Compression, held_out, identify, learn
 
-WORDS = {"aa": "the and of river house garden with tree water stone", "bb": "und der die haus mit baum wasser stein nicht garten",
+WORDS = {"aa": "the and of river house garden with tree water stone",
+         "bb": "und der die haus mit baum wasser stein nicht garten",
          "cc": "les des une maison avec arbre eau pierre jardin dans"}
 
 

@@ -8,8 +8,10 @@ double precision, reaches the threshold.
 A list that is full of links is saturated: there may be more than it holds. All members of a
 saturated group (vectors connected by links) are then compared with the whole group in blocks,
 which enlarges their lists to the full number of partners without writing the pairs down.
-Recall is audited against brute force on a fixed number of query vectors; below the target, the
-descent is repeated with lists twice as long.
+Recall is audited against brute force on query vectors, as many as it takes to see a stated number
+of them with true links. Below the target the descent goes on with lists twice as long and twice
+as many new codes, from the lists it has. Where brute force has asked for every vector and seen
+fewer linked ones than that, it has found all links, and no descent is needed.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ class Descent:
     """``neighbours``: length of a list. ``block``: vectors compared at once in a first block,
     ``codes``: how many times that is done with other hyperplanes. A pivot's block holds its own
     list and at most ``2 * neighbours`` vectors that list it, chosen anew each round; this only
-    steers the search. ``audit`` query vectors measure recall, ``target`` is what they must
-    reach. ``rows_per_task`` bounds what a Python task holds."""
+    steers the search. ``audit`` query vectors with true links measure recall, ``target`` is what
+    they must reach. ``rows_per_task`` bounds what a Python task holds."""
 
     threshold: float = 0.93
     neighbours: int = 8
@@ -43,11 +45,11 @@ class Descent:
     least_change: float = 0.02
     audit: int = 256
     target: float = 0.97
-    attempts: int = 3
     group_block: int = 256
     rows_per_task: int = 20_000
 
 
+QUERIES = 1024  # about so many query vectors are asked at first, four times as many at most
 SLACK = 0.005  # lists hold single-precision cosines; what comes this close is computed in double
 
 
@@ -84,21 +86,21 @@ def prepared(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return durable(nodes, "nodes"), durable(members, "members")
 
 
-def _coded(nodes: DataFrame, rules: Descent) -> DataFrame:
-    """nodes with one 24-bit code for each set of hyperplanes."""
+def _coded(nodes: DataFrame, sets: int, attempt: int) -> DataFrame:
+    """nodes with one 24-bit code for each of ``sets`` sets of hyperplanes, new in each attempt."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = np.zeros((batch.num_rows, rules.codes), np.int32)
+            codes = np.zeros((batch.num_rows, sets), np.int32)
             size = np.asarray(pa.compute.list_value_length(batch.column(2)))
             for dim in np.unique(size):
                 rows = np.flatnonzero(size == dim)
                 x = _matrix(batch.column(2).take(pa.array(rows)))
-                planes = np.random.default_rng(int(dim)).normal(size=(dim, 24 * rules.codes))
-                bits = (x @ planes > 0).reshape(len(rows), rules.codes, 24)
+                planes = np.random.default_rng((int(dim), attempt)).normal(size=(dim, 24 * sets))
+                bits = (x @ planes > 0).reshape(len(rows), sets, 24)
                 codes[rows] = bits @ (1 << np.arange(23, -1, -1))
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.FixedSizeListArray.from_arrays(
-                    pa.array(codes.ravel()), rules.codes).cast(pa.list_(pa.int32()))],
+                    pa.array(codes.ravel()), sets).cast(pa.list_(pa.int32()))],
                 names=["u", "grp", "codes"])
 
     return nodes.select("u", "grp", "embedding").mapInArrow(
@@ -169,9 +171,9 @@ def _best(candidates: DataFrame, keep: int) -> DataFrame:
             .drop("rank"))
 
 
-def _first_graph(units: DataFrame, codes: DataFrame, n: int, keep: int,
+def _first_graph(units: DataFrame, codes: DataFrame, compared: int, keep: int,
                  rules: Descent) -> DataFrame:
-    """Nearest neighbours inside blocks of like codes. The prefix of a code that names a block is
+    """Nearest neighbours inside blocks of like codes; ``compared`` is the number of codes. The prefix of a code that names a block is
     as long as the group is large; blocks that are still too large are split by a hash."""
     sized = codes.join(codes.groupBy("grp").agg(F.count("*").alias("members")), "grp")
     bits = F.greatest(F.lit(0), F.least(F.lit(24), F.floor(F.log2(
@@ -186,8 +188,7 @@ def _first_graph(units: DataFrame, codes: DataFrame, n: int, keep: int,
             .withColumn("part", F.pmod(F.xxhash64("u", "turn"), parts))
             .select(F.xxhash64(*place, "part").alias("block"), "u", F.lit(-2.0).alias("worst"))
             .join(units, "u"))
-    found = _compared(rows, n * rules.codes, keep, rules).withColumn("old", F.lit(False))
-    return _best(found, keep)
+    return _compared(rows, compared, keep, rules).withColumn("old", F.lit(False))
 
 
 def _descend(graph: DataFrame, units: DataFrame, n: int, keep: int, turn: int,
@@ -257,55 +258,95 @@ def _within_groups(members: DataFrame, rules: Descent) -> DataFrame:
     return counted.groupBy("u").agg(F.sum("links").alias("links"))
 
 
-def _audit(nodes: DataFrame, links: DataFrame, rules: Descent) -> float:
-    """Share of the true links of the query vectors, found by brute force, that were found."""
-    chosen = (nodes.orderBy(F.xxhash64("u"), "u").limit(rules.audit)
-              .select("u", "grp", "embedding").collect())  # at most ``audit`` rows
+def _true_counts(nodes: DataFrame, asked: pa.Table, rules: Descent) -> DataFrame:
+    """(u, true): the links of every vector of ``asked(u, grp, embedding)`` that has one, counted
+    by brute force over all nodes."""
     groups: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for grp in {r.grp for r in chosen}:
-        rows = [r for r in chosen if r.grp == grp]
-        groups[grp] = (np.array([r.u for r in rows]),
-                       _matrix(pa.array([r.embedding for r in rows])))
+    asked_grp = np.asarray(asked.column("grp"))
+    for grp in np.unique(asked_grp):
+        rows = asked.take(pa.array(np.flatnonzero(asked_grp == grp)))
+        groups[int(grp)] = (np.asarray(rows.column("u")), _matrix(rows.column("embedding")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
+        total = {g: np.zeros(len(ids), np.int64) for g, (ids, _) in groups.items()}
         for batch in batches:
             u, grp, copies = (np.asarray(batch.column(i)) for i in range(3))
             for g, (ids, queries) in groups.items():
                 rows = np.flatnonzero(grp == g)
-                if len(rows):
-                    near = queries @ _matrix(batch.column(3).take(pa.array(rows))).T \
-                        >= rules.threshold
-                    near &= ids[:, None] != u[rows][None, :]
-                    for q, count in zip(ids, (near * copies[rows]).sum(1)):
-                        total[int(q)] = total.get(int(q), 0) + int(count)
-        yield pa.record_batch([pa.array(total.keys(), pa.int64()),
-                               pa.array(total.values(), pa.int64())], names=["u", "true"])
-
-    true = nodes.select("u", "grp", "copies", "embedding").mapInArrow(run, "u long, true long") \
+                for part in np.array_split(rows, -(-len(rows) // QUERIES) or 1):
+                    if len(part):
+                        near = queries @ _matrix(batch.column(3).take(pa.array(part))).T \
+                            >= rules.threshold
+                        near &= ids[:, None] != u[part][None, :]
+                        total[g] += near @ copies[part]
+        for g, (ids, _) in groups.items():
+            some = total[g] > 0
+            yield pa.record_batch([pa.array(ids[some]), pa.array(total[g][some])],
+                                  names=["u", "true"])
+
+    return nodes.select("u", "grp", "copies", "embedding").mapInArrow(run, "u long, true long") \
         .groupBy("u").agg(F.sum("true").alias("true"))
-    row = true.join(links, "u", "left").agg(
-        F.sum("true").alias("true"),
-        F.sum(F.least("true", F.coalesce("links", F.lit(0)))).alias("found")).first()
-    return 1.0 if not row.true else row.found / row.true
 
 
-def linked(vectors: DataFrame, rules: Descent = Descent()) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), one row for each distinct vec_id of
-    ``vectors(vec_id, embedding, label)``.
+def _true_links(nodes: DataFrame, n: int, rules: Descent) -> tuple[DataFrame, bool]:
+    """(u, true) of query vectors that have true links, and whether that is all there are.
 
-    Only equal, non-null labels and equal lengths are compared. Vectors that are null, empty or
-    zero, or hold null or non-finite components, link with nothing and are kept. n_links counts
-    other vectors; component_id is the smallest vec_id reachable. Rows without vec_id are left
-    out; of several vectors under one id all links count. Other columns are ignored.
+    Blocks of query vectors, dealt by a hash, are asked until ``audit`` of them have a link. The
+    rarer the links, the more are asked; without any, all of them are. A block is collected.
     """
-    nodes, members = prepared(vectors)
-    n = nodes.count()
+    parts = max(1, -(-n // QUERIES))
+    part = F.pmod(F.xxhash64("u", F.lit(parts)), F.lit(parts))
+    blocks, linked_nodes, done, step = [], 0, 0, 1
+    while done < parts and linked_nodes < rules.audit:
+        asked = nodes.filter((part >= done) & (part < done + step)) \
+            .select("u", "grp", "embedding").toArrow()
+        blocks.append(durable(_true_counts(nodes, asked, rules), "true_links"))
+        linked_nodes += blocks[-1].count()
+        done, step = done + step, min(4, 2 * step)
+    seen = blocks[0]
+    for block in blocks[1:]:
+        seen = seen.unionByName(block)
+    return seen, linked_nodes < rules.audit
+
+
+def _recall(true: DataFrame, links: DataFrame) -> float:
+    """Share of the true links of the query vectors that were found: of all of them together, or
+    on the average vector, whichever is less, for large groups hide what single pairs lose."""
+    found = F.least("true", F.coalesce("links", F.lit(0)))
+    row = true.join(links, "u", "left").agg(
+        (F.sum(found) / F.sum("true")).alias("all"), F.avg(found / F.col("true")).alias("each")) \
+        .first()
+    return min(row["all"], row["each"])
+
+
+def _linked_among(true: DataFrame, nodes: DataFrame, rules: Descent) -> DataFrame:
+    """(a, b): all links, where ``true`` lists every vector that has one; fewer than ``audit``."""
+    ends = nodes.join(true, "u").select("u", "grp")
+    pairs = ends.withColumnRenamed("u", "a").join(ends.withColumnRenamed("u", "b"), "grp") \
+        .filter("a < b").select("a", "b")
+    return durable(_cosines(pairs, nodes).filter(F.col("cosine") >= rules.threshold)
+                   .select("a", "b"), "links")
+
+
+def _link_counts(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(u, links): copies of a partner count one by one."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return both.join(nodes.select(F.col("u").alias("b"), "copies"), "b") \
+        .groupBy(F.col("a").alias("u")).agg(F.sum("copies").alias("links"))
+
+
+def _searched(nodes: DataFrame, n: int, true: DataFrame,
+              rules: Descent) -> tuple[DataFrame, DataFrame]:
+    """Components (node, component) and counts (u, links) by descent, once ``target`` is reached.
+    Every attempt compares inside blocks of new codes, keeps what the lists hold, and goes on."""
     units = durable(_unit(nodes), "units")
-    codes = durable(_coded(nodes, rules), "codes")
-    keep = rules.neighbours
-    for attempt in range(rules.attempts):
-        graph = durable(_first_graph(units, codes, n, keep, rules), "graph")
+    keep, sets, attempt, graph = rules.neighbours, rules.codes, 0, None
+    while True:
+        codes = durable(_coded(nodes, sets, attempt), "codes")
+        begun = _first_graph(units, codes, n * sets, keep, rules)
+        if graph is not None:
+            begun = begun.unionByName(graph.withColumn("old", F.lit(False)))
+        graph = durable(_best(begun, keep), "graph")
         for turn in range(rules.rounds):
             graph = durable(_descend(graph, units, n, keep, turn, rules), "graph")
             fresh, held = graph.agg(F.sum((~F.col("old")).cast("long")), F.count("*")).first()
@@ -317,9 +358,6 @@ def linked(vectors: DataFrame, rules: Descent = Descent()) -> DataFrame:
         links = durable(_cosines(pairs, nodes).filter(F.col("cosine") >= rules.threshold)
                         .select("a", "b"), "links")
         found = durable(components(links), "components")
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        counted = both.join(nodes.select(F.col("u").alias("b"), "copies"), "b") \
-            .groupBy(F.col("a").alias("u")).agg(F.sum("copies").alias("links"))
         full = near.groupBy("u").agg(F.count("*").alias("held")).filter(F.col("held") >= keep)
         saturated = full.join(found.withColumnRenamed("node", "u"), "u") \
             .select("component").distinct()
@@ -327,11 +365,30 @@ def linked(vectors: DataFrame, rules: Descent = Descent()) -> DataFrame:
                  .withColumnRenamed("node", "u").join(nodes, "u")
                  .select("component", "u", "copies", "embedding"))
         enlarged = _within_groups(large, rules).withColumnRenamed("links", "all_links")
-        total = durable(counted.join(enlarged, "u", "full").select(
+        total = durable(_link_counts(links, nodes).join(enlarged, "u", "full").select(
             "u", F.coalesce("all_links", "links").alias("links")), "link_counts")
-        if _audit(nodes, total, rules) >= rules.target:
-            break
-        keep *= 2
+        if _recall(true, total) >= rules.target:
+            return found, total
+        keep, sets, attempt = 2 * keep, 2 * sets, attempt + 1
+
+
+def linked(vectors: DataFrame, rules: Descent = Descent()) -> DataFrame:
+    """(vec_id, n_links, component_id, kept), one row for each distinct vec_id of
+    ``vectors(vec_id, embedding, label)``.
+
+    Only equal, non-null labels and equal lengths are compared. Vectors that are null, empty or
+    zero, or hold null or non-finite components, link with nothing and are kept. n_links counts
+    other vectors; component_id is the smallest vec_id reachable. Rows without vec_id are left
+    out; of several vectors under one id all links count. Other columns are ignored.
+    """
+    nodes, members = prepared(vectors)
+    n = nodes.count()
+    true, complete = _true_links(nodes, n, rules)
+    if complete:
+        links = _linked_among(true, nodes, rules)
+        found, total = durable(components(links), "components"), _link_counts(links, nodes)
+    else:
+        found, total = _searched(nodes, n, true, rules)
     per_class = (members.join(nodes.select("u", "copies"), "u").join(total, "u", "left")
                  .join(found.withColumnRenamed("node", "u"), "u", "left")
                  .select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1)

@@ -62,3 +62,22 @@ def test_equals_all_pairs(spark):
     assert {i: (want[i], got.get(i)) for i in want if want[i] != got.get(i)} == {}
     assert set(got) == set(want)
     assert linked(vectors.limit(0)).count() == 0
+
+
+def test_rare_pairs_are_found(spark):
+    # 40 pairs among 6,000 vectors of one label: few query vectors have any true link
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for k in range(40):
+        other = x[100 + k] - (x[100 + k] @ x[k]) * x[k]
+        cosine = rng.uniform(0.935, 0.96)
+        x[100 + k] = cosine * x[k] + np.sqrt(1 - cosine ** 2) * other / np.linalg.norm(other)
+    s = np.triu(x @ x.T, 1) >= 0.93
+    links = s.sum(0) + s.sum(1)
+    vectors = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)],
+                                    "vec_id long, embedding array<double>, label int")
+    for rules in (Descent(), Descent(codes=1, audit=16)):  # all asked; by descent
+        got = {r.vec_id: r.n_links for r in linked(vectors, rules).collect()}
+        assert all(got[i] <= k for i, k in enumerate(links))
+        assert sum(got.values()) >= (links.sum() if rules.audit > 80 else 0.9 * links.sum())

@@ -2,7 +2,8 @@
 
 Every language gets a zstandard raw-content dictionary: text of that language, nothing trained.
 A text, in lower case, is compressed with each dictionary; the language whose dictionary makes
-it smallest wins, and the prediction is rejected when the runner-up comes too close.
+it smallest wins, and the prediction is rejected when the runner-up comes too close. A very short
+text is stored as it is, in the same size whatever the dictionary; it is repeated and measured again.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ class Compression:
     of dictionaries, so the model has at most their product of characters whatever the corpus.
     ``piece_bytes``: texts are compressed in pieces of this size, so that the dictionary keeps
     its weight in a long text. ``min_margin``: the least advantage over the runner-up, as a
-    share of its size.
+    share of its size. ``repeats``: how often a text stands that all dictionaries store alike.
     """
 
     dictionary_chars: int = 100_000
@@ -36,6 +37,7 @@ class Compression:
     piece_bytes: int = 1024
     level: int = 7
     min_margin: float = 0.003
+    repeats: int = 4
 
 
 def learn(labelled: DataFrame, rules: Compression = Compression()) -> dict[str, str]:
@@ -81,7 +83,8 @@ def identify(docs: DataFrame, model: dict[str, str],
     """(doc_id, lang_pred, score, rejected, margin), one row per row of ``docs``.
 
     ``lang_pred`` is the language with the smallest total, ties going to the first name; 'und'
-    when the text is null, has no letter, or nothing was learned. ``score`` is the share of the
+    when the text is null, has no letter, or nothing was learned, and with a score above 0 when
+    all languages tie even with the text repeated. ``score`` is the share of the
     winner when each language weighs 2^-(8 * extra bytes / pieces). ``rejected`` marks 'und' and
     margins under ``min_margin``. Null ids stay null; repeated rows give repeated results; other
     columns are ignored.
@@ -89,6 +92,9 @@ def identify(docs: DataFrame, model: dict[str, str],
     names = sorted(model)
     ordered = {name: model[name] for name in names}
 
+    def measured(tools: list, pieces: list[bytes]) -> np.ndarray:
+        return np.array([sum(len(tool.compress(p)) for p in pieces) for tool in tools], float)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
@@ -105,8 +111,13 @@ def identify(docs: DataFrame, model: dict[str, str],
                 raw = text.lower().encode()
                 pieces = [raw[i:i + rules.piece_bytes]
                           for i in range(0, len(raw), rules.piece_bytes)]
-                sizes = np.array([sum(len(tool.compress(p)) for p in pieces) for tool in tools],
-                                 dtype=float)
+                sizes = measured(tools, pieces)
+                if np.ptp(sizes) == 0:
+                    sizes = measured(tools, [b"\n".join([p] * rules.repeats) for p in pieces])
+                if len(sizes) > 1 and np.ptp(sizes) == 0:
+                    winners.append(UNKNOWN), scores.append(1 / len(sizes))
+                    rejected.append(True), margins.append(0.0)
+                    continue
                 best = int(sizes.argmin())
                 rest = np.delete(sizes, best)
                 margin = float((rest.min() - sizes[best]) / rest.min()) if len(rest) else 1.0
@@ -122,6 +133,11 @@ def identify(docs: DataFrame, model: dict[str, str],
         .mapInArrow(run, SCHEMA)
 
 
+def tied(rows: DataFrame):
+    """Whether no dictionary shows anything about a text that has letters."""
+    return (rows["lang_pred"] == UNKNOWN) & (rows["score"] > 0)
+
+
 def held_out(column: str = "doc_id"):
     """The fold that is never learned from."""
     return F.crc32(F.col(column).cast("string")) % 5 == 0

@@ -4,7 +4,7 @@ import random
 
 import zstandard
 
-from marginflow.llm.langid import UNKNOWN, Compression, held_out, identify, learn
+from marginflow.llm.langid import UNKNOWN, Compression, held_out, identify, learn, tied
 
 WORDS = {"aa": "the and of river house garden with tree water stone",
          "bb": "und der die haus mit baum wasser stein nicht garten",
@@ -71,3 +71,17 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in identify(docs, {}).collect()} == {UNKNOWN}
     assert identify(docs.limit(0), model).count() == 0
     assert learn(docs.limit(0).withColumn("lang", docs["lang_pred"])) == {}
+
+
+def test_short_texts_are_told_apart(spark):
+    # zstandard stores a few bytes as they are, in one size under every dictionary
+    model = {name: "\n".join(t for _, t, lang in texts(3, 200) if lang == name) for name in WORDS}
+    rows = [(1, "House.", "aa"), (2, "Baum.", "bb"), (3, "Jardin.", "cc"), (4, "Q.", UNKNOWN)]
+    for _, text, _ in rows:
+        assert plain(text, model, Compression())[1] == 0
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = identify(docs, model)
+    out = {r.doc_id: r for r in judged.withColumn("tied", tied(judged)).collect()}
+    assert [out[i].lang_pred for i, _, _ in rows] == [lang for _, _, lang in rows]
+    assert [out[i].rejected for i in (1, 2, 3, 4)] == [False, False, False, True]
+    assert [out[i].tied for i in (1, 2, 3, 4)] == [False, False, False, True]

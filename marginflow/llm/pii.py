@@ -5,7 +5,8 @@ words around a seed are lexical patterns; every other token that carries a digit
 instance, with its own surroundings. Spark scores the bipartite pattern-instance graph in
 rounds: a pattern is worth the mean of its instances, an instance the best of its patterns, and
 seeds stay at 1. Patterns that end up reliable mark the instances they surround as personal
-data of the kind their seeds had.
+data of the kind their seeds had. These become seeds in turn, with all patterns they stand in,
+until no new ones appear.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ _RUN = re.compile(r"(.)\1+")
 @dataclass(frozen=True)
 class Bootstrapping:
     """``rounds`` of scoring; a pattern is trusted from ``min_score`` on when at least
-    ``min_seeds`` different seed values have been seen in it. Tokens shorter than ``min_chars``
+    ``min_seeds`` different seed values, found by form or gained, have been seen in it. Tokens shorter than ``min_chars``
     are no instances. ``context_chars``: how far to either side the surrounding words reach."""
 
     rounds: int = 3
@@ -175,8 +176,9 @@ def _found(docs: DataFrame, rules: Bootstrapping) -> DataFrame:
 def pattern_scores(edges: DataFrame, rules: Bootstrapping) -> DataFrame:
     """(pattern, kind, score, seeds) of ``edges(pattern, value, kind, n)``.
 
-    kind is -1 where the value is no seed. Only patterns that hold a seed can gain a score, so
-    the graph is first cut down to them and to their values. Hot patterns and hot values are
+    kind is -1 where the value is no seed. The scores are those of one generation of seeds: the
+    graph is first cut down to the patterns that hold one and to their values, and
+    ``trusted_patterns`` brings in the others with the seeds it gains. Hot patterns and hot values are
     summed up before they are shuffled; the joins are on plain keys and may be split.
     """
     seeded = (edges.filter("kind >= 0").groupBy("pattern", "kind")
@@ -200,6 +202,30 @@ def pattern_scores(edges: DataFrame, rules: Bootstrapping) -> DataFrame:
                                                  "seeds")
 
 
+def trusted_patterns(edges: DataFrame, rules: Bootstrapping) -> DataFrame:
+    """The reliable patterns of ``edges``, as (pattern, kind, score, seeds).
+
+    The values in them join the seeds, with the smallest kind of their patterns, and the scores
+    are taken anew until no value joins. Further seeds only raise scores, so the set only grows.
+    """
+    edges = durable(edges, "edges")
+    current, known = edges, 0
+    while True:
+        trusted = durable(pattern_scores(current, rules).filter(
+            (F.col("score") >= rules.min_score) & (F.col("seeds") >= rules.min_seeds)), "trusted")
+        gained = durable(edges.filter("kind < 0").join(
+            trusted.select("pattern", F.col("kind").alias("gained")), "pattern")
+            .groupBy("value").agg(F.min("gained").alias("gained")), "gained")
+        values = gained.count()
+        if values <= known:
+            return trusted
+        known = values
+        kind = F.when(F.col("kind") >= 0, F.col("kind")).otherwise(
+            F.coalesce("gained", F.col("kind")))
+        current = edges.join(gained, "value", "left").groupBy(
+            "pattern", "value", kind.alias("kind")).agg(F.sum("n").alias("n"))
+
+
 def extract(docs: DataFrame, rules: Bootstrapping = Bootstrapping()) -> DataFrame:
     """Base and discovered personal data of every whole text.
 
@@ -214,8 +240,7 @@ def extract(docs: DataFrame, rules: Bootstrapping = Bootstrapping()) -> DataFram
     seen = found.select("row", F.explode("instances").alias("i")).select(
         "row", "i.kind", "i.a", "i.b", "i.value", F.explode("i.patterns").alias("pattern"))
     edges = seen.groupBy("pattern", "value", "kind").agg(F.count("*").alias("n"))
-    trusted = pattern_scores(edges, rules).filter(
-        (F.col("score") >= rules.min_score) & (F.col("seeds") >= rules.min_seeds))
+    trusted = trusted_patterns(edges, rules)
     extra = (seen.filter("kind < 0").drop("kind")
              .join(trusted.select("pattern", "kind"), "pattern")
              .groupBy("row", "a", "b").agg(F.min("kind").alias("kind"))

@@ -59,3 +59,16 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert out[50].n_email == 0 and out[50].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert out[51].spans == "" and out[52].spans == "" and out[None].n_found == 0
     assert pii.extract(docs.limit(0)).count() == 0
+
+
+def test_discovered_values_seed_further_patterns(spark):
+    # six identifiers share a context with addresses and another with a seventh, which has no other
+    rows = [(i, f"please contact agent user{i}@mail.example.com today") for i in range(60)]
+    rows += [(100 + i, f"please contact agent ref-7700{i} today") for i in range(6)]
+    rows += [(200 + i, f"open ticket number ref-7700{i} again") for i in range(6)]
+    rows += [(300, "open ticket number ref-88001 again"), (301, "the room number is 123456 here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.extract(docs).collect()}
+    assert all(out[k + i].n_found == 1 for k in (100, 200) for i in range(6))
+    assert out[300].spans == "email:19:28" and out[300].n_email == 0
+    assert out[301].n_found == 0 and all(out[i].n_found == 0 for i in range(60))

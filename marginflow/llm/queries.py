@@ -11,6 +11,7 @@ from marginflow.llm.nn_descent import op6_nn_descent
 from marginflow.llm.pieces import op3_pieces
 from marginflow.llm.pii import op1_pii
 from marginflow.llm.quality_mil import op4_quality
+from marginflow.llm.runs import OP12_SQL, op12_periodic_runs
 from marginflow.llm.suffix_dedup import op10_suffix_dedup
 from marginflow.llm.url_filter import op8_url_filter
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -32,4 +34,5 @@ STATEMENTS: dict[str, str] = {
     "op2_jaccard_join": OP2_SQL,
     "op7_decontaminate": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op12_periodic_runs": OP12_SQL,
 }

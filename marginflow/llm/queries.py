@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from marginflow.llm.chat_format import OP11_SQL, op11_chat_format
 from marginflow.llm.decontaminate import OP7_SQL, op7_decontaminate
 from marginflow.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from marginflow.llm.langid import op5_language_id
@@ -14,6 +15,7 @@ from marginflow.llm.quality_mil import op4_quality
 from marginflow.llm.runs import OP12_SQL, op12_periodic_runs
 from marginflow.llm.suffix_dedup import op10_suffix_dedup
 from marginflow.llm.url_filter import op8_url_filter
+from marginflow.llm.vector_codes import OP13_SQL, op13_vector_codes
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -26,7 +28,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_chat_format": op11_chat_format,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,5 +38,7 @@ STATEMENTS: dict[str, str] = {
     "op2_jaccard_join": OP2_SQL,
     "op7_decontaminate": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op11_chat_format": OP11_SQL,
     "op12_periodic_runs": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
 }

@@ -1,12 +1,15 @@
 """Words and hashes of whole Arrow batches in numpy: no Python loop over words.
 
 A word is a run of bytes outside 0x20 and 0x09-0x0D; A-Z count as a-z. A word's hash is a
-polynomial over random byte values, read off one prefix sum over the buffer, so the cost does
-not depend on how long the words are. All arithmetic wraps at 64 bits.
+polynomial over random byte values, read off one prefix sum over the buffer. That arithmetic wraps
+at 64 bits, and a power of two as the modulus lets certain long sequences of two values collide
+whatever the values are; long ranges are digested one by one instead, and ``Rolling`` adds sums
+modulo a prime where ranges of any length must be compared with parts of others.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +24,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_VALUE = np.random.default_rng(7).integers(1, 2**64, 256, dtype=np.uint64)
 _MULTIPLIER = 0x9E3779B97F4A7C15
+LONG = 128  # ranges of more values are digested
+PRIME = 2**31 - 1
+_PRIME_BASES = (1_103_515_245, 845_343_211)
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -48,20 +54,66 @@ def ranges_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(values * _power("up", n), out=sums[1:])
     length = (end - start).astype(np.uint64)
-    return mix((sums[end] - sums[start]) * _power("down", n + 1)[start] + length)
-
-
-def without_one(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """At each place the hash, as by ``ranges_hash``, of its run without that value."""
-    n = len(values)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * _power("up", n), out=sums[1:])
-    sizes = np.diff(bounds)
-    start, end = np.repeat(bounds[:-1], sizes), np.repeat(bounds[1:], sizes)
-    at, down = np.arange(n), _power("down", n + 2)
-    return mix((sums[at] - sums[start]) * down[start]
-               + (sums[end] - sums[at + 1]) * down[start + 1]
-               + (end - start - 1).astype(np.uint64))
+    out = mix((sums[end] - sums[start]) * _power("down", n + 1)[start] + length)
+    for i in np.flatnonzero(length > LONG):
+        content = values[start[i]:end[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little")
+    return out
+
+
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    """``base`` to 0..n-1 modulo the prime."""
+    key = f"prime {base}"
+    if len(_powers.get(key, ())) < n:
+        row, step = np.ones(1, np.uint64), base % PRIME
+        while len(row) < n:
+            row = np.concatenate([row, row * np.uint64(step) % np.uint64(PRIME)])
+            step = step * step % PRIME
+        _powers[key] = row
+    return _powers[key][:n]
+
+
+class Rolling:
+    """Hashes of ranges of ``values`` and of ranges without one value, by the same sums: a
+    polynomial modulo 2^64 and two modulo a prime, mixed."""
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        self.n = n
+        wide = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(values * _power("up", n), out=wide[1:])
+        self.parts = [(wide, _power("down", n + 2), None)]
+        for base in _PRIME_BASES:
+            sums = np.zeros(n + 1, dtype=np.uint64)  # of numbers below 2^31: never wraps
+            np.cumsum(values % np.uint64(PRIME) * _prime_powers(base, n) % np.uint64(PRIME),
+                      out=sums[1:])
+            self.parts.append((sums, _prime_powers(pow(base, -1, PRIME), n + 2),
+                               np.uint64(PRIME)))
+
+    def _mixed(self, pieces: list[list[tuple[np.ndarray, np.ndarray]]],
+               length: np.ndarray) -> np.ndarray:
+        """``pieces[k]``: (sum, shift) terms of the k-th polynomial."""
+        out = length.astype(np.uint64)
+        for (_, _, prime), terms in zip(self.parts, pieces):
+            if prime is None:
+                total = sum(value * shift for value, shift in terms)
+            else:
+                total = sum(value % prime * shift % prime for value, shift in terms) % prime
+            out = mix(out + total)
+        return out
+
+    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return self._mixed([[(sums[end] - sums[start], down[start])]
+                            for sums, down, _ in self.parts], end - start)
+
+    def without_one(self, bounds: np.ndarray) -> np.ndarray:
+        """At each place the hash, as by ``ranges``, of its run of ``bounds`` without it."""
+        sizes = np.diff(bounds)
+        start, end = np.repeat(bounds[:-1], sizes), np.repeat(bounds[1:], sizes)
+        at = np.arange(self.n)
+        return self._mixed([[(sums[at] - sums[start], down[start]),
+                             (sums[end] - sums[at + 1], down[start + 1])]
+                            for sums, down, _ in self.parts], end - start - 1)
 
 
 @dataclass

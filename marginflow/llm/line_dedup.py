@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 
 from marginflow.llm.arrays import (
     CHUNK_BYTES,
+    Rolling,
     Words,
     as_long,
     list_column,
     mix,
     ranges_hash,
     text_chunks,
-    without_one,
     words,
 )
 from marginflow.sources.scratch import durable
@@ -38,10 +38,9 @@ NEWLINE = 10
 
 @dataclass(frozen=True)
 class Lines:
-    """Lines of fewer than ``min_words`` words are left alone: they are layout, not content.
-    Lines of at least ``edit_words`` words may differ by one word; shorter ones must be equal."""
+    """Lines of at least ``edit_words`` words may differ by one word; in shorter ones a word is
+    too large a share of the content, and they must be equal."""
 
-    min_words: int = 5
     edit_words: int = 8
 
 
@@ -60,51 +59,59 @@ def _line_words(data: np.ndarray, offsets: np.ndarray):
             np.arange(len(begin)) - first[owner] + 1)
 
 
-def _halves(w: Words, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
-    """Hashes by which a line meets lines of its own length and of one word more."""
-    out = []
+def _line_hashes(w: Words, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each line, then those by which it meets lines of its own length and of one
+    word more: its halves."""
+    starts, ends, tags = [first], [last], [np.uint64(0)]
     for size in (last - first, last - first - 1):
         tag = mix(size.astype(np.uint64), 5)
-        out.append(mix(ranges_hash(w.hash, first, first + size // 2) + tag, 1))
-        out.append(mix(ranges_hash(w.hash, last - (size - size // 2), last) + tag, 2))
-    return out
+        starts += [first, last - (size - size // 2)]
+        ends += [first + size // 2, last]
+        tags += [tag + np.uint64(1), tag + np.uint64(2)]
+    every = ranges_hash(w.hash, np.concatenate(starts), np.concatenate(ends))
+    whole, *halves = np.split(every, len(starts))
+    second = ranges_hash(mix(w.hash, 9), first, last)
+    return [whole, second, *(mix(h + tag) for h, tag in zip(halves, tags[1:]))]
 
 
 def _scan(docs: DataFrame, rules: Lines) -> DataFrame:
-    """(doc_id, line, n, h, k0..k3) of every line that counts."""
+    """(doc_id, line, n, h, g, k0..k3) of every line with words; h and g tell contents apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch.column(1)):
                 w, owner, line = _line_words(chunk.data, chunk.offsets)
                 n = np.diff(w.bounds)
-                kept = n >= rules.min_words
+                kept = n > 0
                 first, last = w.bounds[:-1][kept], w.bounds[1:][kept]
                 short = n[kept] < rules.edit_words
-                keys = [pa.array(as_long(k), mask=short) for k in _halves(w, first, last)]
+                h, g, *keys = _line_hashes(w, first, last)
                 ids = batch.column(0).slice(chunk.first, chunk.count)
                 yield pa.record_batch(
                     [ids.take(pa.array(owner[kept])), pa.array(line[kept].astype(np.int32)),
-                     pa.array(n[kept].astype(np.int32)),
-                     pa.array(as_long(ranges_hash(w.hash, first, last))), *keys],
-                    names=["doc_id", "line", "n", "h", "k0", "k1", "k2", "k3"])
+                     pa.array(n[kept].astype(np.int32)), pa.array(as_long(h)),
+                     pa.array((g >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                     *(pa.array(as_long(k), mask=short) for k in keys)],
+                    names=["doc_id", "line", "n", "h", "g", "k0", "k1", "k2", "k3"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, line int, n int, h long, k0 long, k1 long, k2 long, k3 long")
+        run, "doc_id long, line int, n int, h long, g int, "
+             "k0 long, k1 long, k2 long, k3 long")
 
 
 def _variants(docs: DataFrame) -> DataFrame:
     """(doc_id, line, n, h, content, variants) of the lines listed in ``docs(doc_id, text,
-    lines)``; variant i is the hash of the line without word i."""
+    lines)``; ``h`` is the hash of the line and variant i that of the line without word i."""
     def rows(ids, numbers, cells) -> pa.RecordBatch:
         raw = [cell.encode() for cell in cells]
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         w = words(np.frombuffer(b"".join(raw), np.uint8), offsets)
-        hashes = ranges_hash(w.hash, w.bounds[:-1], w.bounds[1:])
+        rolling = Rolling(w.hash)
+        hashes = rolling.ranges(w.bounds[:-1], w.bounds[1:])
         return pa.record_batch(
             [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()),
              pa.array(np.diff(w.bounds).astype(np.int32)), pa.array(as_long(hashes)),
              pa.array(cells, pa.string()),
-             list_column(as_long(without_one(w.hash, w.bounds)), w.bounds, pa.int64())],
+             list_column(as_long(rolling.without_one(w.bounds)), w.bounds, pa.int64())],
             names=["doc_id", "line", "n", "h", "content", "variants"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,15 +155,16 @@ def _within_one(a, b):
 def repeated_lines(docs: DataFrame, rules: Lines = Lines()) -> DataFrame:
     """(doc_id, line): the lines, counted from 1, that repeat an earlier one within the bound.
 
-    Earlier is by doc_id, then line. Null and empty texts have no lines that count; rows without
-    doc_id are left out; rows that repeat an id are treated alike, and a line at one place does
+    Earlier is by doc_id, then line. A line is compared with the earliest line within the bound,
+    whether that one stays or repeats another itself. Every line with a word counts; null and empty
+    texts have none; rows without doc_id are left out; rows that repeat an id are treated alike, and a line at one place does
     not repeat itself. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text")).filter("doc_id is not null")
     lines = durable(_scan(docs, rules), "lines")
     where = F.struct("doc_id", "line")
-    kinds = durable(lines.groupBy("n", "h").agg(
+    kinds = durable(lines.groupBy("n", "h", "g").agg(
         F.min(where).alias("first"), F.max(where).alias("last"),
         *[F.any_value(k).alias(k) for k in ("k0", "k1", "k2", "k3")]), "line_kinds")
 
@@ -183,9 +191,9 @@ def repeated_lines(docs: DataFrame, rules: Lines = Lines()) -> DataFrame:
                       "other")
                 .filter(_within_one(F.col("a"), F.col("b"))).select("own"))
     edited = verified.select(F.col("own").alias("first"), F.lit(True).alias("edited"))
-    dirty = (kinds.select("n", "h", "first", "last").join(edited, "first", "left")
+    dirty = (kinds.select("n", "h", "g", "first", "last").join(edited, "first", "left")
              .filter("edited or last <> first"))
-    return (lines.select("n", "h", "doc_id", "line").join(dirty, ["n", "h"])
+    return (lines.select("n", "h", "g", "doc_id", "line").join(dirty, ["n", "h", "g"])
             .filter(F.coalesce("edited", F.lit(False)) | (F.struct("doc_id", "line")
                                                           != F.col("first")))
             .select("doc_id", "line").distinct())
@@ -224,7 +232,7 @@ w AS (SELECT doc_id, line, list_filter(regexp_split_to_array(translate(content,
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
         lambda x: x <> '') AS w FROM l),
 k AS (SELECT doc_id, line, len(w) AS n, w, array_to_string(w, ' ') AS h FROM w
-      WHERE len(w) >= {rules.min_words}),
+      WHERE len(w) > 0),
 f AS (SELECT h, any_value(n) AS n, any_value(w) AS w, min(doc_id * 10000000 + line) AS first
       FROM k GROUP BY h),
 i AS (SELECT h, n, first, w, unnest(range(1, n + 1)) AS i FROM f WHERE n >= {rules.edit_words}),

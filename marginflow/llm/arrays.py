@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20  # texts are taken together up to this size; one longer text is taken alone
+CHUNK_BYTES = 1 << 19  # texts are taken together up to this size; one longer text is taken alone
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

@@ -24,8 +24,9 @@ from marginflow.plans.warehouse import (
 from marginflow.settings import CALENDAR_TABLE, PAYMENT_METHODS
 from marginflow.settings import CATEGORIES as CATEGORY_NAMES
 from marginflow.sources.export import export_tables, read_back
-from marginflow.sources.layers import row_counts
-from marginflow.sources.schemas import TABLES
+from marginflow.sources.layers import CSV_OPTIONS, CsvScan, row_counts
+from marginflow.sources.publish import current, publish, published
+from marginflow.sources.schemas import TABLE_DDL, TABLES
 from marginflow.sources.scratch import application_folder, durable
 
 Query = Callable[[Warehouse], DataFrame]
@@ -64,12 +65,83 @@ def cleaning_row_delta(w: Warehouse) -> DataFrame:
 @query
 def export_roundtrip(w: Warehouse) -> DataFrame:
     gold = w.gold_layer()
-    folder = f"{application_folder(next(iter(gold.values())).sparkSession)}/{uuid.uuid4().hex}"
+    folder = _scratch(gold[QUEUE])
     export_tables(gold, GOLD_KEYS, folder)
     return read_back(gold, folder)
 
 
+def _scratch(df: DataFrame) -> str:
+    return f"{application_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+
+
+@query
+def scan_quarantine(w: Warehouse) -> DataFrame:
+    """The order lines as CSV with cells that do not fit, words for "missing" and lines that are
+    too long, scanned under the declared types: per column how many faults, and the smallest."""
+    orders = w.raw["fact_orders"]
+    key, price = F.col("order_line_id"), F.col("unit_selling_price").cast("string")
+    text = {c: F.col(c).cast("string") for c in orders.columns}
+    text["quantity"] = F.when(key % 89 == 7, "three").otherwise(text["quantity"])
+    text["unit_selling_price"] = F.when(key % 83 == 5, F.concat(F.lit("AED "), price)) \
+        .otherwise(price)
+    text["order_date_key"] = F.when(key % 79 == 11, F.concat(F.lit("d"), text["order_date_key"])) \
+        .otherwise(text["order_date_key"])
+    text["delivery_attempts"] = F.when(key % 73 == 3, " N/A ") \
+        .otherwise(text["delivery_attempts"])
+    line = F.to_csv(F.struct(*[v.alias(c) for c, v in text.items()]),
+                    {k: str(v).lower() for k, v in CSV_OPTIONS.items()})
+    folder = _scratch(orders)
+    orders.select(F.when(key % 71 == 2, F.concat(line, F.lit(",surplus"))).otherwise(line)) \
+        .write.text(folder)
+    scan = CsvScan(orders.sparkSession, folder, TABLE_DDL["fact_orders"], {"header": False})
+    smallest = scan.bad_cells.groupBy(F.col("column_name").alias("of")).agg(
+        F.min("value").alias("smallest"))
+    kept = scan.table.agg(F.lit("(rows kept)").alias("column_name"),
+                          F.count(F.lit(1)).alias("faults"),
+                          F.lit(None).cast("string").alias("smallest"))
+    return (scan.faults().join(smallest, F.col("column_name") == F.col("of"), "left")
+            .select("column_name", "faults", "smallest").unionByName(kept))
+
+
+@query
+def gold_publish(w: Warehouse) -> DataFrame:
+    """The business layer published twice, then a run that dies at its last table: readers still
+    see the second version, whole."""
+    gold = w.gold_layer()
+    spark = gold[QUEUE].sparkSession
+    folder = _scratch(gold[QUEUE])
+    for _ in range(2):
+        publish(spark, gold, folder)
+    broken = {**gold, QUEUE: gold[QUEUE].withColumn("priority", F.raise_error(F.lit("lost")))}
+    try:
+        publish(spark, broken, folder)
+    except Exception as e:  # the planted one, as Spark wraps it
+        if "lost" not in str(e):
+            raise
+    number = int(current(spark, folder)[1:].split("-")[0])
+    return row_counts(published(spark, folder)).withColumn(
+        "version", F.lit(number).cast("bigint"))
+
+
 # -- cleaning -----------------------------------------------------------------------------------
+@query
+def silver_build_actions(w: Warehouse) -> DataFrame:
+    """The action log that is taken while the cleaned layer is written."""
+    return w.write_silver(_scratch(w.raw[CALENDAR_TABLE])).actions
+
+
+@query
+def silver_build_delta(w: Warehouse) -> DataFrame:
+    """Row counts before and after cleaning, taken the same way."""
+    return w.write_silver(_scratch(w.raw[CALENDAR_TABLE])).row_delta
+
+
+@query
+def dedup_first_wins(w: Warehouse) -> DataFrame:
+    """Of equally complete order lines with one key the first in the file stays."""
+    return cleaning.deduplicate(w.raw.order_lines_as_ingested(), ["order_line_id"])
+
+
 @query
 def clean_null_tokens(w: Warehouse) -> DataFrame:
     df = cleaning.standardize_null_tokens(w.raw["dim_listing"])
@@ -530,13 +602,14 @@ def cod_risk(w: Warehouse) -> DataFrame:
 # -- reconciliation -------------------------------------------------------------------------------
 @query
 def checks_order_economics(w: Warehouse) -> DataFrame:
-    return checks.order_line_checks(w.stored(ORDER_LINES), w.cleaned("fact_orders"))
+    return checks.order_line_checks(w.stored(ORDER_LINES), w.source_totals("fact_orders"))
 
 
 @query
 def checks_return_economics(w: Warehouse) -> DataFrame:
     lines = w.stored(ORDER_LINES)
-    return checks.return_line_checks(w.stored(RETURN_LINES), lines, w.cleaned("fact_returns"))
+    return checks.return_line_checks(w.stored(RETURN_LINES), lines,
+                                     w.source_totals("fact_returns"))
 
 
 @query
@@ -548,12 +621,12 @@ def checks_listing(w: Warehouse) -> DataFrame:
 @query
 def checks_seller(w: Warehouse) -> DataFrame:
     return checks.seller_checks(w.stored(SELLERS), w.stored(LISTINGS), w.stored(ORDER_LINES),
-                                w.stored(RETURN_LINES), w.cleaned("dim_seller"))
+                                w.stored(RETURN_LINES), w.cleaned("dim_seller"), w.settings)
 
 
 @query
 def checks_category(w: Warehouse) -> DataFrame:
-    return checks.category_checks(w.stored(CATEGORIES), w.stored(LISTINGS))
+    return checks.category_checks(w.stored(CATEGORIES), w.stored(LISTINGS), w.settings)
 
 
 @query
@@ -571,7 +644,8 @@ def checks_queue(w: Warehouse) -> DataFrame:
 
 @query
 def row_count_regression(w: Warehouse) -> DataFrame:
-    return checks.row_count_regression(w.gold_layer(), checks.expected_counts(w.cleaned))
+    gold = w.gold_layer()
+    return checks.row_count_regression(gold, checks.expected_counts(w.cleaned, w.totals))
 
 
 @query

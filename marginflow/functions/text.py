@@ -19,9 +19,34 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
+# Lower-case characters that full case folding changes further, by a rule of Unicode: some
+# become one other character, some several
+_FOLDED = {ch: ch.casefold() for ch in map(chr, range(0x80, 0x110000))
+           if ch.lower() == ch != ch.casefold()}
+
+
+def casefold(c: Column) -> Column:
+    """Full Unicode case folding: ``STRASSE`` and ``Straße`` agree, and so do all three sigmas.
+
+    Text that is ASCII, as nearly all is, takes the plain lower case; the length in bytes tells.
+    """
+    full = F.lower(c)
+    heads = {ch: form[0] for ch, form in _FOLDED.items()}
+    for rest in sorted({form[1:] for form in _FOLDED.values()} - {""}):
+        group = "".join(ch for ch, form in _FOLDED.items() if form[1:] == rest)
+        full = F.regexp_replace(full, f"([{group}])", f"$1{rest}")
+    full = F.translate(full, "".join(heads), "".join(heads.values()))
+    return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(full)
+
+
 def folded(c: Column) -> Column:
     """Case- and margin-insensitive comparison form."""
-    return F.lower(strip(c))
+    return casefold(strip(c))
+
+
+def folded_literal(text: str) -> str:
+    """The same form of a fixed word."""
+    return text.strip().casefold()
 
 
 def enum_key(c: Column) -> Column:
@@ -30,7 +55,8 @@ def enum_key(c: Column) -> Column:
 
 
 def is_null_token(c: Column) -> Column:
-    return F.coalesce(folded(c).isin(*NULL_TOKENS), F.lit(False))
+    # nothing but letters of ASCII folds to a letter of these tokens
+    return F.coalesce(F.lower(strip(c)).isin(*NULL_TOKENS), F.lit(False))
 
 
 def column_token(c: Column) -> Column:

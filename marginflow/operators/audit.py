@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import rate
-from marginflow.functions.text import column_token, folded, strip
+from marginflow.functions.text import column_token, folded, folded_literal, strip
 from marginflow.operators.cleaning import as_number, outside
 from marginflow.settings import (
     CALENDAR_TABLE, DELIVERED, FORBIDDEN_COLUMN_TOKENS, Bounds, Settings, TableContract,
@@ -169,7 +169,7 @@ def membership(df: DataFrame, column: str, values: Sequence[str] = (),
                .agg(F.count(F.lit(1)).alias("n")).withColumn("form", folded(F.col("raw"))))
     if parent is None:
         marked = counted.withColumns({
-            "known": F.col("form").isin(*[v.strip().lower() for v in values]),
+            "known": F.col("form").isin(*[folded_literal(v) for v in values]),
             "exact": F.col("raw").isin(*values)})
     else:
         words = (parent.select(F.col(parent_column).cast("string").alias("word"))

@@ -14,12 +14,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginflow.functions.dates import calendar_fields, key_date
-from marginflow.functions.text import enum_key, folded, is_null_token, literal_lookup, strip
+from marginflow.functions.text import (
+    enum_key, folded, folded_literal, is_null_token, literal_lookup, strip,
+)
 from marginflow.settings import (
     CATEGORIES, DELIVERED, EVENT_FLAG_DEFAULTS, UNMAPPED_CATEGORY, WEEKEND_DAYS, Bounds,
     CleaningRules, NullRule, Settings,
 )
 from marginflow.sources.inline import values_table
+from marginflow.sources.layers import INGEST
 
 
 def _string_columns(df: DataFrame) -> list[str]:
@@ -33,29 +36,33 @@ def standardize_null_tokens(df: DataFrame) -> DataFrame:
 
 
 def completeness(df: DataFrame) -> Column:
-    """Number of non-null columns of a row."""
-    return F.expr(" + ".join(f"CAST(`{c}` IS NOT NULL AS INT)" for c in df.columns))
+    """Number of non-null columns of a row; its place in a file is none of them."""
+    return F.expr(" + ".join(f"CAST(`{c}` IS NOT NULL AS INT)" for c in df.columns
+                             if c != INGEST))
 
 
 def deduplicate(df: DataFrame, key: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
     """Keep the most complete row per key.
 
-    Rows carry no order of their own, so equally complete rows are told apart by ``tie`` (an
-    ingest ordinal, say) or else by all remaining columns, smallest first. Catalyst limits each
-    key to one row before the shuffle, so a key with very many copies stays cheap.
+    Equally complete rows are told apart by ``tie``, else by the ordinal that a file scan gave
+    them (``INGEST``): the first one wins. Rows without an ordinal carry no order of their own, so
+    all remaining columns decide, smallest first. Catalyst limits each key to one row before
+    the shuffle, so a key with very many copies stays cheap.
     """
-    rest = [c for c in (tie or df.columns) if c not in key]
+    if not tie:
+        tie = [INGEST] if INGEST in df.columns else df.columns
+    rest = [c for c in tie if c not in key]
     best = W.partitionBy(*key).orderBy(
         completeness(df).desc(), *[F.col(c).asc_nulls_last() for c in rest])
     return (df.withColumn("_pick", F.row_number().over(best))
-            .filter(F.col("_pick") == 1).drop("_pick"))
+            .filter(F.col("_pick") == 1).drop("_pick", INGEST))
 
 
 def normalize_category(df: DataFrame, column: str, canonical: Sequence[str] = CATEGORIES,
                        unmapped: str = UNMAPPED_CATEGORY) -> DataFrame:
     """Canonical spelling of a category; unknown text becomes ``unmapped``, NULL stays NULL."""
     raw = F.col(column)
-    mapped = literal_lookup(folded(raw), [(c.strip().lower(), c) for c in canonical])
+    mapped = literal_lookup(folded(raw), [(folded_literal(c), c) for c in canonical])
     return df.withColumns({
         column: F.when(raw.isNotNull(), F.coalesce(mapped, F.lit(unmapped))),
         "dq_category_normalized": F.coalesce(mapped != raw, F.lit(False)),
@@ -63,13 +70,17 @@ def normalize_category(df: DataFrame, column: str, canonical: Sequence[str] = CA
     })
 
 
+def _enum_literal(text: str) -> str:
+    return "_".join(folded_literal(text).replace("_", " ").split())
+
+
 def normalize_enum(df: DataFrame, column: str, canonical: Sequence[str]) -> DataFrame:
     """Canonical spelling of an enumeration; unknown text is kept.
 
     Text that is canonical already is taken as it is and never meets the regex.
     """
     raw = F.col(column)
-    pairs = [("_".join(c.strip().lower().replace("_", " ").split()), c) for c in canonical]
+    pairs = [(_enum_literal(c), c) for c in canonical]
     mapped = literal_lookup(enum_key(raw), pairs)
     right = F.when(raw.isin(*canonical), raw).otherwise(F.coalesce(mapped, raw))
     return df.withColumn("_right", right).withColumns({
@@ -80,7 +91,7 @@ def normalize_enum(df: DataFrame, column: str, canonical: Sequence[str]) -> Data
 
 def unmapped_values(df: DataFrame, column: str, canonical: Sequence[str]) -> DataFrame:
     """Distinct values that no canonical spelling matches, with their row counts."""
-    known = [("_".join(c.strip().lower().replace("_", " ").split())) for c in canonical]
+    known = [_enum_literal(c) for c in canonical]
     return (df.filter(F.col(column).isNotNull() & ~enum_key(F.col(column)).isin(*known))
             .groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows")))
 
@@ -189,15 +200,18 @@ def clean_table(df: DataFrame, rules: CleaningRules, settings: Settings,
                 orders: DataFrame | None = None) -> DataFrame:
     """Run all rules of one table as a single lazy plan.
 
-    Temporal flags on returns need the cleaned ``orders``; without them they are left out.
+    Temporal flags on returns need the cleaned ``orders``; without them they are left out. Rules
+    for columns that the table lacks are skipped; ``rule_errors`` names them.
     """
     df = standardize_null_tokens(df)
     if rules.dedup_key:
         df = deduplicate(df, rules.dedup_key, rules.dedup_tie)
+    df = df.drop(INGEST)
     if rules.category_column:
         df = normalize_category(df, rules.category_column)
     for column, canonical in rules.enums.items():
-        df = normalize_enum(df, column, canonical)
+        if column in df.columns:
+            df = normalize_enum(df, column, canonical)
     df = apply_null_policy(df, rules.nulls)
     df = flag_invalid_ranges(df, rules.bounds)
     if rules.temporal == "orders":
@@ -229,29 +243,42 @@ def rule_errors(df: DataFrame, rules: CleaningRules) -> list[tuple[str, str, str
                   if c not in df.columns]
 
 
-def action_counts(name: str, raw: DataFrame, cleaned: DataFrame,
-                  rules: CleaningRules) -> DataFrame:
-    """(table_name, action, target, affected): one pass over the raw and one over the cleaned
-    rows. Deduplication is listed for tables with such a rule."""
+def raw_measures(raw: DataFrame) -> dict[str, Column]:
+    """What the action log needs to know of the raw rows."""
     tokens = F.lit(0).cast("bigint")
     for c in _string_columns(raw):
         tokens = tokens + F.count_if(is_null_token(F.col(c)))
-    before = raw.agg(tokens.alias("tokens"), F.count(F.lit(1)).alias("before"))
-    flags = [c for c in cleaned.columns if c.startswith("dq_")]
-    after = cleaned.agg(F.count(F.lit(1)).alias("after"),
-                        *[F.count_if(F.col(c)).alias(c) for c in flags])
-    lead = F.lit(name).alias("table_name")
-    frames = [before.select(lead, F.lit("standardize_null_tokens").alias("action"),
-                            F.lit("*").alias("target"), F.col("tokens").alias("affected"))]
+    return {"rows": F.count(F.lit(1)), "tokens": tokens}
+
+
+def cleaned_measures(cleaned: DataFrame) -> dict[str, Column]:
+    """The same of the cleaned rows: how many carry each flag."""
+    return {"rows": F.count(F.lit(1)), **{c: F.count_if(F.col(c)) for c in cleaned.columns
+                                          if c.startswith("dq_")}}
+
+
+def action_names(rules: CleaningRules, raw: Mapping[str, object],
+                 cleaned: Mapping[str, object]) -> list[tuple[str, str, object]]:
+    """(action, target, affected) from measures. Deduplication is listed for tables with such a
+    rule."""
+    out = [("standardize_null_tokens", "*", raw["tokens"])]
     if rules.dedup_key:
-        n_before = before.select("before").scalar()
-        frames.append(after.select(
-            lead, F.lit("deduplicate").alias("action"), F.lit("*").alias("target"),
-            (n_before - F.col("after")).alias("affected")))
-    if flags:
-        frames.append(after.unpivot([], flags, "target", "affected")
-                      .select(lead, F.lit("flag").alias("action"), "target", "affected"))
-    return reduce(DataFrame.unionByName, frames)
+        out.append(("deduplicate", "*", raw["rows"] - cleaned["rows"]))
+    return out + [("flag", c, n) for c, n in cleaned.items() if c.startswith("dq_")]
+
+
+def action_counts(name: str, raw: DataFrame, cleaned: DataFrame,
+                  rules: CleaningRules) -> DataFrame:
+    """(table_name, action, target, affected): one pass over the raw and one over the cleaned
+    rows."""
+    asked = cleaned_measures(cleaned)
+    before, after = (df.agg(F.struct(*[v.alias(k) for k, v in measures.items()])).scalar()
+                     for df, measures in ((raw, raw_measures(raw)), (cleaned, asked)))
+    names = action_names(rules, {k: before[k] for k in ("rows", "tokens")},
+                         {k: after[k] for k in asked})
+    listed = F.array(*[F.struct(F.lit(action).alias("action"), F.lit(target).alias("target"),
+                                affected.alias("affected")) for action, target, affected in names])
+    return raw.sparkSession.range(1).select(F.lit(name).alias("table_name"), F.inline(listed))
 
 
 def cleaning_details(name: str, raw: DataFrame, rules: CleaningRules) -> DataFrame:

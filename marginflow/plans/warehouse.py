@@ -8,15 +8,17 @@ on. Marts build on stored facts, so each fact is computed once however many mart
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginflow.operators.audit import union_all
 from marginflow.operators.cleaning import (
-    action_counts, clean_table, cleaning_details, extend_calendar, guard_rows,
-    standardize_null_tokens,
+    action_counts, action_names, clean_table, cleaned_measures, cleaning_details,
+    extend_calendar, guard_rows, raw_measures, standardize_null_tokens,
 )
+from marginflow.operators.observed import Watch
 from marginflow.plans import reconciliation as checks
 from marginflow.plans.category import category_metrics
 from marginflow.plans.executive import executive_summary
@@ -25,7 +27,9 @@ from marginflow.plans.listing import LISTING_COLUMNS, listing_metrics
 from marginflow.plans.queue import intervention_queue
 from marginflow.plans.seller import seller_metrics
 from marginflow.settings import CALENDAR_TABLE, DEFAULT, PASS_THROUGH, Settings
-from marginflow.sources.layers import row_counts, write_layer
+from marginflow.sources.inline import values_table
+from marginflow.sources.layers import row_counts
+from marginflow.sources.publish import Publication, publish
 from marginflow.sources.scratch import durable
 
 ORDER_LINES = "gold_order_line_economics"
@@ -55,6 +59,15 @@ class BuildFailure(RuntimeError):
     """A business table miscounts or a check fails; nothing is published."""
 
 
+@dataclass(frozen=True)
+class SilverBuild:
+    """A published cleaned layer and what was counted while it was written."""
+
+    tables: dict[str, DataFrame]
+    actions: DataFrame    # as ``Warehouse.actions`` gives them
+    row_delta: DataFrame  # as ``Warehouse.row_delta``
+
+
 class Warehouse:
     def __init__(self, raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
                  store: Callable[[DataFrame, str], DataFrame] = durable) -> None:
@@ -63,6 +76,7 @@ class Warehouse:
         self._store = store
         self._plans: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
+        self.totals: dict[str, dict[str, object]] = {}  # counted while tables were written
 
     def _written(self, key: str, df: DataFrame) -> DataFrame:
         if key not in self._stored:
@@ -77,7 +91,12 @@ class Warehouse:
     def _clean(self, name: str) -> DataFrame:
         if name not in self.settings.cleaning:
             return self.raw[name]
-        return clean_table(self.raw[name], self.settings.cleaning[name], self.settings)
+        return clean_table(self._ingested(name), self.settings.cleaning[name], self.settings)
+
+    def _ingested(self, name: str) -> DataFrame:
+        """A raw table, with the ordinal of its rows if the layer was read from files."""
+        return self.raw.ordered(name) if getattr(self.raw, "first_wins", False) \
+            else self.raw[name]
 
     def silver(self, name: str) -> DataFrame:
         """One table with every flag; the calendar extended over all fact dates."""
@@ -88,20 +107,24 @@ class Warehouse:
             return self._calendar()
         rules = self.settings.cleaning.get(name)
         if rules is not None and rules.temporal == "returns":
-            return clean_table(self.raw[name], rules, self.settings,
+            return clean_table(self._ingested(name), rules, self.settings,
                                self.cleaned("fact_orders"))
         return self.cleaned(name)
 
+    def _calendar_keys(self, table: str) -> list[str]:
+        """Columns of a table that refer to the calendar."""
+        contract = self.settings.contracts.get(table)
+        return [fk.column for fk in contract.foreign_keys if fk.table == CALENDAR_TABLE] \
+            if contract else []
+
     def _calendar(self) -> DataFrame:
         if self.settings.calendar_through is not None:
             through = F.lit(self.settings.calendar_through)
         else:
             newest = []
-            for table, contract in self.settings.contracts.items():
-                columns = [fk.column for fk in contract.foreign_keys
-                           if fk.table == CALENDAR_TABLE]
-                if columns:
-                    tops = [F.max(c) for c in columns]
+            for table in self.settings.contracts:
+                tops = [F.max(c) for c in self._calendar_keys(table)]
+                if tops:
                     top = F.greatest(*tops) if len(tops) > 1 else tops[0]
                     newest.append(self.raw[table].agg(top.alias("newest")))
             through = union_all(newest).agg(F.max("newest")).scalar()
@@ -149,13 +172,70 @@ class Warehouse:
         return union_all([cleaning_details(name, self.raw[name], rules)
                           for name, rules in self.settings.cleaning.items()])
 
-    def write_silver(self, folder: str, fmt: str = "parquet") -> None:
-        """Fail closed: nothing is written when a key is still duplicated."""
-        failed = self.key_guard().filter("status = 'FAIL'").collect()
-        if failed:
-            raise GuardFailure("; ".join(
-                f"{r.table_name}: {r.duplicate_rows} rows share a key" for r in failed))
-        write_layer(self.silver_layer(), folder, fmt)
+    def write_silver(self, folder: str) -> SilverBuild:
+        """Clean, write and publish the layer in one scan of every raw table.
+
+        Row counts, null tokens, flags and the newest dates are counted on the way. Fail closed:
+        the written keys are looked at before anyone sees the layer, and if one is still
+        duplicated the former version stays.
+        """
+        spark = self.raw[CALENDAR_TABLE].sparkSession
+        fresh = Publication(spark, folder)
+        try:
+            build = self._write_silver(fresh)
+            guards = union_all([guard_rows(name, build.tables[name], rules.dedup_key)
+                                for name, rules in self.settings.cleaning.items()
+                                if rules.dedup_key])
+            failed = guards.filter("status = 'FAIL'").collect()
+            if failed:
+                raise GuardFailure("; ".join(
+                    f"{r.table_name}: {r.duplicate_rows} rows share a key" for r in failed))
+        except Exception:
+            fresh.discard()
+            raise
+        fresh.switch()
+        return build
+
+    def _write_silver(self, fresh: Publication) -> SilverBuild:
+        rules, spark = self.settings.cleaning, fresh.spark
+        tables: dict[str, DataFrame] = {}
+        counts: dict[str, dict[str, dict[str, object]]] = {}
+        later = [n for n in rules if rules[n].temporal == "returns"]  # they read written orders
+        for name in [n for n in (*rules, *PASS_THROUGH) if n not in later] + later:
+            watch, own = Watch(spark), rules.get(name)
+            newest = {f"newest {c}": F.max(c) for c in self._calendar_keys(name)}
+            if own is None:
+                df = watch.on("raw", self.raw[name], raw_measures(self.raw[name]) | newest)
+            else:
+                source = self._ingested(name)
+                df = clean_table(
+                    watch.on("raw", source, raw_measures(self.raw[name]) | newest), own,
+                    self.settings, tables.get("fact_orders") if name in later else None)
+            df = watch.on("cleaned", df, cleaned_measures(df))
+            counts[name] = watch.run(lambda: tables.update({name: fresh.write(name, df)}))
+        through = self.settings.calendar_through
+        if through is None:
+            dates = [v for c in counts.values() for k, v in c["raw"].items()
+                     if k.startswith("newest ") and v is not None]
+            through = max(dates, default=None)
+        watch, calendar = Watch(spark), self.raw[CALENDAR_TABLE]
+        # the calendar itself is read for its last day and for its rows
+        df = watch.on("cleaned", extend_calendar(calendar, F.lit(through).cast("int")),
+                      {"rows": F.count(F.lit(1))})
+        counts[CALENDAR_TABLE] = watch.run(
+            lambda: tables.update({CALENDAR_TABLE: fresh.write(CALENDAR_TABLE, df)}))
+        counts[CALENDAR_TABLE]["raw"] = {"rows": calendar.count()}
+        actions = [(name, action, target, affected) for name, own in rules.items()
+                   for action, target, affected in action_names(
+                       own, counts[name]["raw"], counts[name]["cleaned"])]
+        delta = [(name, c["raw"]["rows"], c["cleaned"]["rows"],
+                  c["cleaned"]["rows"] - c["raw"]["rows"]) for name, c in counts.items()]
+        return SilverBuild(
+            tables,
+            values_table(spark, actions, "table_name string, action string, target string, "
+                                         "affected bigint"),
+            values_table(spark, delta, "table_name string, bronze bigint, silver bigint, "
+                                       "delta bigint"))
 
     # -- business layer ------------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
@@ -167,21 +247,41 @@ class Warehouse:
         return df.select(*LISTING_COLUMNS) if name == LISTINGS else df
 
     def stored(self, name: str) -> DataFrame:
-        """A business table written once. The listing mart keeps its carried columns here."""
+        """A business table written once; what the checks of other tables need of it is counted
+        on the way. The listing mart keeps its carried columns here."""
         if name not in self._stored:
-            self._stored[name] = self._store(
-                self._plan(name, lambda: self._build(name)), name)
+            watch = Watch(self.raw[CALENDAR_TABLE].sparkSession)
+            plan = watch.on(name, self._build(name, watch), self._measures(name))
+            self.totals.update(watch.run(
+                lambda: self._stored.update({name: self._store(plan, name)})))
         return self._stored[name]
 
-    def _build(self, name: str) -> DataFrame:
+    def _measures(self, name: str) -> dict[str, Column]:
+        return {ORDER_LINES: checks.order_line_totals, RETURN_LINES: checks.return_line_totals,
+                LISTINGS: lambda: checks.listing_totals(self.settings),
+                SELLERS: checks.seller_totals,
+                CATEGORIES: lambda: checks.category_totals(self.settings)}.get(name, dict)()
+
+    def _sums(self, name: str) -> DataFrame | Mapping[str, object]:
+        """Totals of a stored table, or the table if they were not counted."""
+        stored = self.stored(name)
+        return self.totals.get(name, stored)
+
+    def _build(self, name: str, watch: Watch | None = None) -> DataFrame:
         cleaned, economics = self.cleaned, self.cleaned("ref_category_economics")
         rates = self.cleaned("ref_logistics_rate_card")
+
+        def counted(table: str, measures: Mapping[str, Column]) -> DataFrame:
+            return watch.on(table, cleaned(table), measures) if watch else cleaned(table)
+
         if name == ORDER_LINES:
-            return order_line_economics(cleaned("fact_orders"), cleaned("dim_listing"),
-                                        cleaned("dim_geography"), economics, rates)
+            return order_line_economics(counted("fact_orders", checks.order_source_totals()),
+                                        cleaned("dim_listing"), cleaned("dim_geography"),
+                                        economics, rates)
         if name == RETURN_LINES:
-            return return_line_economics(cleaned("fact_returns"), self._sold(),
-                                         cleaned("dim_return_reason"), economics, rates)
+            return return_line_economics(counted("fact_returns", checks.return_source_totals()),
+                                         self._sold(), cleaned("dim_return_reason"), economics,
+                                         rates)
         if name == LISTINGS:
             orders, returns = self.stored(ORDER_LINES), self.stored(RETURN_LINES)
             return listing_metrics(cleaned("dim_listing"), orders, returns, economics,
@@ -219,31 +319,38 @@ class Warehouse:
 
     def gold_checks(self) -> DataFrame:
         """(table_name, check_name, value, pass) of every check of every business table."""
-        stored, cleaned = self.stored, self.cleaned
-        orders, returns = stored(ORDER_LINES), stored(RETURN_LINES)
-        listings, sellers = stored(LISTINGS), stored(SELLERS)
-        categories = stored(CATEGORIES)
+        stored, cleaned, sums = self.stored, self.cleaned, self._sums
+        sold, back, listed = sums(ORDER_LINES), sums(RETURN_LINES), sums(LISTINGS)
         found = {
-            ORDER_LINES: checks.order_line_checks(orders, cleaned("fact_orders")),
-            RETURN_LINES: checks.return_line_checks(returns, orders, cleaned("fact_returns")),
-            LISTINGS: checks.listing_checks(listings, orders, returns, cleaned("dim_listing")),
-            SELLERS: checks.seller_checks(sellers, listings, orders, returns,
-                                          cleaned("dim_seller")),
-            CATEGORIES: checks.category_checks(categories, listings),
-            EXECUTIVE: checks.executive_checks(stored(EXECUTIVE), listings, sellers, categories,
-                                               orders, returns, self.settings),
-            QUEUE: checks.queue_checks(stored(QUEUE), listings, self.settings),
+            ORDER_LINES: checks.order_line_checks(stored(ORDER_LINES), self.source_totals(
+                "fact_orders")),
+            RETURN_LINES: checks.return_line_checks(
+                stored(RETURN_LINES), stored(ORDER_LINES), self.source_totals("fact_returns")),
+            LISTINGS: checks.listing_checks(stored(LISTINGS), sold, back,
+                                            cleaned("dim_listing")),
+            SELLERS: checks.seller_checks(stored(SELLERS), listed, sold, back,
+                                          cleaned("dim_seller"), self.settings),
+            CATEGORIES: checks.category_checks(stored(CATEGORIES), stored(LISTINGS),
+                                               self.settings, self.totals.get(LISTINGS)),
+            EXECUTIVE: checks.executive_checks(stored(EXECUTIVE), listed, sums(SELLERS),
+                                               sums(CATEGORIES), sold, back, self.settings),
+            QUEUE: checks.queue_checks(stored(QUEUE), listed, self.settings),
         }
         return union_all([df.withColumn("table_name", F.lit(name))
                           for name, df in found.items()])
 
+    def source_totals(self, table: str) -> DataFrame | Mapping[str, object]:
+        """What was counted of a cleaned table on its way into a business table, or the table."""
+        return self.totals.get(table, self.cleaned(table))
+
     def build_gold(self, folder: str) -> DataFrame:
-        """Build the business tables in order, check them, and only then publish them as
-        ``folder/<table>``. Raises ``BuildFailure`` at the first miscounting table, and on any
-        check that fails or is undefined; then nothing is published."""
-        expected = checks.expected_counts(self.cleaned)
+        """Build the business tables in order, check them, and only then publish all of them in
+        one step (``sources.publish.published`` reads them). Raises ``BuildFailure`` at the first
+        miscounting table, and on any check that fails or is undefined; then the version before
+        stays."""
         for name in GOLD_KEYS:
             self.stored(name)
+            expected = checks.expected_counts(self.cleaned, self.totals)
             if name in expected:
                 row = checks.row_count_regression(
                     {name: self.stored(name)}, {name: expected[name]}).first()
@@ -253,7 +360,7 @@ class Warehouse:
         failed = results.filter("NOT coalesce(`pass`, false)").collect()
         if failed:
             raise BuildFailure("; ".join(f"{r.table_name}: {r.check_name}" for r in failed))
-        write_layer({name: self.table(name) for name in GOLD_KEYS}, folder)
+        publish(results.sparkSession, {name: self.table(name) for name in GOLD_KEYS}, folder)
         return results
 
     def gold_layer(self) -> dict[str, DataFrame]:

@@ -19,6 +19,7 @@ from marginflow.functions.dates import calendar_fields, date_key
 from marginflow.functions.numeric import MONEY
 from marginflow.settings import DEFAULT, WEEKEND_DAYS, Settings
 from marginflow.sources import inline
+from marginflow.sources.layers import INGEST, with_ordinal
 
 AS_OF = 20010630
 LISTINGS_PER_SELLER = 20
@@ -92,10 +93,12 @@ def _order_heads(spark: SparkSession, folder: str) -> DataFrame:
                     date_key(F.date_add(day, 90)).alias("promised_delivery_date_key")))
 
 
-def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    heads = _order_heads(spark, folder)
-    joined = scan(spark, folder, "lineitem").join(
-        heads, F.col("l_orderkey") == F.col("o_orderkey"))
+def raw_orders(spark: SparkSession, folder: str, ordinal: bool = False) -> DataFrame:
+    """Order lines; with ``ordinal`` also the place of each line in its file (``INGEST``)."""
+    heads, lines = _order_heads(spark, folder), scan(spark, folder, "lineitem")
+    if ordinal:
+        lines = with_ordinal(lines, "parquet")
+    joined = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     done, cancelled = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
     status = (F.when(done, "delivered").when(cancelled, "cancelled_pre_shipment")
               .when(F.col("l_linenumber") % 2 == 1, "rto_customer_refused")
@@ -120,6 +123,7 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.when(cancelled, F.lit(0)).otherwise(F.col("l_quantity") % 3 + 1).cast("bigint")
         .alias("delivery_attempts"),
         status.alias("order_status"),
+        *([INGEST] if ordinal else []),
     )
 
 
@@ -255,6 +259,9 @@ class RawLayer(Mapping):
             self._planned[name] = self._tables[name](self._spark, self._folder)
         return self._planned[name]
 
+    def order_lines_as_ingested(self) -> DataFrame:
+        return raw_orders(self._spark, self._folder, ordinal=True)
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._tables)
 

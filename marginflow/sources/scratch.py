@@ -5,7 +5,7 @@ the loss of executors, fixes non-deterministic columns such as row numbers, keep
 pruning, and gives Catalyst true file sizes to choose a join strategy from.
 
 Tables lie in the folder that the cluster names in ``spark.checkpoint.dir``; where it names
-none, in the SQL warehouse, which all executors share as well.
+none, in the SQL warehouse. A folder of a single machine is refused unless all of Spark runs there.
 """
 
 from __future__ import annotations
@@ -14,11 +14,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marginflow.sources import files
+
+
+class LocalFolder(RuntimeError):
+    """Executors on several machines would each write to a folder of their own."""
+
 
 def shared_folder(spark: SparkSession) -> str:
-    folder = (spark.conf.get("spark.checkpoint.dir", None)
-              or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch")
-    return folder.rstrip("/")
+    """Where all executors can write. The folder in ``spark.checkpoint.dir`` is trusted to be
+    shared, whatever its scheme; the warehouse is not if it is a local path of many machines."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    single = spark.sparkContext.master.startswith("local")
+    if not single and ("://" not in warehouse or warehouse.startswith("file:")):
+        raise LocalFolder(f"{warehouse} is a folder of one machine; set spark.checkpoint.dir")
+    return f"{warehouse}/_scratch"
 
 
 def application_folder(spark: SparkSession) -> str:
@@ -30,16 +43,19 @@ def durable(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._durable_path = path
+    return out
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete one folder through the file system that holds it."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def discard(*tables: DataFrame) -> None:
+    """Delete durable tables that nothing will read again, such as those of a past round."""
+    for df in tables:
+        path = getattr(df, "_durable_path", None)
+        if path is not None:
+            files.delete(df.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:
     """Delete every durable table this application wrote."""
-    drop(spark, application_folder(spark))
+    files.delete(spark, application_folder(spark))

@@ -63,9 +63,11 @@ def whole(e: str) -> str:
     return f"CAST(CAST(ROUND({e}, 0) AS BIGINT) AS VARCHAR) || '.0'"
 
 
-def best_row(source: str, key: list[str], rest: list[str]) -> str:
+def best_row(source: str, key: list[str], rest: list[str],
+             order: list[str] | None = None) -> str:
+    """The most complete row of each key; ``order`` decides among equals, else all the rest."""
     filled = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in rest)
-    ties = ", ".join(f"{c} ASC NULLS LAST" for c in rest)
+    ties = ", ".join(f"{c} ASC NULLS LAST" for c in order or rest)
     return (f"SELECT * FROM {source} QUALIFY ROW_NUMBER() OVER (PARTITION BY {', '.join(key)} "
             f"ORDER BY ({filled}) DESC, {ties}) = 1")
 
@@ -103,6 +105,8 @@ SELECT l_orderkey * 8 + l_linenumber AS order_line_id, l_orderkey AS order_id,
     AS order_status
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
 """
+RAW_ORDERS_PLACED = _CTES["raw_orders"].replace(
+    "FROM lineitem", ", pos FROM (SELECT *, row_number() OVER () AS pos FROM lineitem)")
 _CTES["raw_returns"] = f"""
 SELECT l_orderkey * 8 + l_linenumber AS return_id, l_orderkey * 8 + l_linenumber AS order_line_id,
   {key_of("CAST(l_shipdate AS DATE) + to_days(CAST(l_linenumber - 2 AS INTEGER))")}

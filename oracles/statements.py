@@ -11,7 +11,7 @@ from marginflow.plans.seller import SELLER_COLUMNS
 from marginflow.sources.bridge import AS_OF
 from oracles.audit_sql import COLUMNS, LAYERS, audit, outside
 from oracles.prelude import (
-    ORDER_REST, SIGNAL_SQL, best_row, denull, enum_form, half_up, quot, rate, squeeze, statement,
+    ORDER_REST, RAW_ORDERS_PLACED, SIGNAL_SQL, best_row, denull, enum_form, half_up, quot, rate, squeeze, statement,
 )
 
 STATEMENTS: dict[str, str] = {}
@@ -81,6 +81,24 @@ SELECT table_name, fmt, n AS source_rows, n AS file_rows, TRUE AS columns_match,
   TRUE AS content_match, 'OK' AS status
 FROM ({_GOLD_COUNTS}), (SELECT unnest(['csv', 'parquet']) AS fmt)""")
 
+add("scan_quarantine", """
+SELECT 'quantity' AS column_name, count(*) AS faults, 'three' AS smallest
+FROM raw_orders WHERE order_line_id % 89 = 7 AND order_line_id % 71 <> 2
+UNION ALL SELECT 'unit_selling_price', count(*), min('AED ' || CAST(unit_selling_price AS VARCHAR))
+FROM raw_orders WHERE order_line_id % 83 = 5 AND order_line_id % 71 <> 2
+UNION ALL SELECT 'order_date_key', count(*), min('d' || CAST(order_date_key AS VARCHAR))
+FROM raw_orders WHERE order_line_id % 79 = 11 AND order_line_id % 71 <> 2
+UNION ALL SELECT '*', count(*), NULL FROM raw_orders WHERE order_line_id % 71 = 2
+UNION ALL SELECT '(rows kept)', count(*), NULL FROM raw_orders WHERE order_line_id % 71 <> 2""")
+add("gold_publish", f"""
+SELECT table_name, n AS n_rows, CAST(2 AS BIGINT) AS version FROM ({_GOLD_COUNTS})""")
+add("dedup_first_wins", f"""
+SELECT order_line_id, order_id, listing_id, seller_id, {I('order_date_key')}, geo_id,
+  payment_method, quantity, {D('unit_selling_price')}, {D('item_discount_amount')},
+  {D('shipping_fee_charged')}, {I('promised_delivery_date_key')},
+  {I('actual_delivery_date_key')}, delivery_attempts, order_status
+FROM ({best_row('(' + RAW_ORDERS_PLACED + ')', ['order_line_id'], ORDER_REST, ['pos'])})""")
+
 # -- cleaning -----------------------------------------------------------------------------------
 add("clean_null_tokens", f"""
 SELECT listing_id, {denull('category')} AS category, {denull('subcategory')} AS subcategory,
@@ -917,3 +935,8 @@ add("cleaning_report", "\nUNION ALL ".join([
     _unmapped("fact_returns", "item_condition_on_receipt", S.ITEM_CONDITIONS),
     "SELECT 'fact_orders', 'keep', 'actual_delivery_date_key', "
     "count(*) FILTER (actual_delivery_date_key IS NULL), 'nulls kept' FROM raw_orders"]))
+
+
+# the build that counts while it writes must say what the separate scans say
+STATEMENTS["silver_build_actions"] = STATEMENTS["cleaning_actions"]
+STATEMENTS["silver_build_delta"] = STATEMENTS["cleaning_row_delta"]

@@ -4,10 +4,11 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from marginflow.operators import audit
+from marginflow.operators import audit, observed
 from marginflow.plans import reconciliation as R
 from marginflow.plans import seller as seller_plan
 from marginflow.plans import slices
+from marginflow.plans import warehouse as warehouse_module
 from marginflow.plans.warehouse import (
     CATEGORIES, EXECUTIVE, GOLD_KEYS, LISTINGS, ORDER_LINES, QUEUE, RETURN_LINES, SELLERS,
     BuildFailure, GuardFailure, Warehouse,
@@ -16,6 +17,7 @@ from marginflow.settings import DEFAULT
 from marginflow.sources import inline
 from marginflow.sources.export import MissingTables, export_tables, read_back
 from marginflow.sources.layers import MissingTable, read_layer, register_views, write_layer
+from marginflow.sources.publish import publish, published
 from marginflow.sources.schemas import TABLE_DDL
 
 
@@ -160,15 +162,46 @@ def test_audit_before_and_after(warehouse, raw):
     assert audit.summarize(after).collect()[0].overall_status == "WARN"
 
 
-def test_silver_guard_fails_closed(raw, tmp_path):
-    rules = dict(DEFAULT.cleaning)
+def test_silver_guard_fails_closed(spark, raw, tmp_path, monkeypatch):
     w = Warehouse(raw, DEFAULT)
     w.write_silver(str(tmp_path / "silver"))
     assert {r.table_name: r.delta for r in w.row_delta().collect()}["dim_seller"] == -1
-    w._plans["cleaned dim_seller"] = raw["dim_seller"]  # pretend the rule did not work
+    # pretend the rule did not work
+    monkeypatch.setattr(warehouse_module, "clean_table",
+                        lambda df, rules, settings, orders=None: df)
     with pytest.raises(GuardFailure):
         w.write_silver(str(tmp_path / "again"))
-    assert not (tmp_path / "again").exists() and rules
+    assert not (tmp_path / "again").exists()
+    with pytest.raises(GuardFailure):
+        w.write_silver(str(tmp_path / "silver"))
+    kept = published(spark, str(tmp_path / "silver"))
+    assert kept["dim_seller"].count() == 2 and "dq_imputed_seller_tier" in kept["dim_seller"].columns
+
+
+@pytest.mark.parametrize("trusted", [True, False])
+def test_silver_build_counts_while_writing(spark, raw, tmp_path, monkeypatch, trusted):
+    """The log taken while writing equals the one of separate scans, and where a task ran twice
+    the counts are asked for again."""
+    monkeypatch.setattr(observed, "_ran_once", lambda spark, group: trusted)
+    w = Warehouse(raw, DEFAULT)
+    build = w.write_silver(str(tmp_path / "silver"))
+    key = ("table_name", "action", "target")
+    assert build.actions.orderBy(*key).collect() == w.actions().orderBy(*key).collect()
+    assert sorted(build.row_delta.collect()) == sorted(w.row_delta().collect())
+    for name, df in w.silver_layer().items():
+        assert build.tables[name].columns == df.columns
+        assert build.tables[name].exceptAll(df).count() == 0 == df.exceptAll(build.tables[name]).count()
+
+
+def test_observed_totals_equal_asked_ones(warehouse):
+    """Checks over totals counted while writing equal those over the tables."""
+    warehouse.gold_layer()
+    assert set(warehouse.totals) >= {ORDER_LINES, RETURN_LINES, LISTINGS, SELLERS, CATEGORIES,
+                                     "fact_orders", "fact_returns"}
+    known = warehouse.gold_checks().orderBy("table_name", "check_name").collect()
+    bare = Warehouse(warehouse.raw, DEFAULT)
+    bare._stored = warehouse._stored
+    assert bare.gold_checks().orderBy("table_name", "check_name").collect() == known
 
 
 def test_csv_layer_round_trip(spark, raw, tmp_path):
@@ -199,18 +232,33 @@ def test_monthly_change_is_against_the_calendar_month_before(spark):
     assert out == {202512: None, 202601: 1.0, 202603: None}
 
 
-def test_build_publishes_only_what_passes(spark, raw, tmp_path):
+def test_failing_checks_publish_nothing(spark, raw, tmp_path, monkeypatch):
     w = Warehouse(raw, DEFAULT)
     results = w.gold_checks()
     assert results.count() == 72
-    failed = results.filter("NOT coalesce(`pass`, false)").count()
-    if failed:
-        with pytest.raises(BuildFailure):
-            w.build_gold(str(tmp_path / "gold"))
-        assert not (tmp_path / "gold").exists()
-    else:
+    failing = results.withColumn("pass", F.col("check_name") != "kpi_count_range")
+    monkeypatch.setattr(Warehouse, "gold_checks", lambda self: failing)
+    with pytest.raises(BuildFailure, match="kpi_count_range"):
         w.build_gold(str(tmp_path / "gold"))
-        assert {p.name for p in (tmp_path / "gold").iterdir()} == set(GOLD_KEYS)
+    assert not (tmp_path / "gold").exists()
+
+
+def test_passing_checks_publish_everything(spark, raw, tmp_path, monkeypatch):
+    w = Warehouse(raw, DEFAULT)
+    passing = w.gold_checks().withColumn("pass", F.lit(True))
+    monkeypatch.setattr(Warehouse, "gold_checks", lambda self: passing)
+    folder = str(tmp_path / "gold")
+    w.build_gold(folder)
+    layer = published(spark, folder)
+    assert set(layer) == set(GOLD_KEYS)
+    assert all(layer[n].count() == w.table(n).count() for n in GOLD_KEYS)
+    # the next build dies in the middle: readers keep the whole layer of the last one
+    w._stored[CATEGORIES] = w.stored(CATEGORIES).withColumn(
+        "category", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        publish(spark, {name: w.table(name) for name in GOLD_KEYS}, folder)
+    again = published(spark, folder)
+    assert all(again[n].count() == layer[n].count() for n in GOLD_KEYS)
 
 
 def test_miscounting_table_stops_the_build(spark, raw, tmp_path):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marginflow.functions.numeric import half_up, quotient, rate
 from marginflow.operators import audit, cleaning
+from marginflow.operators.audit_scan import audit_layer
 from marginflow.plans import category as category_plan
 from marginflow.plans import executive as executive_plan
 from marginflow.plans import facts, queue as queue_plan
@@ -344,19 +345,25 @@ def dq_funnel(w: Warehouse) -> DataFrame:
 
 @query
 def audit_full(w: Warehouse) -> DataFrame:
-    return audit.audit_layer(w.raw, w.settings).select(
+    return audit_layer(w.raw, w.settings).select(
         "table_name", "check_name", "status", "severity", "blocking", "violations")
 
 
+@query
+def audit_details(w: Warehouse) -> DataFrame:
+    """What each check found, item by item."""
+    return audit_layer(w.raw, w.settings).select(
+        "table_name", "check_name", F.explode("details").alias("item", "value"))
+
+
 @query
 def audit_summary(w: Warehouse) -> DataFrame:
-    return audit.summarize(audit.audit_layer(w.raw, w.settings))
+    return audit.summarize(audit_layer(w.raw, w.settings))
 
 
 @query
 def audit_report(w: Warehouse) -> DataFrame:
-    return audit.report(audit.audit_layer(w.raw, w.settings),
-                        {name: w.raw[name] for name in w.settings.contracts})
+    return audit.report(audit_layer(w.raw, w.settings))
 
 
 @query
@@ -364,7 +371,7 @@ def audit_before_after(w: Warehouse) -> DataFrame:
     """The same contract on the raw and the cleaned layer."""
     frames = []
     for layer, tables in (("bronze", w.raw), ("silver", w.stored_silver())):
-        results = audit.audit_layer(tables, w.settings)
+        results = audit_layer(tables, w.settings)
         frames.append(results.groupBy("table_name").agg(
             F.count(F.lit(1)).alias("checks"),
             F.count_if(F.col("status") == audit.PASS).alias("passed"),

@@ -18,11 +18,8 @@ from pyspark.sql import functions as F
 from marginflow.functions.numeric import rate
 from marginflow.functions.text import column_token, folded, folded_literal, strip
 from marginflow.operators.cleaning import as_number, outside
-from marginflow.settings import (
-    CALENDAR_TABLE, DELIVERED, FORBIDDEN_COLUMN_TOKENS, Bounds, Settings, TableContract,
-)
+from marginflow.settings import FORBIDDEN_COLUMN_TOKENS, Bounds
 from marginflow.sources.inline import values_table
-from marginflow.sources.layers import row_counts
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 SAMPLE = 10
@@ -36,12 +33,12 @@ def _n(value: Column) -> Column:
     return F.coalesce(value, F.lit(0)).cast("bigint")
 
 
-_WHOLE = ("tinyint", "smallint", "int", "bigint")
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
 def _as_text(*sides: tuple[DataFrame, str]) -> bool:
     """Keys are compared as numbers only if both sides are whole numbers by type."""
-    return any(dict(df.dtypes)[column] not in _WHOLE for df, column in sides)
+    return any(dict(df.dtypes)[column] not in WHOLE_TYPES for df, column in sides)
 
 
 def comparable(df: DataFrame, column: str, as_text: bool) -> Column:
@@ -56,7 +53,7 @@ def comparable(df: DataFrame, column: str, as_text: bool) -> Column:
     if kind in ("double", "float") or kind.startswith("decimal"):
         whole = (c == F.floor(c)) & (F.abs(c) < F.lit(9.0e18))
         return F.when(whole, F.floor(c).cast("bigint").cast("string")).otherwise(c.cast("string"))
-    return c.cast("string") if as_text or kind not in _WHOLE else c.cast("bigint")
+    return c.cast("string") if as_text or kind not in WHOLE_TYPES else c.cast("bigint")
 
 
 def _sample(values: DataFrame, column: str) -> Column:
@@ -283,6 +280,13 @@ def column_listing(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Data
                         "table_name string, column_name string")
 
 
+def forbidden_names(columns: Sequence[str],
+                    forbidden: Sequence[str] = FORBIDDEN_COLUMN_TOKENS) -> list[str]:
+    """The column names that contain a metric that must not exist yet."""
+    return [c for c in columns
+            if any(token in "".join(ch for ch in c.lower() if ch.isalnum()) for token in forbidden)]
+
+
 def leakage(listing: DataFrame, forbidden: Sequence[str] = FORBIDDEN_COLUMN_TOKENS) -> DataFrame:
     """Per table, whether a column name contains a metric that must not exist yet."""
     bad = column_token(F.col("column_name")).rlike("|".join(forbidden))
@@ -290,139 +294,7 @@ def leakage(listing: DataFrame, forbidden: Sequence[str] = FORBIDDEN_COLUMN_TOKE
         F.count(F.lit(1)).alias("n_columns"), F.count_if(bad).alias("offending_columns"))
 
 
-# -- results: one row per check ------------------------------------------------------------------
-def _result(measured: DataFrame, table: str, check: str, failures: str, warnings: str = "0",
-            blocking: bool = True, named_by: str | None = None) -> DataFrame:
-    """Turn every row of a measurement into a result row, named ``check`` or by a column.
-
-    ``failures`` (SQL over the measured columns) block; ``warnings`` only warn. Passing
-    structural checks keep the severity of their kind. All measured columns become details.
-    """
-    pairs = ", ".join(f"'{n}', coalesce(CAST({n} AS STRING), '')" for n in measured.columns
-                      if n != named_by)
-    check = named_by or f"'{check}'"
-    severity = (f"CASE WHEN {failures} = 0 AND {warnings} > 0 THEN 'warn' ELSE 'error' END"
-                if blocking else "'warn'")
-    return measured.selectExpr(
-        f"'{table}' AS table_name", f"{check} AS check_name",
-        f"CASE WHEN {failures} > 0 THEN '{FAIL}' WHEN {warnings} > 0 THEN '{WARN}' "
-        f"ELSE '{PASS}' END AS status",
-        f"{severity} AS severity",
-        f"{failures} > 0 AND {str(blocking).lower()} AS blocking",
-        f"CAST({failures} + {warnings} AS BIGINT) AS violations",
-        f"concat({check}, ': ', {failures}, ' broken, ', {warnings}, ' advisory') AS summary",
-        f"map({pairs}) AS details")
-
-
-def _missing_column(spark: SparkSession, table: str, check: str, column: str,
-                    status: str = FAIL, severity: str = "error") -> DataFrame:
-    hard = status == FAIL and severity == "error"
-    return spark.sql(
-        f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{status}' AS status, "
-        f"'{severity}' AS severity, {str(hard).lower()} AS blocking, 1L AS violations, "
-        f"'column missing: {column}' AS summary, map('column', '{column}') AS details")
-
-
-def _number(df: DataFrame, column: str) -> str:
-    return f"try_cast(`{column}` AS DOUBLE)" if dict(df.dtypes)[column] == "string" \
-        else f"`{column}`"
-
-
-def _outside(df: DataFrame, b: Bounds) -> str:
-    value = _number(df, b.column)
-    limits = ([f"{value} < {b.low}"] if b.low is not None else []) + (
-        [f"{value} > {b.high}"] if b.high is not None else [])
-    return " OR ".join(limits)
-
-
-def _profile_results(df: DataFrame, table: str, contract: TableContract) -> DataFrame:
-    """Null profile, ranges and funnel share one scan of the table."""
-    stages = contract.funnel if all(c in df.columns for c in contract.funnel) else ()
-    conditions = {
-        "null_analysis": {c: f"`{c}` IS NULL" for c in df.columns},
-        "distribution_ranges": {b.column: _outside(df, b) for b in contract.bounds
-                                if b.column in df.columns},
-        "funnel_monotonicity": {f"{u}<{v}": f"{_number(df, u)} < {_number(df, v)}"
-                                for u, v in zip(stages, stages[1:])},
-    }
-    asked = {check: found for check, found in conditions.items() if found}
-    one_row = df.agg(*[
-        F.expr("array(" + ", ".join(
-            f"named_struct('name', '{name}', 'n', count_if({condition}))"
-            for name, condition in found.items()) + f") AS {check}")
-        for check, found in asked.items()])
-    listed = ", ".join(
-        f"named_struct('check_name', '{check}', 'found', filter({check}, x -> x.n > 0))"
-        for check in asked)
-    return one_row.selectExpr(f"inline(array({listed}))").selectExpr(
-        f"'{table}' AS table_name", "check_name",
-        f"CASE WHEN size(found) > 0 THEN '{WARN}' ELSE '{PASS}' END AS status",
-        "'warn' AS severity", "false AS blocking",
-        "aggregate(found, 0L, (total, x) -> total + x.n) AS violations",
-        "concat(size(found), ' finding(s)') AS summary",
-        "map_from_entries(transform(found, x -> struct(x.name, CAST(x.n AS STRING)))) "
-        "AS details")
-
-
-def table_checks(table: str, tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
-    """All checks the contract of one table asks for."""
-    df, contract = tables[table], settings.contracts[table]
-    spark = df.sparkSession
-    names = column_listing(spark, {table: df})
-    results = [_result(leakage(names).select("offending_columns"), table, "leakage",
-                       "offending_columns")]
-
-    absent = [c for c in contract.key if c not in df.columns]
-    if absent:
-        results.append(_missing_column(spark, table, "primary_key", ",".join(absent)))
-    else:
-        results.append(_result(primary_key(df, contract.key), table, "primary_key",
-                               "(null_key_rows + duplicate_rows)"))
-    results.append(_result(duplicate_rows(df, () if absent else contract.key), table,
-                           "duplicate_rows", "0", "duplicate_rows", blocking=False))
-    results.append(_profile_results(df, table, contract))
-    results += [_missing_column(spark, table, "distribution_ranges", b.column, WARN, "warn")
-                for b in contract.bounds if b.column not in df.columns]
-
-    references = []
-    for fk in contract.foreign_keys:
-        check = f"fk:{fk.column}"
-        if fk.column not in df.columns:
-            results.append(_missing_column(spark, table, check, fk.column))
-        else:
-            references.append(Reference(check, fk.column, tables[fk.table], fk.parent_column,
-                                        fk.table == CALENDAR_TABLE))
-    if references:
-        results.append(_result(foreign_keys(df, references), table, "", "broken_orphans",
-                               "coverage_orphans", named_by="reference"))
-    for m in contract.members:
-        check = f"membership:{m.column}"
-        if m.column not in df.columns:
-            results.append(_missing_column(spark, table, check, m.column))
-            continue
-        parent = tables[m.table] if m.table else None
-        measured = membership(df, m.column, m.values, parent, m.parent_column)
-        results.append(_result(measured, table, check, "unknown_count",
-                               "needs_normalization_count"))
-    if contract.funnel and any(c not in df.columns for c in contract.funnel):
-        results.append(_missing_column(spark, table, "funnel_monotonicity",
-                                       ",".join(contract.funnel), WARN, "warn"))
-    if contract.delivered_only:
-        measured = delivered_only(df, tables["fact_orders"]).agg(
-            F.expr("coalesce(sum(CASE WHEN outcome = 'unmatched' THEN n_returns END), 0) "
-                   "AS unmatched_order_lines"),
-            F.expr(f"coalesce(sum(CASE WHEN outcome NOT IN ('unmatched', 'no_status', "
-                   f"'{DELIVERED}') THEN n_returns END), 0) AS returns_against_non_delivered"))
-        results.append(_result(measured, table, "returns_delivered_reconciliation",
-                               "(unmatched_order_lines + returns_against_non_delivered)"))
-    return union_all(results)
-
-
-def audit_layer(tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
-    """Every check of every contract table in one DataFrame."""
-    return union_all([table_checks(t, tables, settings) for t in settings.contracts])
-
-
+# -- reports -----------------------------------------------------------------------------------
 def summarize(results: DataFrame) -> DataFrame:
     """Totals and the overall verdict: FAIL if anything blocks, else WARN, else PASS."""
     return results.agg(
@@ -436,10 +308,11 @@ def summarize(results: DataFrame) -> DataFrame:
         .otherwise(PASS))
 
 
-def report(results: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+def report(results: DataFrame) -> DataFrame:
     """One row: totals, verdict, number of tables and rows, row counts per table, and the
-    blocking findings as ``table: check``, sorted."""
-    counted = row_counts(tables)
+    blocking findings as ``table: check``, sorted. Row counts are taken from the results."""
+    counted = results.filter("check_name = 'duplicate_rows'").select(
+        "table_name", F.col("details")["row_count"].cast("bigint").alias("n_rows"))
     size = counted.agg(
         F.count(F.lit(1)).alias("tables"), F.sum("n_rows").cast("bigint").alias("total_rows"),
         F.array_join(F.array_sort(F.collect_list(
@@ -451,7 +324,7 @@ def report(results: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     return summarize(results).join(size).join(blocking)
 
 
-def write_report(results: DataFrame, tables: Mapping[str, DataFrame], folder: str) -> None:
+def write_report(results: DataFrame, folder: str) -> None:
     """JSON: one line per check with its details, and the one-line report."""
     results.coalesce(1).write.mode("overwrite").json(f"{folder}/results")
-    report(results, tables).coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+    report(results).coalesce(1).write.mode("overwrite").json(f"{folder}/summary")

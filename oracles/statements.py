@@ -9,7 +9,7 @@ from marginflow.plans.listing import LISTING_COLUMNS
 from marginflow.plans.queue import QUEUE_COLUMNS
 from marginflow.plans.seller import SELLER_COLUMNS
 from marginflow.sources.bridge import AS_OF
-from oracles.audit_sql import COLUMNS, LAYERS, audit, outside
+from oracles.audit_sql import COLUMNS, LAYERS, audit, details, outside
 from oracles.prelude import (
     ORDER_REST, RAW_ORDERS_PLACED, SIGNAL_SQL, best_row, denull, enum_form, half_up, quot, rate, squeeze, statement,
 )
@@ -369,6 +369,7 @@ add("dq_funnel", "SELECT * FROM (" + "\nUNION ALL ".join(
     for u, v in (("impressions", "detail_page_views"), ("detail_page_views", "add_to_carts")))
     + ") WHERE breaches > 0")
 add("audit_full", audit("bronze"))
+add("audit_details", details("bronze"))
 add("audit_summary", f"""
 SELECT count(*) AS checks_run, count(*) FILTER (status = 'PASS') AS passed,
   count(*) FILTER (status = 'WARN') AS warnings, count(*) FILTER (blocking) AS blocking_failures,

@@ -3,7 +3,9 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from marginflow.operators import audit as A
-from marginflow.settings import DEFAULT, Bounds, TableContract
+from marginflow.operators.audit_scan import audit_layer
+from marginflow.settings import DEFAULT, Bounds, ForeignKey, Membership, TableContract
+from marginflow.sources.layers import read_layer
 
 
 def one(df):
@@ -101,7 +103,7 @@ def test_bounds_of_missing_columns_warn(spark):
     assert {(r.column_name, r.out_of_range) for r in found} == {("v", 1), ("gone", None)}
     contract = TableContract(key=("k",), bounds=(Bounds("gone", 0, 1),))
     settings = replace(DEFAULT, contracts={"t": contract})
-    rows = A.audit_layer({"t": df}, settings).filter("check_name = 'distribution_ranges'").collect()
+    rows = audit_layer({"t": df}, settings).filter("check_name = 'distribution_ranges'").collect()
     assert [(r.status, r.details.get("column")) for r in rows] == [("WARN", "gone")]
 
 
@@ -116,9 +118,78 @@ def test_report_is_written_with_counts_and_blocking_findings(spark, tmp_path):
     df = spark.createDataFrame([(1,), (1,)], "k int")
     settings = replace(DEFAULT, contracts={"t": TableContract(key=("k",))})
     tables = {"t": df}
-    results = A.audit_layer(tables, settings)
-    A.write_report(results, tables, str(tmp_path))
+    results = audit_layer(tables, settings)
+    A.write_report(results, str(tmp_path))
     summary = one(spark.read.json(str(tmp_path / "summary")))
     assert (summary["tables"], summary["total_rows"], summary["row_counts"]) == (1, 2, "t=2")
     assert summary["blocking_findings"] == "t: primary_key" and summary["overall_status"] == "FAIL"
     assert spark.read.json(str(tmp_path / "results")).count() == summary["checks_run"]
+
+
+def test_details_say_what_was_found(spark):
+    """Offending names, shares, bounds with what was observed, states of the orders."""
+    orders = spark.createDataFrame(
+        [(1, "delivered", 3, 0.5, 1), (2, "rto_unreachable", -1, None, 1), (3, None, 500, 2.0, None)],
+        "order_line_id bigint, order_status string, quantity int, `Trust Score` double, day int")
+    returns = spark.createDataFrame([(1, 1), (2, 2), (2, 3), (3, 4), (9, 5), (None, 6)],
+                                    "order_line_id bigint, return_id int")
+    days = spark.createDataFrame([(1,)], "date_key int")
+    contracts = {
+        "fact_orders": TableContract(("order_line_id",), bounds=(Bounds("quantity", 1, 100),)),
+        "fact_returns": TableContract(("return_id",), delivered_only=True)}
+    tables = {"fact_orders": orders, "fact_returns": returns, "dim_date": days}
+    out = {(r.table_name, r.check_name): r for r in audit_layer(
+        tables, replace(DEFAULT, contracts=contracts)).collect()}
+    assert out["fact_orders", "leakage"].details == {"offending_columns": "Trust Score"}
+    assert out["fact_orders", "leakage"].blocking
+    assert out["fact_orders", "null_analysis"].details == {
+        "row_count": "3", "order_status": "nulls=1 pct=0.333333",
+        "Trust Score": "nulls=1 pct=0.333333", "day": "nulls=1 pct=0.333333"}
+    assert out["fact_orders", "distribution_ranges"].details == {
+        "quantity": "out_of_range=2 bounds=[1,100] observed=[-1.0,500.0]"}
+    delivery = out["fact_returns", "returns_delivered_reconciliation"]
+    assert delivery.violations == 3 and delivery.details == {
+        "returns_with_order_ref": "5", "unmatched_order_lines": "1", "without_status": "1",
+        "returns_against_non_delivered": "2",
+        "non_delivered_status_breakdown": "rto_unreachable=2"}
+
+
+def test_whole_audit_equals_single_measurements(spark):
+    """Keys of several types, gaps, copies and samples in one pass as in passes of their own."""
+    child = spark.createDataFrame(
+        [(1, "a ", 10.0, "Home"), (1, "b", 10.5, " HOME"), (2, None, None, "Garden"),
+         (None, "zz", 7.0, None), (2, None, None, "Garden")] + [(5, f"q{i}", 1.0, "x") for i in range(12)],
+        "k int, ref string, num double, word string")
+    parent = spark.createDataFrame([("a", 10, "Home"), ("b ", 7, "Sports"), (None, None, None)],
+                                   "ref string, num bigint, word string")
+    contracts = {
+        "t": TableContract(("k",), (ForeignKey("ref", "p", "ref"), ForeignKey("num", "p", "num")),
+                           (Membership("word", "words", table="p", parent_column="word"),)),
+        "p": TableContract(("ref", "num"))}
+    out = {(r.table_name, r.check_name): r.details for r in audit_layer(
+        {"t": child, "p": parent}, replace(DEFAULT, contracts=contracts)).collect()}
+
+    def text(row):
+        return {k: "" if v is None else str(v) for k, v in row.items()}
+
+    for column in ("ref", "num"):
+        alone = text(one(A.foreign_key(child, column, parent, column)))
+        assert out["t", f"fk:{column}"] == alone
+    assert out["t", "primary_key"] == text(one(A.primary_key(child, ["k"])))
+    assert out["t", "duplicate_rows"] == text(one(A.duplicate_rows(child)))
+    assert out["t", "membership:word"] == text(one(
+        A.membership(child, "word", parent=parent, parent_column="word")))
+    assert out["p", "primary_key"]["null_key_rows"] == "1"
+    empty = {r.check_name: r.status for r in audit_layer(
+        {"t": child.limit(0), "p": parent.limit(0)},
+        replace(DEFAULT, contracts=contracts)).filter("table_name = 't'").collect()}
+    assert set(empty.values()) == {"PASS"}
+
+
+def test_unfit_cells_of_a_csv_layer_are_reported(spark, tmp_path):
+    (tmp_path / "dim_geography.csv").write_text("geo_id,emirate,city,zone_type,logistics_zone\n1,a,b\n2,a,b,c,d\n")
+    layer = read_layer(spark, str(tmp_path), ["dim_geography"])
+    contracts = {"dim_geography": TableContract(("geo_id",))}
+    out = {r.check_name: r for r in audit_layer(layer, replace(DEFAULT, contracts=contracts)).collect()}
+    assert out["unparsed_cells"].status == "WARN" and out["unparsed_cells"].details == {"*": "1"}
+    assert out["primary_key"].details["row_count"] == "1"

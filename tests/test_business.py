@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marginflow.operators import audit, observed
+from marginflow.operators.audit_scan import audit_layer
 from marginflow.plans import reconciliation as R
 from marginflow.plans import seller as seller_plan
 from marginflow.plans import slices
@@ -150,14 +151,14 @@ def test_checks_pass_and_catch(warehouse):
 
 
 def test_audit_before_and_after(warehouse, raw):
-    before = {(r.table_name, r.check_name): r for r in audit.audit_layer(raw, DEFAULT).collect()}
+    before = {(r.table_name, r.check_name): r for r in audit_layer(raw, DEFAULT).collect()}
     assert before["dim_seller", "primary_key"].blocking
     assert before["fact_returns", "primary_key"].violations == 2
     assert before["dim_listing", "membership:category"].status == "WARN"
     assert before["fact_orders", "fk:promised_delivery_date_key"].status == "WARN"
     assert before["fact_listing_traffic", "funnel_monotonicity"].details == {
         "impressions<detail_page_views": "1"}
-    after = audit.audit_layer(warehouse.silver_layer(), DEFAULT)
+    after = audit_layer(warehouse.silver_layer(), DEFAULT)
     assert after.filter("blocking").count() == 0
     assert audit.summarize(after).collect()[0].overall_status == "WARN"
 

@@ -17,15 +17,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean, margin double"
+LETTER = r"\p{L}"
+SCHEMA = ("doc_id long, lang_pred string, score double, rejected boolean, margin double, "
+          "tied boolean")
 
 
 @dataclass(frozen=True)
 class Compression:
     """Parameters of the classifier.
 
-    ``dictionary_chars`` bounds the text learned per language and ``max_languages`` the number
-    of dictionaries, so the model has at most their product of characters whatever the corpus.
+    ``dictionary_chars`` bounds the text learned per language and ``model_chars`` that of all
+    languages together, each of which then gets an equal share: no language is left out.
+    ``sample_chars`` is the length of a passage.
     ``piece_bytes``: texts are compressed in pieces of this size, so that the dictionary keeps
     its weight in a long text. ``min_margin``: the least advantage over the runner-up, as a
     share of its size. ``repeats``: how often a text stands that all dictionaries store alike.
@@ -33,7 +36,7 @@ class Compression:
 
     dictionary_chars: int = 100_000
     sample_chars: int = 600
-    max_languages: int = 200
+    model_chars: int = 20_000_000
     piece_bytes: int = 1024
     level: int = 7
     min_margin: float = 0.003
@@ -44,23 +47,30 @@ def learn(labelled: DataFrame, rules: Compression = Compression()) -> dict[str,
     """lang -> dictionary text, from ``labelled(doc_id, text, lang)``.
 
     A bounded sample: per language the texts that come first in a hash order of their ids, one
-    passage of ``sample_chars`` from the start of each, until ``dictionary_chars`` are full. The
-    order is taken with an aggregate that keeps the k smallest per task, so no group is gathered.
-    Null languages and texts without letters teach nothing.
+    passage of each from a hashed place, until the share of the language is full. Where no letter
+    stands in that passage it begins at the first letter of the text. The order is taken with an
+    aggregate that keeps the k smallest per task, so no group is gathered. Null languages and
+    texts without letters teach nothing.
     """
-    passages = max(1, rules.dictionary_chars // rules.sample_chars)
+    place = F.xxhash64(F.col("doc_id").cast("string"))
+    size = F.lit(rules.sample_chars)
+    room = F.greatest(F.length("text") - size, F.lit(0)) + 1
+    hashed = F.substring(F.col("text"), (F.pmod(place, room) + 1).cast("int"), size)
+    letters = F.substring(F.col("text"), F.regexp_instr("text", F.lit(LETTER)), size)
     usable = (labelled.select("doc_id", "text", F.col("lang").alias("language"))
-              .filter("language is not null")
-              .select("language", F.xxhash64(F.col("doc_id").cast("string")).alias("place"),
-                      F.lower(F.substring("text", 1, rules.sample_chars)).alias("passage"))
-              .filter(F.col("passage").rlike(r"\p{L}")))
+              .filter(F.col("language").isNotNull() & F.col("text").rlike(LETTER))
+              .select("language", place.alias("place"),
+                      F.lower(F.when(hashed.rlike(LETTER), hashed).otherwise(letters))
+                      .alias("passage")))
+    languages = usable.select("language").distinct().count()
+    share = min(rules.dictionary_chars, rules.model_chars // max(languages, 1))
+    passages = max(1, share // rules.sample_chars)
     nearest = Window.partitionBy("language").orderBy("place", "passage")
     # Catalyst keeps `passages` rows per language and task before the shuffle
     kept = (usable.withColumn("rank", F.row_number().over(nearest))
             .filter(F.col("rank") <= passages)
             .groupBy("language").agg(F.sort_array(F.collect_list(F.struct("rank", "passage")))
-                                     .alias("passages"), F.count("*").alias("n"))
-            .orderBy(F.desc("n"), "language").limit(rules.max_languages))
+                                     .alias("passages")))
     return {row.language: "\n".join(p.passage for p in row.passages) for row in kept.collect()}
 
 
@@ -80,11 +90,11 @@ def _compressors(model: dict[str, str], rules: Compression) -> list:
 
 def identify(docs: DataFrame, model: dict[str, str],
              rules: Compression = Compression()) -> DataFrame:
-    """(doc_id, lang_pred, score, rejected, margin), one row per row of ``docs``.
+    """(doc_id, lang_pred, score, rejected, margin, tied), one row per row of ``docs``.
 
     ``lang_pred`` is the language with the smallest total, ties going to the first name; 'und'
-    when the text is null, has no letter, or nothing was learned, and with a score above 0 when
-    all languages tie even with the text repeated. ``score`` is the share of the
+    when the text is null, has no letter, or nothing was learned. ``tied``: all of several languages
+    have the same total, even with the text repeated. ``score`` is the share of the
     winner when each language weighs 2^-(8 * extra bytes / pieces). ``rejected`` marks 'und' and
     margins under ``min_margin``. Null ids stay null; repeated rows give repeated results; other
     columns are ignored.
@@ -98,15 +108,14 @@ def identify(docs: DataFrame, model: dict[str, str],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        letter = regex.compile(r"\p{L}")
+        letter = regex.compile(LETTER)
         tools = _compressors(ordered, rules)
         for batch in batches:
-            winners, scores, rejected, margins = [], [], [], []
+            found = []
             for cell in batch.column(1):
                 text = cell.as_py()
                 if not text or not names or not letter.search(text):
-                    winners.append(UNKNOWN), scores.append(0.0)
-                    rejected.append(True), margins.append(0.0)
+                    found.append((UNKNOWN, 0.0, True, 0.0, False))
                     continue
                 raw = text.lower().encode()
                 pieces = [raw[i:i + rules.piece_bytes]
@@ -114,20 +123,17 @@ def identify(docs: DataFrame, model: dict[str, str],
                 sizes = measured(tools, pieces)
                 if np.ptp(sizes) == 0:
                     sizes = measured(tools, [b"\n".join([p] * rules.repeats) for p in pieces])
-                if len(sizes) > 1 and np.ptp(sizes) == 0:
-                    winners.append(UNKNOWN), scores.append(1 / len(sizes))
-                    rejected.append(True), margins.append(0.0)
-                    continue
                 best = int(sizes.argmin())
                 rest = np.delete(sizes, best)
                 margin = float((rest.min() - sizes[best]) / rest.min()) if len(rest) else 1.0
                 weights = np.exp2(-np.minimum(8 * (sizes - sizes[best]) / len(pieces), 1000))
-                winners.append(names[best]), scores.append(float(1 / weights.sum()))
-                rejected.append(margin < rules.min_margin), margins.append(margin)
-            yield pa.record_batch([batch.column(0), pa.array(winners, pa.string()),
-                                   pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_()),
-                                   pa.array(margins, pa.float64())],
-                                  names=["doc_id", "lang_pred", "score", "rejected", "margin"])
+                found.append((names[best], float(1 / weights.sum()), margin < rules.min_margin,
+                              margin, len(sizes) > 1 and np.ptp(sizes) == 0))
+            columns = zip(*found) if found else [()] * 5
+            kinds = (pa.string(), pa.float64(), pa.bool_(), pa.float64(), pa.bool_())
+            yield pa.record_batch(
+                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                names=["doc_id", "lang_pred", "score", "rejected", "margin", "tied"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .mapInArrow(run, SCHEMA)
@@ -135,7 +141,7 @@ def identify(docs: DataFrame, model: dict[str, str],
 
 def tied(rows: DataFrame):
     """Whether no dictionary shows anything about a text that has letters."""
-    return (rows["lang_pred"] == UNKNOWN) & (rows["score"] > 0)
+    return rows["tied"]
 
 
 def held_out(column: str = "doc_id"):
@@ -147,4 +153,4 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = learn(docs.filter(~held_out()))
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred",
-                                        "score", "rejected", "margin")
+                                        "score", "rejected", "margin", "tied")

@@ -53,9 +53,9 @@ def test_learning_is_bounded_and_deterministic(spark):
     docs = spark.createDataFrame(texts(2, 200) + [(900, None, "aa"), (901, "1 2 3", "dd"),
                                                   (902, "word", None)],
                                  "doc_id long, text string, lang string")
-    rules = Compression(dictionary_chars=1000, sample_chars=100, max_languages=2)
-    model = learn(docs, rules)
-    assert len(model) == 2 and all(len(t) <= 1010 for t in model.values())
+    rules = Compression(dictionary_chars=1000, sample_chars=100, model_chars=2100)
+    model = learn(docs, rules)  # every language with letters, an equal share for each
+    assert set(model) == set(WORDS) and all(500 < len(t) <= 710 for t in model.values())
     assert model == learn(docs.repartition(7), rules)
 
 
@@ -76,7 +76,7 @@ def test_odd_rows(spark):
 def test_short_texts_are_told_apart(spark):
     # zstandard stores a few bytes as they are, in one size under every dictionary
     model = {name: "\n".join(t for _, t, lang in texts(3, 200) if lang == name) for name in WORDS}
-    rows = [(1, "House.", "aa"), (2, "Baum.", "bb"), (3, "Jardin.", "cc"), (4, "Q.", UNKNOWN)]
+    rows = [(1, "House.", "aa"), (2, "Baum.", "bb"), (3, "Jardin.", "cc"), (4, "Q.", "aa")]
     for _, text, _ in rows:
         assert plain(text, model, Compression())[1] == 0
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -85,3 +85,18 @@ def test_short_texts_are_told_apart(spark):
     assert [out[i].lang_pred for i, _, _ in rows] == [lang for _, _, lang in rows]
     assert [out[i].rejected for i in (1, 2, 3, 4)] == [False, False, False, True]
     assert [out[i].tied for i in (1, 2, 3, 4)] == [False, False, False, True]
+
+
+def test_any_part_of_a_text_may_teach(spark):
+    rows = [(1, "1 " * 5000 + WORDS["aa"], "aa"), (2, WORDS["bb"] + " 2" * 5000, "bb"),
+            (3, ("." * 50 + "un deux trois " * 3) * 40, "cc"), (4, "9" * 5000, "dd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = learn(docs, Compression(sample_chars=60))
+    assert set(model) == {"aa", "bb", "cc"}
+    assert all(any(c.isalpha() for c in text) for text in model.values())
+
+
+def test_many_languages_are_all_learned(spark):
+    docs = spark.range(900).selectExpr("id AS doc_id", "concat('word', id, ' and more') AS text",
+                                       "concat('l', id % 300) AS lang")
+    assert len(learn(docs)) == 300

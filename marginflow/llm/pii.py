@@ -1,20 +1,22 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four kinds of base entities (email, ip, card, phone) are found by form and seed the rest. The
-words around a seed are lexical patterns; every other token that carries a digit is a possible
-instance, with its own surroundings. Spark scores the bipartite pattern-instance graph in
+words around a seed are lexical patterns. Every token, of any form, that stands in a pattern with
+enough seeds is a possible instance. Spark scores the bipartite pattern-instance graph in
 rounds: a pattern is worth the mean of its instances, an instance the best of its patterns, and
 seeds stay at 1. Patterns that end up reliable mark the instances they surround as personal
-data of the kind their seeds had. These become seeds in turn, with all patterns they stand in,
-until no new ones appear.
+data of the kind their seeds had. These become seeds in turn: the texts are searched for the other
+places where they stand, whose patterns may gain enough seeds, until no new values appear.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,14 +40,15 @@ _RUN = re.compile(r"(.)\1+")
 @dataclass(frozen=True)
 class Bootstrapping:
     """``rounds`` of scoring; a pattern is trusted from ``min_score`` on when at least
-    ``min_seeds`` different seed values, found by form or gained, have been seen in it. Tokens shorter than ``min_chars``
-    are no instances. ``context_chars``: how far to either side the surrounding words reach."""
+    ``min_seeds`` different seed values, found by form or gained, have been seen in it.
+    ``context_chars``: how far to either side the surrounding words reach. The texts are searched
+    for ``block`` patterns or values at a time, in as many passes as that takes."""
 
     rounds: int = 3
     min_score: float = 0.9
     min_seeds: int = 5
-    min_chars: int = 6
     context_chars: int = 80
+    block: int = 50_000
 
 
 def luhn(digits: str) -> bool:
@@ -98,12 +101,17 @@ def shape(token: str) -> str:
 
 
 def _patterns(text: str, start: int, end: int, reach: int) -> list[str]:
-    """What surrounds a span: two words before, one word each side, one word and the form."""
+    """What surrounds a span: two words before, one word each side, one word and the form.
+    Quotes, brackets and the like that touch the span belong to neither."""
+    form = shape(text[start:end])
+    while start > 0 and text[start - 1] in _EDGE:
+        start -= 1
+    while end < len(text) and text[end] in _EDGE:
+        end += 1
     before = text[max(0, start - reach):start].lower().split()
     after = text[end:end + reach].lower().split()
     clean = [w.strip(_EDGE) for w in before[-2:]]
     follow = after[0].strip(_EDGE) if after else ""
-    form = shape(text[start:end])
     out = []
     if len(clean) == 2 and all(clean):
         out.append(f"b {clean[0]} {clean[1]}")
@@ -114,72 +122,141 @@ def _patterns(text: str, start: int, end: int, reach: int) -> list[str]:
     return [p[:160] for p in out]
 
 
-def _instances(text: str, spans: list[tuple[int, int, int]], rules: Bootstrapping):
-    """(kind or -1, start, end, value, patterns) of seeds and of other tokens with a digit."""
-    for kind, a, b in spans:
-        yield kind, a, b, text[a:b], _patterns(text, a, b, rules.context_chars)
-    taken = sorted((a, b) for _, a, b in spans)
-    i, done = 0, 0
-    for digit in _DIGIT.finditer(text):
-        if digit.start() < done:
+def _left_word(pattern: str) -> str:
+    """The word right before the span, which every pattern names."""
+    kind, rest = pattern[0], pattern[2:].split(" ")
+    return rest[1] if kind == "b" and len(rest) > 1 else rest[0]
+
+
+def value_of(token: str) -> str:
+    """Name of a value in tables: a checksum, to find it quickly, and a digest."""
+    raw = token.lower().encode()
+    return f"{zlib.crc32(raw):08x}{hashlib.blake2b(raw, digest_size=12).hexdigest()}"
+
+
+def _failed_form(token: str) -> bool:
+    """Written like a card, an address of a machine or a phone number, and found to be none."""
+    if _CARD.fullmatch(token):
+        return 13 <= sum(c.isdigit() for c in token) <= 19
+    return bool(_IP.fullmatch(token) or _PHONE.fullmatch(token))
+
+
+def _instances(text: str, spans: list[tuple[int, int, int]], lefts: set[str],
+               patterns: set[str], sums: set[int], values: set[str], rules: Bootstrapping):
+    """(start, end, value, patterns) of the tokens that stand in one of ``patterns`` or have one
+    of ``values``, outside the base ``spans``."""
+    taken, i, left = sorted((a, b) for _, a, b in spans), 0, ""
+    for m in _TOKEN.finditer(text):
+        a, b = m.span()
+        word = m[0].lower().strip(_EDGE)
+        before, left = left, word or left
+        if not word:
+            continue
+        listed = sums and zlib.crc32(word.encode()) in sums
+        if before not in lefts and not listed:
             continue
-        a = digit.start()
-        while a > 0 and not text[a - 1].isspace():
-            a -= 1
-        m = _TOKEN.match(text, a)
-        a, done = m.start(), m.end()
-        b = done
-        while a < b and text[a] in _EDGE:
+        while text[a] in _EDGE:
             a += 1
-        while b > a and text[b - 1] in _EDGE:
+        while text[b - 1] in _EDGE:
             b -= 1
         while i < len(taken) and taken[i][1] <= a:
             i += 1
-        if b - a < rules.min_chars or (i < len(taken) and taken[i][0] < b):
+        if (i < len(taken) and taken[i][0] < b) or _failed_form(text[a:b]):
             continue
-        yield -1, a, b, text[a:b], _patterns(text, a, b, rules.context_chars)
+        around = _patterns(text, a, b, rules.context_chars)
+        value = value_of(text[a:b])
+        if any(p in patterns for p in around) or (listed and value in values):
+            yield a, b, value, around
 
 
-_INSTANCE = pa.struct([("kind", pa.int32()), ("a", pa.int32()), ("b", pa.int32()),
-                       ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
 _SPAN = pa.struct([("kind", pa.int32()), ("a", pa.int32()), ("b", pa.int32())])
-_FOUND = ("doc_id long, spans array<struct<kind:int,a:int,b:int>>, base_sha256 string, "
-          "instances array<struct<kind:int,a:int,b:int,value:string,patterns:array<string>>>")
+_SEED = pa.struct([("kind", pa.int32()), ("value", pa.string()),
+                   ("patterns", pa.list_(pa.string()))])
+_PLACE = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("value", pa.string()),
+                    ("patterns", pa.list_(pa.string()))])
+_FOUND = ("k1 long, k2 long, doc_id long, spans array<struct<kind:int,a:int,b:int>>, "
+          "base_sha256 string, seeds array<struct<kind:int,value:string,patterns:array<string>>>")
+_PLACES = ("k1 long, k2 long, "
+           "places array<struct<a:int,b:int,value:string,patterns:array<string>>>")
 
 
 def written(spans) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-def _found(docs: DataFrame, rules: Bootstrapping) -> DataFrame:
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows with a name of 128 bits that follows from id and text, so that it is the same in every
+    pass; rows equal in both are one."""
+    doc = F.col("doc_id").cast("long")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    known = doc.isNull()  # a null leaves a hash as it is
+    return docs.select(F.xxhash64(known, doc, text).alias("k1"),
+                       F.xxhash64(F.lit(2), text, doc, known).alias("k2"),
+                       doc.alias("doc_id"), text.alias("text"))
+
+
+def _found(named: DataFrame, rules: Bootstrapping) -> DataFrame:
+    """Base entities of every text, and the seeds they are with their patterns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, shas, instances = [], [], []
-            for cell in batch.column(1):
-                text = cell.as_py() or ""
+            spans, shas, seeds = [], [], []
+            for cell in batch.column(3):
+                text = cell.as_py()
                 base = base_spans(text)
                 spans.append([{"kind": k, "a": a, "b": b} for k, a, b in base])
                 shas.append(hashlib.sha256(written(base).encode()).hexdigest())
-                instances.append([
-                    {"kind": k, "a": a, "b": b, "value": hashlib.blake2b(
-                        v.lower().encode(), digest_size=12).hexdigest(), "patterns": p}
-                    for k, a, b, v, p in _instances(text, base, rules) if p])
-            yield pa.record_batch([batch.column(0), pa.array(spans, pa.list_(_SPAN)),
+                seeds.append([{"kind": k, "value": value_of(text[a:b]),
+                               "patterns": _patterns(text, a, b, rules.context_chars)}
+                              for k, a, b in base])
+            yield pa.record_batch([*batch.columns[:3], pa.array(spans, pa.list_(_SPAN)),
                                    pa.array(shas, pa.string()),
-                                   pa.array(instances, pa.list_(_INSTANCE))],
-                                  names=["doc_id", "spans", "base_sha256", "instances"])
+                                   pa.array(seeds, pa.list_(_SEED))],
+                                  names=["k1", "k2", "doc_id", "spans", "base_sha256", "seeds"])
+
+    return named.mapInArrow(run, _FOUND)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(run, _FOUND)
+
+def _searched(named: DataFrame, patterns: list[str], values: list[str],
+              rules: Bootstrapping) -> DataFrame:
+    """(k1, k2, a, b, value, pattern): the places of tokens in some patterns or of some values,
+    with every pattern around them."""
+    listed, lefts = set(patterns), {_left_word(p) for p in patterns}
+    wanted, sums = set(values), {int(v[:8], 16) for v in values}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k1, k2, places = [], [], []
+            for x, y, cell in zip(batch.column(0), batch.column(1), batch.column(3)):
+                text = cell.as_py()
+                found = list(_instances(text, base_spans(text), lefts, listed, sums, wanted,
+                                        rules))
+                if found:
+                    k1.append(x.as_py())
+                    k2.append(y.as_py())
+                    places.append([{"a": a, "b": b, "value": v, "patterns": p}
+                                   for a, b, v, p in found])
+            yield pa.record_batch([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                                   pa.array(places, pa.list_(_PLACE))],
+                                  names=["k1", "k2", "places"])
+
+    return (named.mapInArrow(run, _PLACES).select("k1", "k2", F.inline("places"))
+            .select("k1", "k2", "a", "b", "value", F.explode("patterns").alias("pattern")))
+
+
+def _in_blocks(names: DataFrame, rules: Bootstrapping) -> Iterator[list[str]]:
+    """The one column of a table, some rows at a time."""
+    blocks = -(-names.count() // rules.block)
+    name = F.col(names.columns[0])
+    for i in range(blocks):
+        yield [r[0] for r in names.filter(F.pmod(F.xxhash64(name), F.lit(blocks)) == i).collect()]
 
 
 def pattern_scores(edges: DataFrame, rules: Bootstrapping) -> DataFrame:
     """(pattern, kind, score, seeds) of ``edges(pattern, value, kind, n)``.
 
-    kind is -1 where the value is no seed. The scores are those of one generation of seeds: the
-    graph is first cut down to the patterns that hold one and to their values, and
-    ``trusted_patterns`` brings in the others with the seeds it gains. Hot patterns and hot values are
-    summed up before they are shuffled; the joins are on plain keys and may be split.
+    kind is -1 where the value is no seed. The graph is first cut down to the patterns that hold a
+    seed and to their values. Hot patterns and hot values are summed up before they are shuffled;
+    the joins are on plain keys and may be split.
     """
     seeded = (edges.filter("kind >= 0").groupBy("pattern", "kind")
               .agg(F.count("*").alias("seeds"))
@@ -202,50 +279,72 @@ def pattern_scores(edges: DataFrame, rules: Bootstrapping) -> DataFrame:
                                                  "seeds")
 
 
-def trusted_patterns(edges: DataFrame, rules: Bootstrapping) -> DataFrame:
-    """The reliable patterns of ``edges``, as (pattern, kind, score, seeds).
+def _trusted(edges: DataFrame, rules: Bootstrapping) -> DataFrame:
+    return durable(pattern_scores(edges, rules).filter(
+        (F.col("score") >= rules.min_score) & (F.col("seeds") >= rules.min_seeds)), "trusted")
+
+
+def bootstrap(named: DataFrame, seeds: DataFrame, rules: Bootstrapping) -> DataFrame:
+    """(k1, k2, a, b, kind): the discovered places, from ``seeds(pattern, value, kind, n)``.
 
-    The values in them join the seeds, with the smallest kind of their patterns, and the scores
-    are taken anew until no value joins. Further seeds only raise scores, so the set only grows.
+    Each generation searches the texts for tokens in the patterns that have enough seeds since,
+    scores all patterns, and searches for the values that joined; they take the smallest kind of
+    their patterns. It ends when no value joins. Further seeds only raise scores, so the set of
+    trusted patterns only grows.
     """
-    edges = durable(edges, "edges")
-    current, known = edges, 0
+    spark = named.sparkSession
+    nothing = spark.createDataFrame([], "k1 long, k2 long, a int, b int, value string, "
+                                        "pattern string")
+    searched = spark.createDataFrame([], "pattern string")
+    gained = spark.createDataFrame([], "value string, gained int")
+    places = nothing
     while True:
-        trusted = durable(pattern_scores(current, rules).filter(
-            (F.col("score") >= rules.min_score) & (F.col("seeds") >= rules.min_seeds)), "trusted")
-        gained = durable(edges.filter("kind < 0").join(
-            trusted.select("pattern", F.col("kind").alias("gained")), "pattern")
-            .groupBy("value").agg(F.min("gained").alias("gained")), "gained")
-        values = gained.count()
-        if values <= known:
-            return trusted
-        known = values
-        kind = F.when(F.col("kind") >= 0, F.col("kind")).otherwise(
-            F.coalesce("gained", F.col("kind")))
-        current = edges.join(gained, "value", "left").groupBy(
-            "pattern", "value", kind.alias("kind")).agg(F.sum("n").alias("n"))
+        kind = F.coalesce("gained", F.lit(-1)).alias("kind")
+        counted = places.join(gained, "value", "left").groupBy("pattern", "value", kind).agg(
+            F.count("*").alias("n"))
+        edges = durable(seeds.unionByName(counted), "edges")
+        enough = (edges.filter("kind >= 0").select("pattern", "value").distinct()
+                  .groupBy("pattern").agg(F.count("*").alias("seeds"))
+                  .filter(F.col("seeds") >= rules.min_seeds).select("pattern"))
+        fresh = durable(enough.join(searched, "pattern", "left_anti"), "patterns")
+        found = [_searched(named, block, [], rules) for block in _in_blocks(fresh, rules)]
+        if found:
+            searched = searched.unionByName(fresh)
+            places = durable(reduce(DataFrame.unionByName, found, places).distinct(), "places")
+            continue  # with all that stands in them
+        trusted = _trusted(edges, rules)
+        joined = durable(places.join(trusted.select("pattern", F.col("kind").alias("gained")),
+                                     "pattern").groupBy("value").agg(
+            F.min("gained").alias("gained")), "gained")
+        new = durable(joined.join(gained.select("value"), "value", "left_anti").select("value"),
+                      "values")
+        found = [_searched(named, [], block, rules) for block in _in_blocks(new, rules)]
+        if not found:
+            return (places.join(trusted.select("pattern", "kind"), "pattern")
+                    .groupBy("k1", "k2", "a", "b").agg(F.min("kind").alias("kind")))
+        gained = joined
+        places = durable(reduce(DataFrame.unionByName, found, places).distinct(), "places")
 
 
 def extract(docs: DataFrame, rules: Bootstrapping = Bootstrapping()) -> DataFrame:
     """Base and discovered personal data of every whole text.
 
     Returns doc_id, n_email, n_ip, n_card, n_phone (base entities), base_sha256, spans (base and
-    discovered, by kind and start), n_found (discovered). One row per row of ``docs``; repeated
-    rows give repeated results, and each counts as an occurrence. A null text is empty, an id
-    may be null, other columns are ignored, and an empty table gives an empty one. Discovered
-    spans never overlap base ones.
+    discovered, by kind and start), n_found (discovered). One row per row of ``docs``; rows equal
+    in id and text give equal results and count once as an occurrence of what they hold. A null text
+    is empty, an id may be null, other columns are ignored, and an empty table gives an empty one.
+    Discovered spans never overlap base ones; of a place that patterns of several kinds surround
+    the smallest kind counts.
     """
-    found = durable(_found(docs, rules).withColumn("row", F.monotonically_increasing_id()),
-                    "entities")
-    seen = found.select("row", F.explode("instances").alias("i")).select(
-        "row", "i.kind", "i.a", "i.b", "i.value", F.explode("i.patterns").alias("pattern"))
-    edges = seen.groupBy("pattern", "value", "kind").agg(F.count("*").alias("n"))
-    trusted = trusted_patterns(edges, rules)
-    extra = (seen.filter("kind < 0").drop("kind")
-             .join(trusted.select("pattern", "kind"), "pattern")
-             .groupBy("row", "a", "b").agg(F.min("kind").alias("kind"))
-             .groupBy("row").agg(F.collect_list(F.struct("kind", "a", "b")).alias("extra")))
-    joined = found.join(extra, "row", "left")
+    named = _named(docs)
+    found = durable(_found(named, rules), "entities")
+    seeds = (found.filter(F.size("seeds") > 0).dropDuplicates(["k1", "k2"])
+             .select(F.explode("seeds").alias("s"))
+             .select(F.explode("s.patterns").alias("pattern"), "s.value", "s.kind")
+             .groupBy("pattern", "value", "kind").agg(F.count("*").alias("n")))
+    extra = (bootstrap(named, durable(seeds, "seeds"), rules).groupBy("k1", "k2")
+             .agg(F.collect_list(F.struct("kind", "a", "b")).alias("extra")))
+    joined = found.join(extra, ["k1", "k2"], "left")
     every = F.array_sort(F.concat("spans", F.coalesce("extra", F.expr(
         "cast(array() as array<struct<kind:int,a:int,b:int>>)"))))
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -72,3 +72,82 @@ def test_discovered_values_seed_further_patterns(spark):
     assert all(out[k + i].n_found == 1 for k in (100, 200) for i in range(6))
     assert out[300].spans == "email:19:28" and out[300].n_email == 0
     assert out[301].n_found == 0 and all(out[i].n_found == 0 for i in range(60))
+
+
+def test_identifiers_of_any_form_are_found(spark):
+    """Letters only, five characters, an obfuscated address, quotes around: the context decides.
+    What is written like a card and fails its check is none, and numbers elsewhere are left."""
+    rows = [(i, f"please contact agent user{i}@mail.example.com today") for i in range(200)]
+    rows += [(500, "please contact agent jane(at)mail.example today"),
+             (501, "please contact agent marlowe today"), (502, "please contact agent q7x-2 today"),
+             (503, 'please contact agent "smith" today'),
+             (504, "please contact agent 4111111111111112 today"),
+             (505, "please contact agent 256.1.1.1 today"),
+             (506, "the room number is 123456 here, call 4111 1111 1111 1112 or agent today"),
+             (507, "agent marlowe left"), (508, "marlowe")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.extract(docs).collect()}
+    assert out[500].spans == "email:21:41" and out[501].spans == "email:21:28"
+    assert out[502].spans == "email:21:26" and out[503].spans == "email:22:27"
+    assert [out[i].n_found for i in (504, 505, 506)] == [0, 0, 0]
+    assert not any(out[i].n_found for i in range(200))
+    blocks = {r.doc_id: r for r in pii.extract(docs, pii.Bootstrapping(block=1)).collect()}
+    assert blocks == out
+
+
+def test_common_words_in_a_context_lower_its_score(spark):
+    """A context that mostly holds other words is not trusted, whatever seeds it has."""
+    rows = [(i, f"write to user{i}@mail.example.com or") for i in range(20)]
+    rows += [(100 + i, f"write to {w} or") for i, w in enumerate(["him", "her", "them", "us"] * 5)]
+    out = pii.extract(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.filter("n_found > 0").count() == 0
+
+
+def plain_scores(edges, rounds):
+    """{pattern: score} by the definition: a pattern is the mean of its instances, an instance the
+    best of its patterns, seeds are 1."""
+    seeded = {p for p, v, k, n in edges if k >= 0}
+    edges = [e for e in edges if e[0] in seeded]
+    best = {}
+    for _ in range(rounds):
+        score = {}
+        for p in seeded:
+            own = [(n, 1.0 if k >= 0 else best.get(v, 0.0)) for q, v, k, n in edges if q == p]
+            score[p] = sum(n * w for n, w in own) / sum(n for n, _ in own)
+        for p, v, k, n in edges:
+            if k < 0:
+                best[v] = max(score[q] for q, w, _, _ in edges if w == v and _ is not None)
+    return score
+
+
+def test_scores_equal_plain(spark):
+    import random
+
+    r = random.Random(9)
+    seeds = {f"v{i}": r.choice([0, 0, 2]) for i in range(6)}
+    edges = {}
+    for _ in range(120):
+        p, v = f"p{r.randrange(15)}", f"v{r.randrange(25)}"
+        edges[p, v] = (p, v, seeds.get(v, -1), r.randrange(1, 5))
+    rows = list(edges.values())
+    df = spark.createDataFrame(rows, "pattern string, value string, kind int, n long")
+    for rounds in (1, 2, 3):
+        out = {x.pattern: x for x in pii.pattern_scores(df, pii.Bootstrapping(rounds=rounds)).collect()}
+        expected = plain_scores(rows, rounds)
+        assert set(out) == set(expected)
+        assert all(abs(out[p].score - s) < 1e-12 for p, s in expected.items())
+        for p, x in out.items():
+            kinds = [k for q, _, k, _ in rows if q == p and k >= 0]
+            assert x.seeds == len(kinds)
+            assert x.kind == min(set(kinds), key=lambda k: (-kinds.count(k), k))
+
+
+def test_very_long_texts_and_repeated_rows(spark):
+    context = "please contact agent {} today "
+    long = "word " * 100_000 + context.format("someone.else") + "filler " * 50_000
+    rows = [(i, context.format(f"user{i}@mail.example.com")) for i in range(30)]
+    rows += [(90, long), (90, long), (91, context.format("10.0.0.7"))]
+    out = pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 33
+    copies = [r for r in out if r.doc_id == 90]
+    assert copies[0] == copies[1] and copies[0].spans == f"email:{500_000 + 21}:{500_000 + 33}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.sources.scratch import durable
+from marginflow.sources.scratch import discard, durable
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -38,9 +38,11 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(joined.select("u", F.col("m").alias("v"))) \
             .filter("u <> v").distinct()
         smaller = durable(smaller, "links")
-        if _signature(smaller) == _signature(edges):
-            break
+        settled = _signature(smaller) == _signature(edges)
+        discard(edges, larger)
         edges = smaller
+        if settled:
+            break
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.unionByName(roots)

@@ -6,18 +6,20 @@ compared, round by round, until few lists change. Links are the listed pairs who
 double precision, reaches the threshold.
 
 A list that is full of links is saturated: there may be more than it holds. All members of a
-saturated group (vectors connected by links) are then compared with the whole group in blocks,
-which enlarges their lists to the full number of partners without writing the pairs down.
-Recall is audited against brute force on query vectors, as many as it takes to see a stated number
-of them with true links. Below the target the descent goes on with lists twice as long and twice
-as many new codes, from the lists it has. Where brute force has asked for every vector and seen
-fewer linked ones than that, it has found all links, and no descent is needed.
+saturated group (vectors connected by links) are then compared with the whole group, some of
+them at a time, which enlarges their lists to the full number of partners without writing the
+pairs down or moving the group's vectors.
+
+Recall is audited against brute force on query vectors: as many as it takes to see a stated number
+with true links, and at most a stated number. The audit only judges. Below the target the descent
+goes on with lists twice as long and twice as many new codes, from the lists it has.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginflow.llm.graph import components
-from marginflow.sources.scratch import durable
+from marginflow.sources.scratch import discard, durable
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,9 @@ class Descent:
     ``codes``: how many times that is done with other hyperplanes. A pivot's block holds its own
     list and at most ``2 * neighbours`` vectors that list it, chosen anew each round; this only
     steers the search. ``audit`` query vectors with true links measure recall, ``target`` is what
-    they must reach. ``rows_per_task`` bounds what a Python task holds."""
+    they must reach; where all vectors could be asked, none may be missed. No more than ``queries``
+    vectors are asked. If fewer than ``least_seen`` of them have links, the audit says little, and
+    ``blind_attempts`` are made. ``rows_per_task`` bounds what a Python task holds."""
 
     threshold: float = 0.93
     neighbours: int = 8
@@ -45,10 +49,25 @@ class Descent:
     least_change: float = 0.02
     audit: int = 256
     target: float = 0.97
-    group_block: int = 256
+    queries: int = 8192
+    least_seen: int = 32
+    blind_attempts: int = 2
     rows_per_task: int = 20_000
 
 
+@dataclass(frozen=True)
+class Audit:
+    """How well the links were found: vectors asked, those with true links, recall on them (None
+    where there are none: of all vectors at most about 3 / ``asked`` have links, with 95 %
+    confidence), and whether every vector was asked."""
+
+    asked: int
+    seen: int
+    recall: float | None
+    complete: bool
+    attempts: int
+
+
 QUERIES = 1024  # about so many query vectors are asked at first, four times as many at most
 SLACK = 0.005  # lists hold single-precision cosines; what comes this close is computed in double
 
@@ -230,37 +249,10 @@ def _cosines(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long, cosine double"))
 
 
-def _within_groups(members: DataFrame, rules: Descent) -> DataFrame:
-    """(u, links): partners of every row of ``members(component, u, copies, embedding)`` in its
-    component. Each block of rows is compared with each block of the component; counts, not
-    pairs, come out. Copies of a partner count one by one."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("held"))
-    parts = F.ceil(F.col("held") / rules.group_block).cast("int")
-    placed = members.join(sizes, "component").withColumn("parts", parts) \
-        .withColumn("part", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = placed.withColumn("other", every).select(
-        "component", "part", "other", "u", "copies", "embedding", F.lit(True).alias("asks"))
-    right = placed.withColumnRenamed("part", "own").withColumn("part", every).select(
-        "component", "part", F.col("own").alias("other"), "u", "copies", "embedding",
-        F.lit(False).alias("asks"))
-
-    def run(table: pa.Table) -> pa.Table:
-        asks = np.asarray(table.column("asks"))
-        u, copies = np.asarray(table.column("u")), np.asarray(table.column("copies"))
-        x = _matrix(table.column("embedding"))
-        near = (x[asks] @ x[~asks].T) >= rules.threshold
-        near &= u[asks][:, None] != u[~asks][None, :]
-        return pa.table({"u": u[asks], "links": (near * copies[~asks]).sum(1).astype(np.int64)})
-
-    counted = left.unionByName(right).groupBy("component", "part", "other") \
-        .applyInArrow(run, "u long, links long")
-    return counted.groupBy("u").agg(F.sum("links").alias("links"))
-
-
 def _true_counts(nodes: DataFrame, asked: pa.Table, rules: Descent) -> DataFrame:
     """(u, true): the links of every vector of ``asked(u, grp, embedding)`` that has one, counted
-    by brute force over all nodes."""
+    by brute force over ``nodes(u, grp, copies, embedding)``. Copies count one by one. Nothing
+    but the counts leaves a task."""
     groups: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     asked_grp = np.asarray(asked.column("grp"))
     for grp in np.unique(asked_grp):
@@ -288,25 +280,42 @@ def _true_counts(nodes: DataFrame, asked: pa.Table, rules: Descent) -> DataFrame
         .groupBy("u").agg(F.sum("true").alias("true"))
 
 
-def _true_links(nodes: DataFrame, n: int, rules: Descent) -> tuple[DataFrame, bool]:
-    """(u, true) of query vectors that have true links, and whether that is all there are.
+def _asked(nodes: DataFrame, parts: int, first: int, end: int) -> pa.Table:
+    """The vectors of some of ``parts`` equal shares, dealt by a hash."""
+    part = F.pmod(F.xxhash64("u", F.lit(parts)), F.lit(parts))
+    return nodes.filter((part >= first) & (part < end)).select("u", "grp", "embedding").toArrow()
+
+
+def _within_groups(members: DataFrame, rules: Descent) -> DataFrame:
+    """(u, links): partners of every row of ``members(u, grp, copies, embedding)`` in its group.
 
-    Blocks of query vectors, dealt by a hash, are asked until ``audit`` of them have a link. The
-    rarer the links, the more are asked; without any, all of them are. A block is collected.
+    A block of rows at a time goes to where the members lie and is compared with those of its
+    groups. A large group is spread over all tasks, and the vectors are not shuffled.
+    """
+    members = durable(members, "members")
+    parts = max(1, -(-members.count() // (4 * QUERIES)))
+    counted = [durable(_true_counts(members, _asked(members, parts, k, k + 1), rules), "within")
+               for k in range(parts)]
+    return reduce(DataFrame.unionByName, counted).withColumnRenamed("true", "links")
+
+
+def _true_links(nodes: DataFrame, n: int, rules: Descent) -> tuple[DataFrame, Audit]:
+    """(u, true) of query vectors that have true links, and what was asked.
+
+    Blocks of query vectors are asked until ``audit`` of them have a link, or ``queries`` have
+    been asked. A block is collected.
     """
     parts = max(1, -(-n // QUERIES))
-    part = F.pmod(F.xxhash64("u", F.lit(parts)), F.lit(parts))
-    blocks, linked_nodes, done, step = [], 0, 0, 1
-    while done < parts and linked_nodes < rules.audit:
-        asked = nodes.filter((part >= done) & (part < done + step)) \
-            .select("u", "grp", "embedding").toArrow()
-        blocks.append(durable(_true_counts(nodes, asked, rules), "true_links"))
-        linked_nodes += blocks[-1].count()
-        done, step = done + step, min(4, 2 * step)
-    seen = blocks[0]
-    for block in blocks[1:]:
-        seen = seen.unionByName(block)
-    return seen, linked_nodes < rules.audit
+    most = min(parts, max(1, rules.queries // QUERIES))
+    blocks, seen, done, step = [], 0, 0, 1
+    while not blocks or done < most and seen < rules.audit:
+        end = min(done + step, most)
+        blocks.append(durable(_true_counts(nodes, _asked(nodes, parts, done, end), rules),
+                              "true_links"))
+        seen += blocks[-1].count()
+        done, step = end, min(4, 2 * step)
+    asked = n * done // parts
+    return reduce(DataFrame.unionByName, blocks), Audit(asked, seen, None, done == parts, 0)
 
 
 def _recall(true: DataFrame, links: DataFrame) -> float:
@@ -319,15 +328,6 @@ def _recall(true: DataFrame, links: DataFrame) -> float:
     return min(row["all"], row["each"])
 
 
-def _linked_among(true: DataFrame, nodes: DataFrame, rules: Descent) -> DataFrame:
-    """(a, b): all links, where ``true`` lists every vector that has one; fewer than ``audit``."""
-    ends = nodes.join(true, "u").select("u", "grp")
-    pairs = ends.withColumnRenamed("u", "a").join(ends.withColumnRenamed("u", "b"), "grp") \
-        .filter("a < b").select("a", "b")
-    return durable(_cosines(pairs, nodes).filter(F.col("cosine") >= rules.threshold)
-                   .select("a", "b"), "links")
-
-
 def _link_counts(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """(u, links): copies of a partner count one by one."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -335,10 +335,11 @@ def _link_counts(links: DataFrame, nodes: DataFrame) -> DataFrame:
         .groupBy(F.col("a").alias("u")).agg(F.sum("copies").alias("links"))
 
 
-def _searched(nodes: DataFrame, n: int, true: DataFrame,
-              rules: Descent) -> tuple[DataFrame, DataFrame]:
+def _searched(nodes: DataFrame, n: int, true: DataFrame, audit: Audit,
+              rules: Descent) -> tuple[DataFrame, DataFrame, Audit]:
     """Components (node, component) and counts (u, links) by descent, once ``target`` is reached.
-    Every attempt compares inside blocks of new codes, keeps what the lists hold, and goes on."""
+    Every attempt compares inside blocks of new codes, keeps what the lists hold, and goes on.
+    Tables of rounds that nothing reads any more are deleted."""
     units = durable(_unit(nodes), "units")
     keep, sets, attempt, graph = rules.neighbours, rules.codes, 0, None
     while True:
@@ -346,9 +347,13 @@ def _searched(nodes: DataFrame, n: int, true: DataFrame,
         begun = _first_graph(units, codes, n * sets, keep, rules)
         if graph is not None:
             begun = begun.unionByName(graph.withColumn("old", F.lit(False)))
+        past = [graph, codes]
         graph = durable(_best(begun, keep), "graph")
+        discard(*past)
         for turn in range(rules.rounds):
+            past = [graph]
             graph = durable(_descend(graph, units, n, keep, turn, rules), "graph")
+            discard(*past)
             fresh, held = graph.agg(F.sum((~F.col("old")).cast("long")), F.count("*")).first()
             if not held or fresh <= rules.least_change * held:
                 break
@@ -359,36 +364,31 @@ def _searched(nodes: DataFrame, n: int, true: DataFrame,
                         .select("a", "b"), "links")
         found = durable(components(links), "components")
         full = near.groupBy("u").agg(F.count("*").alias("held")).filter(F.col("held") >= keep)
-        saturated = full.join(found.withColumnRenamed("node", "u"), "u") \
-            .select("component").distinct()
-        large = (found.join(saturated, "component", "left_semi")
-                 .withColumnRenamed("node", "u").join(nodes, "u")
-                 .select("component", "u", "copies", "embedding"))
+        saturated = durable(full.join(found.withColumnRenamed("node", "u"), "u")
+                            .select(F.col("component").alias("grp")).distinct(), "saturated")
+        large = (found.withColumnsRenamed({"node": "u", "component": "grp"})
+                 .join(saturated, "grp", "left_semi").join(nodes.drop("grp"), "u")
+                 .select("u", "grp", "copies", "embedding"))
         enlarged = _within_groups(large, rules).withColumnRenamed("links", "all_links")
         total = durable(_link_counts(links, nodes).join(enlarged, "u", "full").select(
             "u", F.coalesce("all_links", "links").alias("links")), "link_counts")
-        if _recall(true, total) >= rules.target:
-            return found, total
-        keep, sets, attempt = 2 * keep, 2 * sets, attempt + 1
-
-
-def linked(vectors: DataFrame, rules: Descent = Descent()) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), one row for each distinct vec_id of
-    ``vectors(vec_id, embedding, label)``.
-
-    Only equal, non-null labels and equal lengths are compared. Vectors that are null, empty or
-    zero, or hold null or non-finite components, link with nothing and are kept. n_links counts
-    other vectors; component_id is the smallest vec_id reachable. Rows without vec_id are left
-    out; of several vectors under one id all links count. Other columns are ignored.
-    """
+        attempt += 1
+        recall = _recall(true, total) if audit.seen else None
+        wanted = 1.0 if audit.complete else rules.target
+        reached = recall is None or recall >= wanted
+        told = audit.complete or audit.seen >= rules.least_seen
+        if keep > n or reached and (told or attempt >= rules.blind_attempts):
+            return found, total, replace(audit, recall=recall, attempts=attempt)
+        discard(links, found, total, saturated)
+        keep, sets = 2 * keep, 2 * sets
+
+
+def search(vectors: DataFrame, rules: Descent = Descent()) -> tuple[DataFrame, Audit]:
+    """The rows of ``linked``, and how well the links were found."""
     nodes, members = prepared(vectors)
     n = nodes.count()
-    true, complete = _true_links(nodes, n, rules)
-    if complete:
-        links = _linked_among(true, nodes, rules)
-        found, total = durable(components(links), "components"), _link_counts(links, nodes)
-    else:
-        found, total = _searched(nodes, n, true, rules)
+    true, audit = _true_links(nodes, n, rules)
+    found, total, audit = _searched(nodes, n, true, audit, rules)
     per_class = (members.join(nodes.select("u", "copies"), "u").join(total, "u", "left")
                  .join(found.withColumnRenamed("node", "u"), "u", "left")
                  .select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
@@ -400,7 +400,19 @@ def linked(vectors: DataFrame, rules: Descent = Descent()) -> DataFrame:
     component = F.coalesce("component_id", "vec_id")
     return ids.join(per_class, "vec_id", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+        component.alias("component_id"), (F.col("vec_id") == component).alias("kept")), audit
+
+
+def linked(vectors: DataFrame, rules: Descent = Descent()) -> DataFrame:
+    """(vec_id, n_links, component_id, kept), one row for each distinct vec_id of
+    ``vectors(vec_id, embedding, label)``.
+
+    Only equal, non-null labels and equal lengths are compared. Vectors that are null, empty or
+    zero, or hold null or non-finite components, link with nothing and are kept. n_links counts
+    other vectors; component_id is the smallest vec_id reachable. Rows without vec_id are left
+    out; of several vectors under one id all links count. Other columns are ignored.
+    """
+    return search(vectors, rules)[0]
 
 
 def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,11 @@
 """Links and components against all pairs; saturated groups, odd vectors."""
 
 import numpy as np
+import pytest
 
-from marginflow.llm.nn_descent import Descent, linked
+from marginflow.llm import nn_descent
+from marginflow.llm.nn_descent import Descent, linked, search
+from marginflow.sources import files, scratch
 
 
 def plain(rows, threshold=0.93):
@@ -57,27 +60,71 @@ def test_equals_all_pairs(spark):
     vectors = spark.createDataFrame(
         data, "vec_id long, embedding array<double>, label int, component_id string")
     got = {r.vec_id: (r.n_links, r.component_id, r.kept)
-           for r in linked(vectors, Descent(neighbours=6, block=16, group_block=16)).collect()}
+           for r in linked(vectors, Descent(neighbours=6, block=16)).collect()}
     want = plain(rows)
     assert {i: (want[i], got.get(i)) for i in want if want[i] != got.get(i)} == {}
     assert set(got) == set(want)
     assert linked(vectors.limit(0)).count() == 0
 
 
-def test_rare_pairs_are_found(spark):
-    # 40 pairs among 6,000 vectors of one label: few query vectors have any true link
-    rng = np.random.default_rng(5)
-    x = rng.normal(size=(6000, 32))
+def planted(n, dims, pairs, seed):
+    """n random vectors of one label, of which some pairs are close; and their true link counts."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dims))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    for k in range(40):
-        other = x[100 + k] - (x[100 + k] @ x[k]) * x[k]
+    half = n // 2
+    for k in range(pairs):
+        other = x[half + k] - (x[half + k] @ x[k]) * x[k]
         cosine = rng.uniform(0.935, 0.96)
-        x[100 + k] = cosine * x[k] + np.sqrt(1 - cosine ** 2) * other / np.linalg.norm(other)
+        x[half + k] = cosine * x[k] + np.sqrt(1 - cosine ** 2) * other / np.linalg.norm(other)
     s = np.triu(x @ x.T, 1) >= 0.93
-    links = s.sum(0) + s.sum(1)
+    return x, s.sum(0) + s.sum(1)
+
+
+@pytest.mark.parametrize("pairs", [0, 40, 1500])
+def test_the_descent_finds_few_and_many_pairs(spark, monkeypatch, pairs):
+    """The result is the descent's, whether all vectors, some or none of the linked are asked."""
+    x, links = planted(4000, 32, pairs, 5)
+    vectors = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)],
+                                    "vec_id long, embedding array<double>, label int")
+    calls = []
+    descend = nn_descent._descend
+    monkeypatch.setattr(nn_descent, "_descend", lambda *a: calls.append(1) or descend(*a))
+    for rules in (Descent(), Descent(codes=1, audit=16, queries=1024)):
+        calls.clear()
+        rows, audit = search(vectors, rules)
+        got = {r.vec_id: r.n_links for r in rows.collect()}
+        assert calls and audit.attempts >= 1
+        assert all(got[i] <= k for i, k in enumerate(links))  # none below the threshold
+        assert sum(got.values()) >= (1.0 if audit.complete else 0.9) * links.sum()
+        assert audit.asked <= max(rules.queries, 1024) + 200 or audit.complete
+        if not pairs:
+            assert audit.recall is None and audit.seen == 0
+        elif audit.complete:
+            assert audit.recall == 1.0 and audit.seen == (links > 0).sum()
+        if not audit.complete and audit.seen < rules.least_seen:
+            assert audit.attempts >= rules.blind_attempts
+
+
+def test_rounds_leave_no_tables_behind(spark):
+    """Graphs, codes and components of past rounds are deleted."""
+    x, _ = planted(600, 16, 30, 7)
     vectors = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)],
                                     "vec_id long, embedding array<double>, label int")
-    for rules in (Descent(), Descent(codes=1, audit=16)):  # all asked; by descent
-        got = {r.vec_id: r.n_links for r in linked(vectors, rules).collect()}
-        assert all(got[i] <= k for i, k in enumerate(links))
-        assert sum(got.values()) >= (links.sum() if rules.audit > 80 else 0.9 * links.sum())
+    folder = scratch.application_folder(spark)
+    before = set(files.names(spark, folder))
+    linked(vectors, Descent(codes=1, neighbours=2)).collect()
+    left = [n.rsplit("-", 1)[0] for n in set(files.names(spark, folder)) - before]
+    assert left.count("graph") == 1 and left.count("codes") <= 1 and left.count("components") == 1
+
+
+def test_a_large_group_is_counted_in_blocks(spark, monkeypatch):
+    """A group that holds a third of all vectors, compared some members at a time."""
+    monkeypatch.setattr(nn_descent, "QUERIES", 16)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=16)
+    rows = [(i, (centre + rng.normal(size=16) * 0.05).tolist(), 0) for i in range(150)]
+    rows += [(150 + i, rng.normal(size=16).tolist(), 0) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in linked(vectors).collect()}
+    assert got == plain(rows)

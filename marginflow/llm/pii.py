@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -40,13 +41,16 @@ _RUN = re.compile(r"(.)\1+")
 @dataclass(frozen=True)
 class Bootstrapping:
     """``rounds`` of scoring; a pattern is trusted from ``min_score`` on when at least
-    ``min_seeds`` different seed values, found by form or gained, have been seen in it.
+    ``min_seeds`` different seed values, found by form or gained, have been seen in it. Only then, and
+    if seeds are at least ``min_share`` of all tokens in it, are its other tokens looked at: words
+    between "the" and "of" are no identifiers, whatever stood there once.
     ``context_chars``: how far to either side the surrounding words reach. The texts are searched
     for ``block`` patterns or values at a time, in as many passes as that takes."""
 
     rounds: int = 3
     min_score: float = 0.9
     min_seeds: int = 5
+    min_share: float = 0.25
     context_chars: int = 80
     block: int = 50_000
 
@@ -102,16 +106,17 @@ def shape(token: str) -> str:
 
 def _patterns(text: str, start: int, end: int, reach: int) -> list[str]:
     """What surrounds a span: two words before, one word each side, one word and the form.
-    Quotes, brackets and the like that touch the span belong to neither."""
+    Quotes, brackets and the like that touch the span belong to neither; words longer than
+    ``reach`` are none."""
     form = shape(text[start:end])
     while start > 0 and text[start - 1] in _EDGE:
         start -= 1
     while end < len(text) and text[end] in _EDGE:
         end += 1
-    before = text[max(0, start - reach):start].lower().split()
-    after = text[end:end + reach].lower().split()
-    clean = [w.strip(_EDGE) for w in before[-2:]]
-    follow = after[0].strip(_EDGE) if after else ""
+    near = text[max(0, start - 4 * reach):start].lower().split()[-2:]
+    far = text[end:end + 4 * reach].lower().split()[:1]
+    clean = [w.strip(_EDGE) if len(w) <= reach else "" for w in near]
+    follow = far[0].strip(_EDGE) if far and len(far[0]) <= reach else ""
     out = []
     if len(clean) == 2 and all(clean):
         out.append(f"b {clean[0]} {clean[1]}")
@@ -141,32 +146,73 @@ def _failed_form(token: str) -> bool:
     return bool(_IP.fullmatch(token) or _PHONE.fullmatch(token))
 
 
-def _instances(text: str, spans: list[tuple[int, int, int]], lefts: set[str],
-               patterns: set[str], sums: set[int], values: set[str], rules: Bootstrapping):
+def _instances(text: str, lefts: set[str], patterns: set[str], sums: set[int],
+               values: set[str], rules: Bootstrapping):
     """(start, end, value, patterns) of the tokens that stand in one of ``patterns`` or have one
-    of ``values``, outside the base ``spans``."""
-    taken, i, left = sorted((a, b) for _, a, b in spans), 0, ""
+    of ``values``, outside base spans."""
+    taken, i, left = None, 0, ""
     for m in _TOKEN.finditer(text):
-        a, b = m.span()
         word = m[0].lower().strip(_EDGE)
-        before, left = left, word or left
+        before, left = left, word
         if not word:
             continue
         listed = sums and zlib.crc32(word.encode()) in sums
         if before not in lefts and not listed:
             continue
+        a, b = m.span()
         while text[a] in _EDGE:
             a += 1
         while text[b - 1] in _EDGE:
             b -= 1
+        around = _patterns(text, a, b, rules.context_chars)
+        if not any(p in patterns for p in around) and not (
+                listed and value_of(text[a:b]) in values):
+            continue
+        if taken is None:
+            taken = sorted((start, end) for _, start, end in base_spans(text))
         while i < len(taken) and taken[i][1] <= a:
             i += 1
-        if (i < len(taken) and taken[i][0] < b) or _failed_form(text[a:b]):
-            continue
-        around = _patterns(text, a, b, rules.context_chars)
-        value = value_of(text[a:b])
-        if any(p in patterns for p in around) or (listed and value in values):
-            yield a, b, value, around
+        if not (i < len(taken) and taken[i][0] < b) and not _failed_form(text[a:b]):
+            yield a, b, value_of(text[a:b]), around
+
+
+class _Contexts:
+    """Patterns by the word on the left, to count tokens in them word by word."""
+
+    def __init__(self, patterns: list[str], reach: int):
+        self.reach, self.forms_of = reach, {}
+        # left word -> patterns by the word before it, by the word that follows, by form
+        self.by_left: dict[str, tuple[dict, dict, dict]] = {}
+        for p in patterns:
+            kind, parts = p[0], p[2:].split(" ", 1 if p[0] == "l" else 2)
+            entry = self.by_left.setdefault(_left_word(p), ({}, {}, {}))
+            entry["bsl".index(kind)][parts[0] if kind == "b" else parts[-1]] = p
+        self.by_left.pop("", None)
+
+    def _form(self, token: str) -> str:
+        if token not in self.forms_of:
+            if len(self.forms_of) > 100_000:
+                self.forms_of = {}
+            self.forms_of[token] = shape(token)
+        return self.forms_of[token]
+
+    def count(self, text: str, total: Counter) -> None:
+        tokens = text.split()
+        words = [w.strip(_EDGE) if len(w) <= self.reach else "" for w in text.lower().split()]
+        first = second = ""  # of the two words before
+        for i, word in enumerate(words):
+            entry = self.by_left.get(second)
+            if entry is not None and word:
+                before, follow, forms = entry
+                if first in before:
+                    total[before[first]] += 1
+                if follow and i + 1 < len(words) and words[i + 1] in follow:
+                    total[follow[words[i + 1]]] += 1
+                if forms:
+                    form = self._form(tokens[i].strip(_EDGE))
+                    if form in forms:
+                        total[forms[form]] += 1
+            first, second = second, word
 
 
 _SPAN = pa.struct([("kind", pa.int32()), ("a", pa.int32()), ("b", pa.int32())])
@@ -228,8 +274,7 @@ def _searched(named: DataFrame, patterns: list[str], values: list[str],
             k1, k2, places = [], [], []
             for x, y, cell in zip(batch.column(0), batch.column(1), batch.column(3)):
                 text = cell.as_py()
-                found = list(_instances(text, base_spans(text), lefts, listed, sums, wanted,
-                                        rules))
+                found = list(_instances(text, lefts, listed, sums, wanted, rules))
                 if found:
                     k1.append(x.as_py())
                     k2.append(y.as_py())
@@ -243,6 +288,25 @@ def _searched(named: DataFrame, patterns: list[str], values: list[str],
             .select("k1", "k2", "a", "b", "value", F.explode("patterns").alias("pattern")))
 
 
+def _totals(named: DataFrame, patterns: list[str], rules: Bootstrapping) -> DataFrame:
+    """(pattern, total): how many tokens stand in each of some patterns, seeds included. A task
+    sums up before anything leaves it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, contexts = Counter(), _Contexts(patterns, rules.context_chars)
+        for batch in batches:
+            for cell in batch.column(3):
+                contexts.count(cell.as_py(), total)
+        yield pa.record_batch([pa.array(list(total), pa.string()),
+                               pa.array(list(total.values()), pa.int64())],
+                              names=["pattern", "total"])
+
+    counted = named.mapInArrow(run, "pattern string, total long") \
+        .groupBy("pattern").agg(F.sum("total").alias("total"))
+    asked = named.sparkSession.createDataFrame([(p,) for p in patterns], "pattern string")
+    return asked.join(counted, "pattern", "left").select(
+        "pattern", F.coalesce("total", F.lit(0)).alias("total"))
+
+
 def _in_blocks(names: DataFrame, rules: Bootstrapping) -> Iterator[list[str]]:
     """The one column of a table, some rows at a time."""
     blocks = -(-names.count() // rules.block)
@@ -288,30 +352,38 @@ def bootstrap(named: DataFrame, seeds: DataFrame, rules: Bootstrapping) -> DataF
     """(k1, k2, a, b, kind): the discovered places, from ``seeds(pattern, value, kind, n)``.
 
     Each generation searches the texts for tokens in the patterns that have enough seeds since,
-    scores all patterns, and searches for the values that joined; they take the smallest kind of
+    scores the patterns searched, and searches for the values that joined; they take the smallest kind of
     their patterns. It ends when no value joins. Further seeds only raise scores, so the set of
     trusted patterns only grows.
     """
     spark = named.sparkSession
-    nothing = spark.createDataFrame([], "k1 long, k2 long, a int, b int, value string, "
-                                        "pattern string")
+    places = spark.createDataFrame([], "k1 long, k2 long, a int, b int, value string, "
+                                       "pattern string")
+    totals = spark.createDataFrame([], "pattern string, total long")
     searched = spark.createDataFrame([], "pattern string")
     gained = spark.createDataFrame([], "value string, gained int")
-    places = nothing
     while True:
         kind = F.coalesce("gained", F.lit(-1)).alias("kind")
         counted = places.join(gained, "value", "left").groupBy("pattern", "value", kind).agg(
             F.count("*").alias("n"))
         edges = durable(seeds.unionByName(counted), "edges")
-        enough = (edges.filter("kind >= 0").select("pattern", "value").distinct()
-                  .groupBy("pattern").agg(F.count("*").alias("seeds"))
-                  .filter(F.col("seeds") >= rules.min_seeds).select("pattern"))
-        fresh = durable(enough.join(searched, "pattern", "left_anti"), "patterns")
+        enough = durable(
+            edges.filter("kind >= 0").groupBy("pattern", "value").agg(F.sum("n").alias("n"))
+            .groupBy("pattern").agg(F.count("*").alias("seeds"), F.sum("n").alias("n"))
+            .filter(F.col("seeds") >= rules.min_seeds), "enough")
+        unknown = enough.select("pattern").join(totals, "pattern", "left_anti")
+        counts = [durable(_totals(named, block, rules), "totals")
+                  for block in _in_blocks(unknown, rules)]
+        totals = reduce(DataFrame.unionByName, counts, totals)
+        share = F.col("n") / F.greatest("n", "total")
+        fresh = durable(enough.join(totals, "pattern").filter(share >= rules.min_share)
+                        .select("pattern").join(searched, "pattern", "left_anti"), "patterns")
         found = [_searched(named, block, [], rules) for block in _in_blocks(fresh, rules)]
         if found:
             searched = searched.unionByName(fresh)
             places = durable(reduce(DataFrame.unionByName, found, places).distinct(), "places")
             continue  # with all that stands in them
+        edges = edges.join(searched, "pattern", "left_semi")
         trusted = _trusted(edges, rules)
         joined = durable(places.join(trusted.select("pattern", F.col("kind").alias("gained")),
                                      "pattern").groupBy("value").agg(

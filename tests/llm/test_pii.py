@@ -151,3 +151,22 @@ def test_very_long_texts_and_repeated_rows(spark):
     assert len(out) == 33
     copies = [r for r in out if r.doc_id == 90]
     assert copies[0] == copies[1] and copies[0].spans == f"email:{500_000 + 21}:{500_000 + 33}"
+
+
+def test_counted_contexts_equal_the_patterns_of_tokens():
+    """Word by word as token by token."""
+    import random
+    from collections import Counter
+
+    r = random.Random(4)
+    words = ["call", "me", '"at"', "x@y.zz", "99", "a-1", "Bob.", "...", "w" * 100, "(the"]
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(30))) for _ in range(200)]
+    every = Counter(p for t in texts for m in pii._TOKEN.finditer(t)
+                    for p in ([] if not m[0].strip(pii._EDGE) or len(m[0]) > 80 else pii._patterns(
+                        t, m.end() - len(m[0].lstrip(pii._EDGE)),
+                        m.start() + len(m[0].rstrip(pii._EDGE)), 80)))
+    some = r.sample(sorted(every), len(every) // 2)
+    total, contexts = Counter(), pii._Contexts(some, 80)
+    for t in texts:
+        contexts.count(t, total)
+    assert dict(total) == {p: every[p] for p in some}

@@ -13,11 +13,11 @@ from marginflow.operators import audit, cleaning
 from marginflow.operators.audit_scan import audit_layer
 from marginflow.plans import category as category_plan
 from marginflow.plans import executive as executive_plan
-from marginflow.plans import facts, queue as queue_plan
+from marginflow.plans import facts, layout, levels, queue as queue_plan
 from marginflow.plans import listing as listing_plan
 from marginflow.plans import reconciliation as checks
 from marginflow.plans import seller as seller_plan
-from marginflow.plans import slices
+from marginflow.plans import sketches, slices
 from marginflow.plans.warehouse import (
     CATEGORIES, EXECUTIVE, GOLD_KEYS, LISTINGS, ORDER_LINES, QUEUE, RETURN_LINES, SELLERS,
     Warehouse,
@@ -68,7 +68,7 @@ def export_roundtrip(w: Warehouse) -> DataFrame:
     gold = w.gold_layer()
     folder = _scratch(gold[QUEUE])
     export_tables(gold, GOLD_KEYS, folder)
-    return read_back(gold, folder)
+    return read_back(gold, folder, GOLD_KEYS)
 
 
 def _scratch(df: DataFrame) -> str:
@@ -232,10 +232,8 @@ def cleaning_report(w: Warehouse) -> DataFrame:
 @query
 def dq_primary_key(w: Warehouse) -> DataFrame:
     return audit.union_all([
-        audit.primary_key(w.raw[t], w.settings.contracts[t].key)
-        .withColumn("table_name", F.lit(t))
-        for t in ("fact_orders", "fact_returns", "dim_listing", "dim_seller",
-                  "fact_listing_traffic")])
+        audit.primary_key(w.raw[t], contract.key).withColumn("table_name", F.lit(t))
+        for t, contract in w.settings.contracts.items()])
 
 
 @query
@@ -317,16 +315,14 @@ def dq_delivered_only(w: Warehouse) -> DataFrame:
 def dq_null_profile(w: Warehouse) -> DataFrame:
     return audit.union_all([
         audit.null_profile(w.raw[t]).withColumn("table_name", F.lit(t))
-        for t in ("dim_listing", "dim_seller", "fact_orders", "fact_returns",
-                  "fact_listing_traffic")])
+        for t in w.settings.contracts])
 
 
 @query
 def dq_duplicate_rows(w: Warehouse) -> DataFrame:
     return audit.union_all([
-        audit.duplicate_rows(w.raw[t], w.settings.contracts[t].key)
-        .withColumn("table_name", F.lit(t))
-        for t in ("fact_orders", "fact_returns", "dim_listing")])
+        audit.duplicate_rows(w.raw[t], contract.key).withColumn("table_name", F.lit(t))
+        for t, contract in w.settings.contracts.items()])
 
 
 @query
@@ -668,6 +664,58 @@ def weighted_rates_by_slice(w: Warehouse) -> DataFrame:
     return slices.weighted_rates(lines, w.table(RETURN_LINES), ("seller_id", "category"))
 
 
+@query
+def rates_by_level(w: Warehouse) -> DataFrame:
+    """Marketplace, category, seller and category x seller in one sum of each fact."""
+    lines = w.table(ORDER_LINES)
+    return levels.rates_by_level(lines, w.table(RETURN_LINES))
+
+
+SKETCHED = {"median": 0.5, "p90": 0.9}
+
+
+@query
+def sketch_accuracy(w: Warehouse) -> DataFrame:
+    """Median and 90th percentile of line revenue and the number of orders, per category from
+    stored listing-month sketches, held against the lines."""
+    lines = w.stored(ORDER_LINES)
+    stored = durable(sketches.listing_month_sketches(lines), "sketches")
+    answers = sketches.from_sketches(stored, ["category"], SKETCHED)
+    errors = sketches.measured_errors(lines, answers, ["category"], SKETCHED)
+    close = [(F.col(f"{name}_rank_error") <= sketches.RANK_ERROR).alias(f"{name}_close")
+             for name in SKETCHED]
+    return errors.select("category", "lines", *close,
+                         (F.col("count_error") <= sketches.COUNT_ERROR).alias("orders_close"))
+
+
+@query
+def quarter_trend(w: Warehouse) -> DataFrame:
+    """One quarter of the monthly trend, from facts laid out by month: only its months are read."""
+    sold = layout.by_month(w.stored(ORDER_LINES).select(
+        "order_date_key", "realized_net_revenue_aed"), "order_date_key")
+    back = layout.by_month(w.stored(RETURN_LINES).select(
+        "return_initiated_date_key", "return_cost_aed"), "return_initiated_date_key")
+    return slices.monthly_trend(layout.in_months(sold, 199601, 199603),
+                                layout.in_months(back, 199601, 199603))
+
+
+@query
+def season_cost(w: Warehouse) -> DataFrame:
+    """Return cost by day of the White Friday periods; the calendar prunes the months."""
+    back = layout.by_month(w.stored(RETURN_LINES).select(
+        "return_initiated_date_key", "return_cost_aed"), "return_initiated_date_key")
+    found = layout.in_season(back, w.silver(CALENDAR_TABLE), "is_white_friday_period",
+                             "return_initiated_date_key")
+    return found.groupBy(F.col("return_initiated_date_key").alias("date_key")).agg(
+        F.count(F.lit(1)).alias("returns"), F.sum("return_cost_aed").alias("return_cost"))
+
+
+@query
+def listing_metrics_bucketed(w: Warehouse) -> DataFrame:
+    """The listing mart from facts hashed and sorted by their keys."""
+    return Warehouse(w.raw, w.settings, buckets=16).table(LISTINGS)
+
+
 @query
 def rto_by_payment(w: Warehouse) -> DataFrame:
     return slices.rto_by(w.table(ORDER_LINES), "payment_method")

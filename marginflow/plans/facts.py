@@ -116,11 +116,15 @@ def recovery_ratio() -> Column:
             .otherwise(F.lit(0).cast("decimal(6,4)")))
 
 
+# What a return needs to know of its order line
+SOLD_COLUMNS = ("order_line_id", "listing_id", "seller_id", "category", "logistics_zone",
+                "weight_band", "unit_selling_price")
+
+
 def return_line_economics(returns: DataFrame, order_lines: DataFrame, reasons: DataFrame,
                           economics: DataFrame, rates: DataFrame) -> DataFrame:
     """Salvage and cost of every return line that belongs to a known order line."""
-    sold = order_lines.select("order_line_id", "listing_id", "seller_id", "category",
-                              "logistics_zone", "weight_band", "unit_selling_price")
+    sold = order_lines.select(*SOLD_COLUMNS)
     attributed = reasons.select(F.col("reason_code").alias("reported_reason_code"),
                                 "reason_group", "is_catalog_related")
     salvage = economics.select("category", "warehouse_handling_cost_aed",

@@ -22,7 +22,10 @@ from marginflow.operators.observed import Watch
 from marginflow.plans import reconciliation as checks
 from marginflow.plans.category import category_metrics
 from marginflow.plans.executive import executive_summary
-from marginflow.plans.facts import order_line_economics, return_line_economics
+from marginflow.plans.facts import (
+    SOLD_COLUMNS, order_line_economics, return_line_economics,
+)
+from marginflow.plans.layout import by_key
 from marginflow.plans.listing import LISTING_COLUMNS, listing_metrics
 from marginflow.plans.queue import intervention_queue
 from marginflow.plans.seller import seller_metrics
@@ -69,11 +72,17 @@ class SilverBuild:
 
 
 class Warehouse:
+    """``store`` writes an intermediate table and gives it back. With ``buckets`` the line facts,
+    and the two sides of the return join, are stored hashed and sorted by the key that they are
+    joined and summed by (see ``plans.layout`` for when not to)."""
+
     def __init__(self, raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
-                 store: Callable[[DataFrame, str], DataFrame] = durable) -> None:
+                 store: Callable[[DataFrame, str], DataFrame] = durable,
+                 buckets: int | None = None) -> None:
         self.raw = raw
         self.settings = settings
         self._store = store
+        self._buckets = buckets
         self._plans: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self.totals: dict[str, dict[str, object]] = {}  # counted while tables were written
@@ -253,9 +262,23 @@ class Warehouse:
             watch = Watch(self.raw[CALENDAR_TABLE].sparkSession)
             plan = watch.on(name, self._build(name, watch), self._measures(name))
             self.totals.update(watch.run(
-                lambda: self._stored.update({name: self._store(plan, name)})))
+                lambda: self._stored.update({name: self._laid_out(plan, name)})))
         return self._stored[name]
 
+    def _laid_out(self, df: DataFrame, name: str) -> DataFrame:
+        if self._buckets and name in (ORDER_LINES, RETURN_LINES):
+            return by_key(df, "listing_id", self._buckets, name)
+        return self._store(df, name)
+
+    def _keyed_lines(self, name: str, df: DataFrame) -> DataFrame:
+        """One side of the return join, laid out by order line if buckets are asked for."""
+        if not self._buckets:
+            return df
+        key = f"{name} by line"
+        if key not in self._stored:
+            self._stored[key] = by_key(df, "order_line_id", self._buckets, f"{name}_by_line")
+        return self._stored[key]
+
     def _measures(self, name: str) -> dict[str, Column]:
         return {ORDER_LINES: checks.order_line_totals, RETURN_LINES: checks.return_line_totals,
                 LISTINGS: lambda: checks.listing_totals(self.settings),
@@ -279,8 +302,9 @@ class Warehouse:
                                         cleaned("dim_listing"), cleaned("dim_geography"),
                                         economics, rates)
         if name == RETURN_LINES:
-            return return_line_economics(counted("fact_returns", checks.return_source_totals()),
-                                         self._sold(), cleaned("dim_return_reason"), economics,
+            returns = counted("fact_returns", checks.return_source_totals())
+            return return_line_economics(self._keyed_lines("fact_returns", returns),
+                                         self._keyed_lines("sold", self._sold().select(*SOLD_COLUMNS)), cleaned("dim_return_reason"), economics,
                                          rates)
         if name == LISTINGS:
             orders, returns = self.stored(ORDER_LINES), self.stored(RETURN_LINES)

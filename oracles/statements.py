@@ -78,7 +78,7 @@ _GOLD_COUNTS = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n FROM {c}" for t, c in _GOLD.items())
 add("export_roundtrip", f"""
 SELECT table_name, fmt, n AS source_rows, n AS file_rows, TRUE AS columns_match,
-  TRUE AS content_match, 'OK' AS status
+  TRUE AS content_match, TRUE AS order_match, 'OK' AS status
 FROM ({_GOLD_COUNTS}), (SELECT unnest(['csv', 'parquet']) AS fmt)""")
 
 add("scan_quarantine", """
@@ -255,8 +255,7 @@ add("dq_primary_key", "\nUNION ALL ".join(
     f"null_key_rows, CAST(COALESCE(sum(n) FILTER (n > 1), 0) AS BIGINT) AS duplicate_rows, "
     f"count(*) FILTER (n > 1) AS duplicate_groups FROM (SELECT {', '.join(S.CONTRACTS[t].key)}, "
     f"count(*) AS n FROM {_RAW[t]} GROUP BY ALL)"
-    for t in ("fact_orders", "fact_returns", "dim_listing", "dim_seller",
-              "fact_listing_traffic")))
+    for t in S.CONTRACTS))
 
 
 def _fk(table: str, fk: S.ForeignKey, calendar: bool) -> str:
@@ -345,19 +344,13 @@ def _nulls(table: str, columns: list[str]) -> str:
         for c in columns)
 
 
-add("dq_null_profile", "SELECT * FROM (" + "\nUNION ALL ".join([
-    _nulls("dim_listing", ["brand", "price", "description_length_chars",
-                           "specifications_filled_pct", "has_size_chart",
-                           "has_dimensions_listed", "item_weight_kg", "category"]),
-    _nulls("dim_seller", ["seller_tier", "seller_name", "fulfillment_type"]),
-    _nulls("fact_orders", ORDER_REST),
-    _nulls("fact_returns", ["reported_reason_code", "refund_amount"]),
-    _nulls("fact_listing_traffic", ["add_to_carts", "impressions"])]) + ") WHERE nulls > 0")
+add("dq_null_profile", "SELECT * FROM (" + "\nUNION ALL ".join(
+    _nulls(t, COLUMNS[t]) for t in S.CONTRACTS) + ") WHERE nulls > 0")
 add("dq_duplicate_rows", "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST(sum(n) AS BIGINT) AS row_count, "
     f"CAST(COALESCE(sum(n) FILTER (n > 1), 0) AS BIGINT) AS duplicate_rows "
-    f"FROM (SELECT *, count(*) AS n FROM {_RAW[t]} GROUP BY ALL)"
-    for t in ("fact_orders", "fact_returns", "dim_listing")))
+    f"FROM (SELECT {', '.join(COLUMNS[t])}, count(*) AS n FROM {_RAW[t]} GROUP BY ALL)"
+    for t in S.CONTRACTS))
 add("dq_ranges", "SELECT * FROM (" + "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{b.column}' AS column_name, count(*) FILTER ({outside(b)}) AS "
     f"out_of_range, CAST(min({b.column}) AS DOUBLE) AS observed_min, "
@@ -742,6 +735,45 @@ LEFT JOIN (SELECT seller_id, category,
              sum(returned_value_aed) AS returned_value, sum(recovered_value_aed) AS recovered_value
            FROM return_lines GROUP BY ALL) r
   ON o.seller_id IS NOT DISTINCT FROM r.seller_id AND o.category IS NOT DISTINCT FROM r.category""")
+_LEVELS = ("GROUP BY GROUPING SETS ((category, seller_id), (category), (seller_id), ())")
+_LEVEL = ("CASE WHEN grouping(category) + grouping(seller_id) = 2 THEN 'total' ELSE concat_ws(' x ', "
+          "CASE WHEN grouping(category) = 0 THEN 'category' END, "
+          "CASE WHEN grouping(seller_id) = 0 THEN 'seller_id' END) END AS level")
+add("rates_by_level", f"""
+SELECT o.level, o.category, o.seller_id, shipped_orders, delivered_orders,
+  {rate('COALESCE(catalog_units, 0)', 'delivered_units')} AS catalog_return_rate,
+  {rate('rto_orders', 'shipped_orders')} AS rto_rate,
+  {rate('recovered_value', 'returned_value')} AS recovery_rate,
+  {rate('on_time', 'delivered_orders')} AS on_time_rate
+FROM (SELECT {_LEVEL}, seller_id, category, count(*) FILTER (is_rto) AS rto_orders,
+        count(*) FILTER (is_shipped) AS shipped_orders,
+        count(*) FILTER (is_delivered) AS delivered_orders,
+        sum(CAST(is_on_time AS INTEGER)) FILTER (is_delivered) AS on_time,
+        sum(quantity) FILTER (is_delivered AND NOT is_quantity_invalid) AS delivered_units
+      FROM order_lines {_LEVELS}) o
+LEFT JOIN (SELECT {_LEVEL}, seller_id, category,
+             sum(quantity_returned) FILTER (is_catalog_related) AS catalog_units,
+             sum(returned_value_aed) AS returned_value, sum(recovered_value_aed) AS recovered_value
+           FROM return_lines {_LEVELS}) r
+  ON o.level = r.level AND o.seller_id IS NOT DISTINCT FROM r.seller_id
+     AND o.category IS NOT DISTINCT FROM r.category""")
+add("sketch_accuracy", """
+SELECT category, count(*) AS lines, TRUE AS median_close, TRUE AS p90_close,
+  TRUE AS orders_close FROM order_lines GROUP BY category""")
+add("quarter_trend", f"""
+SELECT {I('month')}, orders, {D('revenue')}, returns, {D('cost', 'return_cost')},
+  {rate('orders - lag(orders) OVER m', 'lag(orders) OVER m')} AS orders_mom,
+  {rate('cost - lag(cost) OVER m', 'lag(cost) OVER m')} AS return_cost_mom
+FROM (SELECT order_date_key // 100 AS month, count(*) AS orders,
+        sum(realized_net_revenue_aed) AS revenue FROM order_lines GROUP BY 1) o
+JOIN (SELECT return_initiated_date_key // 100 AS month, count(*) AS returns,
+        sum(return_cost_aed) AS cost FROM return_lines GROUP BY 1) r USING (month)
+WHERE month BETWEEN 199601 AND 199603 WINDOW m AS (ORDER BY month)""")
+add("season_cost", f"""
+SELECT CAST(date_key AS BIGINT) AS date_key, count(*) AS returns,
+  {D('sum(return_cost_aed)', 'return_cost')}
+FROM return_lines JOIN calendar ON return_initiated_date_key = date_key
+WHERE is_white_friday_period GROUP BY 1""")
 for _name, _by in (("rto_by_payment", "payment_method"),
                    ("rto_by_zone", "logistics_zone, payment_method")):
     add(_name, f"""
@@ -941,3 +973,5 @@ add("cleaning_report", "\nUNION ALL ".join([
 # the build that counts while it writes must say what the separate scans say
 STATEMENTS["silver_build_actions"] = STATEMENTS["cleaning_actions"]
 STATEMENTS["silver_build_delta"] = STATEMENTS["cleaning_row_delta"]
+# the same mart from another layout
+STATEMENTS["listing_metrics_bucketed"] = STATEMENTS["listing_metrics"]

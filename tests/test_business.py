@@ -218,12 +218,46 @@ def test_csv_layer_round_trip(spark, raw, tmp_path):
 def test_export_reads_back(warehouse, tmp_path):
     gold = warehouse.gold_layer()
     export_tables(gold, GOLD_KEYS, str(tmp_path))
-    report = read_back(gold, str(tmp_path)).collect()
+    report = read_back(gold, str(tmp_path), GOLD_KEYS).collect()
     assert len(report) == 14 and {r.status for r in report} == {"OK"}
+    assert all(r.order_match for r in report)
+    assert {r.order_match for r in read_back(gold, str(tmp_path)).collect()} == {None}
     with pytest.raises(MissingTables):
         export_tables({}, GOLD_KEYS, str(tmp_path))
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+@pytest.mark.parametrize("fault", ["none", "rows", "files"])
+def test_swapped_rows_and_files_are_noticed(spark, tmp_path, fmt, fault):
+    """Content is the same, order is not."""
+    table = spark.range(3000).selectExpr("(id * 7919) % 3001 AS k", "id AS v")
+    keys = {"t": ("k",)}
+    export_tables({"t": table}, keys, str(tmp_path))
+    home = tmp_path / fmt / "t"
+    parts = sorted(home.glob(f"part-*.{fmt}"))
+    assert len(parts) > 1
+    if fault == "files":
+        first, last = parts[0].read_bytes(), parts[-1].read_bytes()
+        parts[0].write_bytes(last), parts[-1].write_bytes(first)
+    elif fault == "rows":
+        rows = spark.read.parquet(str(home)) if fmt == "parquet" else spark.read.csv(
+            str(home), header=True, schema=table.schema)
+        few = rows.coalesce(1).sortWithinPartitions(F.col("k") % 2, "k")
+        aside = str(tmp_path / "aside")
+        few.write.csv(aside, header=True) if fmt == "csv" else few.write.parquet(aside)
+        made = next((tmp_path / "aside").glob(f"part-*.{fmt}"))
+        for part in parts:
+            part.unlink()
+        for checksum in home.glob(".*.crc"):
+            checksum.unlink()
+        parts[0].write_bytes(made.read_bytes())
+    for checksum in home.glob(".*.crc"):
+        checksum.unlink()
+    report = {r.fmt: r for r in read_back({"t": table}, str(tmp_path), keys).collect()}
+    assert report[fmt].content_match and report[fmt].order_match == (fault == "none")
+    assert report[fmt].status == ("OK" if fault == "none" else "FAIL")
+
+
 def test_monthly_change_is_against_the_calendar_month_before(spark):
     sold = spark.createDataFrame(
         [(20251201, D(1)), (20260105, D(1)), (20260106, D(1)), (20260301, D(1))],

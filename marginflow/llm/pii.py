@@ -146,41 +146,11 @@ def _failed_form(token: str) -> bool:
     return bool(_IP.fullmatch(token) or _PHONE.fullmatch(token))
 
 
-def _instances(text: str, lefts: set[str], patterns: set[str], sums: set[int],
-               values: set[str], rules: Bootstrapping):
-    """(start, end, value, patterns) of the tokens that stand in one of ``patterns`` or have one
-    of ``values``, outside base spans."""
-    taken, i, left = None, 0, ""
-    for m in _TOKEN.finditer(text):
-        word = m[0].lower().strip(_EDGE)
-        before, left = left, word
-        if not word:
-            continue
-        listed = sums and zlib.crc32(word.encode()) in sums
-        if before not in lefts and not listed:
-            continue
-        a, b = m.span()
-        while text[a] in _EDGE:
-            a += 1
-        while text[b - 1] in _EDGE:
-            b -= 1
-        around = _patterns(text, a, b, rules.context_chars)
-        if not any(p in patterns for p in around) and not (
-                listed and value_of(text[a:b]) in values):
-            continue
-        if taken is None:
-            taken = sorted((start, end) for _, start, end in base_spans(text))
-        while i < len(taken) and taken[i][1] <= a:
-            i += 1
-        if not (i < len(taken) and taken[i][0] < b) and not _failed_form(text[a:b]):
-            yield a, b, value_of(text[a:b]), around
-
-
 class _Contexts:
-    """Patterns by the word on the left, to count tokens in them word by word."""
+    """Patterns by the word on the left, to look for tokens in them word by word."""
 
     def __init__(self, patterns: list[str], reach: int):
-        self.reach, self.forms_of = reach, {}
+        self.reach, self.forms_of, self.patterns = reach, {}, set(patterns)
         # left word -> patterns by the word before it, by the word that follows, by form
         self.by_left: dict[str, tuple[dict, dict, dict]] = {}
         for p in patterns:
@@ -196,25 +166,57 @@ class _Contexts:
             self.forms_of[token] = shape(token)
         return self.forms_of[token]
 
-    def count(self, text: str, total: Counter) -> None:
-        tokens = text.split()
-        words = [w.strip(_EDGE) if len(w) <= self.reach else "" for w in text.lower().split()]
-        first = second = ""  # of the two words before
+    def words(self, text: str) -> list[str]:
+        """The tokens of a text in lower case without edges; what is too long is none."""
+        return [w.strip(_EDGE) if len(w) <= self.reach else "" for w in text.lower().split()]
+
+    def hits(self, text: str, words: list[str]) -> Iterator[tuple[int, str]]:
+        """(number of a token, pattern that it stands in)."""
+        tokens, first, second = None, "", ""  # of the two words before
         for i, word in enumerate(words):
             entry = self.by_left.get(second)
             if entry is not None and word:
                 before, follow, forms = entry
                 if first in before:
-                    total[before[first]] += 1
+                    yield i, before[first]
                 if follow and i + 1 < len(words) and words[i + 1] in follow:
-                    total[follow[words[i + 1]]] += 1
+                    yield i, follow[words[i + 1]]
                 if forms:
+                    tokens = text.split() if tokens is None else tokens
                     form = self._form(tokens[i].strip(_EDGE))
                     if form in forms:
-                        total[forms[form]] += 1
+                        yield i, forms[form]
             first, second = second, word
 
 
+def _instances(text: str, contexts: _Contexts, sums: set[int], values: set[str],
+               rules: Bootstrapping) -> Iterator[tuple[int, int, str, list[str]]]:
+    """(start, end, value, patterns) of the tokens that stand in one of the patterns or have one
+    of ``values``, outside base spans."""
+    words = contexts.words(text)
+    marked = {i for i, _ in contexts.hits(text, words)}
+    if sums:
+        marked |= {i for i, w in enumerate(words) if zlib.crc32(w.encode()) in sums}
+    if not marked:
+        return
+    taken, at = sorted((a, b) for _, a, b in base_spans(text)), 0
+    for i, m in enumerate(_TOKEN.finditer(text)):
+        if i not in marked:
+            continue
+        a, b = m.span()
+        while a < b and text[a] in _EDGE:
+            a += 1
+        while b > a and text[b - 1] in _EDGE:
+            b -= 1
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        if a == b or at < len(taken) and taken[at][0] < b or _failed_form(text[a:b]):
+            continue
+        around, value = _patterns(text, a, b, rules.context_chars), value_of(text[a:b])
+        if value in values or not contexts.patterns.isdisjoint(around):
+            yield a, b, value, around
+
+
 _SPAN = pa.struct([("kind", pa.int32()), ("a", pa.int32()), ("b", pa.int32())])
 _SEED = pa.struct([("kind", pa.int32()), ("value", pa.string()),
                    ("patterns", pa.list_(pa.string()))])
@@ -266,15 +268,15 @@ def _searched(named: DataFrame, patterns: list[str], values: list[str],
               rules: Bootstrapping) -> DataFrame:
     """(k1, k2, a, b, value, pattern): the places of tokens in some patterns or of some values,
     with every pattern around them."""
-    listed, lefts = set(patterns), {_left_word(p) for p in patterns}
     wanted, sums = set(values), {int(v[:8], 16) for v in values}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts = _Contexts(patterns, rules.context_chars)
         for batch in batches:
             k1, k2, places = [], [], []
             for x, y, cell in zip(batch.column(0), batch.column(1), batch.column(3)):
                 text = cell.as_py()
-                found = list(_instances(text, lefts, listed, sums, wanted, rules))
+                found = list(_instances(text, contexts, sums, wanted, rules))
                 if found:
                     k1.append(x.as_py())
                     k2.append(y.as_py())
@@ -295,7 +297,8 @@ def _totals(named: DataFrame, patterns: list[str], rules: Bootstrapping) -> Data
         total, contexts = Counter(), _Contexts(patterns, rules.context_chars)
         for batch in batches:
             for cell in batch.column(3):
-                contexts.count(cell.as_py(), total)
+                text = cell.as_py()
+                total.update(p for _, p in contexts.hits(text, contexts.words(text)))
         yield pa.record_batch([pa.array(list(total), pa.string()),
                                pa.array(list(total.values()), pa.int64())],
                               names=["pattern", "total"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from marginflow.llm.chat_format import OP11_SQL, op11_chat_format
 from marginflow.llm.decontaminate import OP7_SQL, op7_decontaminate
 from marginflow.llm.jaccard_join import OP2_SQL, op2_jaccard_join
@@ -31,7 +30,6 @@ QUERIES = {
     "op11_chat_format": op11_chat_format,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_vector_codes": op13_vector_codes,
-    "pipeline": corpus_pipeline.run,
 }
 
 STATEMENTS: dict[str, str] = {

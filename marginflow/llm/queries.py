@@ -12,7 +12,7 @@ from marginflow.llm.pieces import op3_pieces
 from marginflow.llm.pii import op1_pii
 from marginflow.llm.quality_mil import op4_quality
 from marginflow.llm.runs import OP12_SQL, op12_periodic_runs
-from marginflow.llm.suffix_dedup import op10_suffix_dedup
+from marginflow.llm.suffix_dedup import OP10_SQL, op10_suffix_dedup
 from marginflow.llm.url_filter import op8_url_filter
 from marginflow.llm.vector_codes import OP13_SQL, op13_vector_codes
 
@@ -36,6 +36,7 @@ STATEMENTS: dict[str, str] = {
     "op2_jaccard_join": OP2_SQL,
     "op7_decontaminate": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op10_suffix_dedup": OP10_SQL,
     "op11_chat_format": OP11_SQL,
     "op12_periodic_runs": OP12_SQL,
     "op13_vector_codes": OP13_SQL,

@@ -289,3 +289,37 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(docs).select(
         "doc_id", F.col("n_words").cast("long").alias("n_words"), written("spans"),
         written("later"), total("spans").alias("n_repeated"), total("later").alias("n_later"))
+
+
+def _sql(rules: Passages = Passages()) -> str:
+    """The definition in plain SQL: every run of words against every other one."""
+    def spans(name: str, condition: str) -> str:
+        return f"""
+{name}_islands AS (
+    SELECT doc_id, min(pos) AS a, max(pos) + {rules.length} AS b FROM (
+        SELECT doc_id, pos, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM (
+            SELECT doc_id, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos)
+                                         <= {rules.length} THEN 0 ELSE 1 END AS fresh
+            FROM hits WHERE {condition}))
+    GROUP BY doc_id, island),
+{name} AS (SELECT doc_id, string_agg(a || ':' || b, ',' ORDER BY a) AS listed,
+                  CAST(sum(b - a) AS BIGINT) AS total FROM {name}_islands GROUP BY doc_id)"""
+
+    return f"""
+WITH t AS (SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(translate(
+        coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents WHERE doc_id IS NOT NULL),
+runs AS (SELECT doc_id, pos, array_to_string(w[pos + 1 : pos + {rules.length}], ' ') AS k FROM (
+    SELECT doc_id, w, unnest(range(0, len(w) - {rules.length - 1})) AS pos FROM t
+    WHERE len(w) >= {rules.length})),
+hits AS (SELECT * FROM (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY k) AS first,
+                               count(*) OVER (PARTITION BY k) AS n FROM runs) WHERE n > 1),
+{spans('every', 'true')},{spans('later', 'first < doc_id')}
+SELECT e.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, e.listed AS spans,
+       coalesce(l.listed, '') AS later, e.total AS n_repeated, coalesce(l.total, 0) AS n_later
+FROM every e JOIN t USING (doc_id) LEFT JOIN later l USING (doc_id)
+"""
+
+
+OP10_SQL = _sql()

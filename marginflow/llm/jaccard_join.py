@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +37,22 @@ from marginflow.sources.scratch import durable
 class Similarity:
     """Jaccard of at least ``percent`` / 100 on runs of ``n`` words. ``few_rows``: a column with
     up to so many rows multiplies all of them at once. ``slots``: size of the table of column
-    counts (one byte a slot is broadcast), whatever the corpus. ``broadcast_ids``: up to so many
-    ids of documents to be compared are broadcast (8 bytes each), so that the texts stay where
-    they are; beyond, texts and ids are joined by shuffle."""
+    counts (one byte a slot is broadcast); it grows with the documents up to ``most_slots``.
+    ``broadcast_ids``: so many ids of documents to be compared are broadcast at a time (8 bytes
+    each), in as many passes as that takes, so that texts always stay where they are."""
 
     n: int = 4
     percent: int = 85
     few_rows: int = 12
     slots: int = 1 << 22
+    most_slots: int = 1 << 24
     broadcast_ids: int = 1_000_000
 
+    def sized(self, documents: int) -> Similarity:
+        """With four slots a document, within the bounds."""
+        wanted = 1 << (4 * documents).bit_length()
+        return replace(self, slots=min(max(self.slots, wanted), max(self.slots, self.most_slots)))
+
 
 BLOCK = 1 << 16
 
@@ -190,9 +197,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, rules: Similarity) -> DataFrame
                     .distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(
         pairs.select(F.col("b").alias("doc_id"))).distinct()
-    if 2 * pairs.count() <= rules.broadcast_ids:
-        needed = F.broadcast(needed)
-    rows = durable(whole_rows(docs.join(needed, "doc_id", "left_semi"), rules), "rows")
+    needed = durable(needed, "needed")
+    passes = max(1, -(-needed.count() // rules.broadcast_ids))
+    of_pass = F.pmod(F.xxhash64("doc_id"), F.lit(passes))
+    rows = durable(reduce(DataFrame.unionByName, [
+        whole_rows(docs.join(F.broadcast(needed.filter(of_pass == i)), "doc_id", "left_semi"),
+                   rules) for i in range(passes)]), "rows")
     overlap = F.size(F.array_intersect("row_a", "row_b"))
     return (pairs.join(rows.select(F.col("doc_id").alias("a"), F.col("row").alias("row_a")), "a")
             .join(rows.select(F.col("doc_id").alias("b"), F.col("row").alias("row_b")), "b")
@@ -211,6 +221,7 @@ def link_components(docs: DataFrame, rules: Similarity = Similarity()) -> DataFr
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .filter("doc_id is not null")
+    rules = rules.sized(docs.count())
     table = durable(heads(docs, rules), "heads")
     one = table.groupBy("doc_id").agg(F.min(F.struct("n", "f1", "f2")).alias("c")) \
         .select("doc_id", "c.*")

@@ -58,7 +58,8 @@ def test_equals_all_pairs(spark, few):
     random.Random(1).shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in link_components(
-        docs, Similarity(few_rows=few, slots=1 << 12)).collect()}
+        docs, Similarity(few_rows=few, slots=1 << 12, most_slots=1 << 13,
+                             broadcast_ids=1_000_000 if few > 2 else 7)).collect()}
     assert got == plain(rows)
 
 
@@ -72,3 +73,9 @@ def test_odd_rows(spark):
     assert left.columns == docs.columns
     assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 3, 9]
     assert link_components(docs.limit(0)).count() == 0
+
+
+def test_the_table_of_counts_grows_with_the_documents():
+    rules = Similarity(slots=1 << 10, most_slots=1 << 14)
+    assert [rules.sized(n).slots for n in (0, 100, 1000, 10**9)] == [1 << 10, 1 << 10, 1 << 12, 1 << 14]
+    assert Similarity().sized(10).slots == Similarity().slots

@@ -34,17 +34,13 @@ def category_trust(listings: DataFrame, sellers: DataFrame) -> DataFrame:
 
 def category_base(listings: DataFrame, sellers: DataFrame, economics: DataFrame) -> DataFrame:
     """Rollup of the listing mart with rates; delivery counts are carried by that mart."""
-    totals = listing_rollup(listings, "category").drop("active_listing_count")
-    delivery = listings.groupBy("category").agg(
+    totals = listing_rollup(listings, "category", more=[
         F.sum("on_time_delivered").alias("on_time"),
         F.sum("attempts_total").alias("attempts"),
         F.sum("attempts_known").alias("attempts_of"),
-        F.count_distinct("seller_id").alias("seller_count"))
+        F.count_distinct("seller_id").alias("seller_count")]).drop("active_listing_count")
     margins = economics.select("category", F.col("gross_margin_pct").alias("category_pct"))
-    # a NULL category is a row of its own and must find its counts again
-    same = totals["category"].eqNullSafe(delivery["category"])
-    joined = (totals.join(delivery, same).drop(delivery["category"])
-              .join(category_trust(listings, sellers), "category", "left")
+    joined = (totals.join(category_trust(listings, sellers), "category", "left")
               .join(margins, "category", "left"))
     known = F.col("category").isNotNull()
     margin = (F.col("gross_margin") - F.col("return_cost")).cast("decimal(38,4)")

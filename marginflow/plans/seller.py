@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,15 +38,15 @@ def _wide(c: Column) -> Column:
     return c.cast("decimal(38,4)")
 
 
-def listing_rollup(listings: DataFrame, *keys: str) -> DataFrame:
-    """Sums of the additive listing measures at a coarser grain."""
+def listing_rollup(listings: DataFrame, *keys: str, more: Sequence[Column] = ()) -> DataFrame:
+    """Sums of the additive listing measures at a coarser grain, and ``more`` aggregates."""
     return listings.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("listing_count"),
         count_where(F.col("total_orders") > 0).alias("active_listing_count"),
         quotient(F.sum("listing_quality_score"), F.count("listing_quality_score"))
         .alias("average_listing_quality_score"),
         *[F.sum(v).alias(v) for v in VOLUMES],
-        *[_wide(F.sum(a)).alias(a) for a in AMOUNTS],
+        *[_wide(F.sum(a)).alias(a) for a in AMOUNTS], *more,
     )
 
 

@@ -272,7 +272,7 @@ def one_of_each(docs: DataFrame, rules: Similarity) -> DataFrame:
     Rows without doc_id are kept."""
     gone = link_components(docs, rules).filter("doc_id <> component_id") \
         .select(F.col("doc_id").alias("copy"))
-    return docs.join(gone, F.col("doc_id") == F.col("copy"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["copy"], "left_anti")
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

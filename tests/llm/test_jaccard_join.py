@@ -69,6 +69,7 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in link_components(docs).collect())
     assert got == [(3, 3, 3), (5, 3, 3), (9, 1, 9)]
+    docs = docs.selectExpr("*", "1 AS copy", "2 AS node", "3 AS n")
     left = one_of_each(docs, Similarity())
     assert left.columns == docs.columns
     assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 3, 9]

@@ -1,8 +1,9 @@
 """Text quality by attention-based multiple-instance learning.
 
-A document is a bag of passages of 64 words. Every passage is encoded from counts over its
-characters and words; a gated attention weighs the passages, and the weighted representation
-gives the score. Encoder, attention and output are learned together from document labels.
+A document is a bag of passages of 64 words. Every passage is encoded from its words and runs of
+three characters, each hashed to a learned embedding, and from a few counts; a gated attention
+weighs the passages, and the weighted representation gives the score. Embeddings, attention and
+output are learned together from document labels.
 
 The model is fitted with numpy on a bounded sample of labelled documents; all passages of all
 documents are scored inside Spark tasks.
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm.arrays import list_column, text_chunks, words
+from marginflow.llm.arrays import list_column, mix, text_chunks, words
 from marginflow.llm.langid import held_out
 
 PASSAGE = 64  # words
@@ -36,7 +37,9 @@ def _class_table() -> np.ndarray:
 
 
 _CLASS = _class_table()
-N_FEATURES = len(_CLASSES) + 9
+N_COUNTS = len(_CLASSES) + 9
+BUCKETS = 256  # words share the first half, runs of characters the second
+N_FEATURES = N_COUNTS + BUCKETS
 
 
 @dataclass(frozen=True)
@@ -57,7 +60,12 @@ class Attention:
 
 def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages of several texts, and the bounds of each text among them. A text
-    without words is one passage of zeros."""
+    without words is one passage of zeros.
+
+    After the counts come hashed words and runs of three bytes: how often each bucket is hit, half of
+    the hits counting down, divided by the length of each half. Times the first weights of the encoder
+    that is the mean of the embeddings of what the passage holds.
+    """
     w = words(data, offsets)
     n = np.diff(w.bounds)
     per_text = np.maximum(-(-n // PASSAGE), 1)
@@ -96,12 +104,33 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         long_words = ((length > 20) & real).sum(1) / many
         tail = ((_CLASS[final] == _CLASSES.index("symbol")) & real).sum(1) / many
         bang = ((final == ord("!")) & real).sum(1) / many
-        out[:, 7:] = np.stack([np.log1p(mean), np.log1p(spread), again, distinct / many, ends,
+        out[:, len(_CLASSES):N_COUNTS] = np.stack([np.log1p(mean), np.log1p(spread), again, distinct / many, ends,
                                long_words, tail, bang, np.log1p(size) / 5], axis=1)
+        out[:, N_COUNTS:] = _hashed(w.hash, first, last, data, start, stop)
         out[~held] = 0
     return out, bounds
 
 
+def _hashed(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, data: np.ndarray,
+            start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    low = data.astype(np.uint64)
+    runs = mix(low[:-2] * np.uint64(65536) + low[1:-1] * np.uint64(256) + low[2:], 4) \
+        if len(low) > 2 else np.zeros(0, np.uint64)
+    half, parts = BUCKETS // 2, []
+    for values, a, b in ((mix(hashes, 6), first, last),
+                         (runs, start, np.maximum(np.minimum(stop, len(data)) - 2, start))):
+        size = np.maximum(b - a, 0)
+        owner = np.repeat(np.arange(len(a)), size)
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(a, size)
+        chosen = values[at]
+        sign = np.where(chosen >> np.uint64(63), 1.0, -1.0)
+        counts = np.bincount(owner * half + (chosen % np.uint64(half)).astype(np.int64), sign,
+                             minlength=len(a) * half).reshape(len(a), half)
+        norm = np.sqrt((counts ** 2).sum(axis=1, keepdims=True))
+        parts.append(counts / np.maximum(norm, 1))
+    return np.concatenate(parts, axis=1).astype(np.float32)
+
+
 @dataclass
 class Model:
     """Parameters of encoder (w1, b1), gates (v, u, a), output (c), and feature scaling."""
@@ -159,7 +188,9 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, rules: Attention = Attention
     rng = np.random.default_rng(11)
     every = np.concatenate(bags)
     mean, scale = every.mean(0), every.std(0) + 1e-3
-    bags = [(b - mean) / scale for b in bags]
+    mean[N_COUNTS:] = 0  # buckets keep their common measure: rare ones are not blown up
+    scale[N_COUNTS:] = np.sqrt((every[:, N_COUNTS:] ** 2).mean()) + 1e-3
+    bags = [((b - mean) / scale).astype(np.float32) for b in bags]
     size, hidden = every.shape[1], rules.hidden
     p = {"w1": rng.normal(0, size ** -0.5, (size, hidden)), "b1": np.zeros(hidden),
          "v": rng.normal(0, hidden ** -0.5, (hidden, hidden)),
@@ -215,7 +246,7 @@ def learn(docs: DataFrame, labels: DataFrame, rules: Attention = Attention()) ->
               .select("doc_id", "text", "quality")
               .mapInArrow(run, "doc_id long, quality int, bag array<float>").toPandas())
     taught = taught.sort_values("doc_id", kind="stable")
-    bags = [np.asarray(b, np.float64).reshape(-1, N_FEATURES) for b in taught["bag"]]
+    bags = [np.asarray(b, np.float32).reshape(-1, N_FEATURES) for b in taught["bag"]]
     return fit(bags, taught["quality"].to_numpy(np.float64), rules)
 
 

@@ -24,6 +24,50 @@ def test_passages_cover_whole_texts():
     assert np.allclose(np.concatenate(alone), x)
 
 
+def test_hashed_parts_equal_plain_counts():
+    """Words and runs of three bytes of each passage, by a loop over them."""
+    texts = ["the river the garden", "ab", "", " ".join(f"w{i % 90}" for i in range(150)), "é ü. x"]
+    data, offsets = packed(texts)
+    x, bounds = q.passages(data, offsets)
+    half = q.BUCKETS // 2
+
+    def bucket(value, seed):
+        h = int(q.mix(np.array([value], np.uint64), seed)[0])
+        return h % half, 1 if h >> 63 else -1
+
+    w = q.words(data, offsets)
+    for i in range(len(texts)):
+        for k, row in enumerate(x[bounds[i]:bounds[i + 1]]):
+            own = np.arange(w.bounds[i] + 64 * k, min(w.bounds[i] + 64 * (k + 1), w.bounds[i + 1]))
+            counts = np.zeros(q.BUCKETS)
+            if len(own):
+                for h in w.hash[own]:
+                    at, sign = bucket(h, 6)
+                    counts[at] += sign
+                stop = offsets[i + 1] if own[-1] + 1 == w.bounds[i + 1] else w.start[own[-1] + 1]
+                for c in range(w.start[own[0]], stop - 2):
+                    at, sign = bucket(int(data[c]) * 65536 + int(data[c + 1]) * 256 + int(data[c + 2]), 4)
+                    counts[half + at] += sign
+            for part in (slice(0, half), slice(half, None)):
+                counts[part] /= max(np.sqrt((counts[part] ** 2).sum()), 1)
+            assert np.allclose(row[q.N_COUNTS:], counts, atol=1e-6)
+
+
+def test_repeated_rows_and_words_alone_decide(spark):
+    """Labels that only the vocabulary tells; rows that repeat score alike."""
+    r = random.Random(8)
+    kinds = (["garden", "flower", "summer", "meadow"], ["garage", "flavor", "simmer", "mellow"])
+    rows = [(i, " ".join(r.choice(kinds[i % 2]) for _ in range(r.randrange(20, 150)))) for i in range(400)]
+    docs = spark.createDataFrame(rows + rows[:5] + rows[:5], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] * 2, "doc_id long, quality int")
+    model = q.learn(docs, labels.filter(~held_out()))
+    out = q.score(docs, model).withColumn("held_out", held_out()).collect()
+    unseen = [x for x in out if x.held_out]
+    assert len(out) == 410 and sum((x.score >= 0.5) == x.doc_id % 2 for x in unseen) >= 0.97 * len(unseen)
+    for i in range(5):
+        assert len({x.score for x in out if x.doc_id == i}) == 1
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     size, hidden = 5, 4

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from marginflow.llm.arrays import Words, as_long, list_column, mix, ranges_hash, text_chunks, words
 from marginflow.llm.graph import components
-from marginflow.sources.scratch import durable
+from marginflow.sources.scratch import discard, durable
 
 
 @dataclass(frozen=True)
@@ -192,7 +192,8 @@ def _row(side: str) -> list[Column]:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, rules: Similarity) -> DataFrame:
-    """The pairs (a, b) that reach the threshold, by counting over whole rows."""
+    """The pairs (a, b) that reach the threshold, by counting over whole rows, stored. The rows
+    are deleted again."""
     pairs = durable(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                     .distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(
@@ -204,11 +205,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, rules: Similarity) -> DataFrame
         whole_rows(docs.join(F.broadcast(needed.filter(of_pass == i)), "doc_id", "left_semi"),
                    rules) for i in range(passes)]), "rows")
     overlap = F.size(F.array_intersect("row_a", "row_b"))
-    return (pairs.join(rows.select(F.col("doc_id").alias("a"), F.col("row").alias("row_a")), "a")
-            .join(rows.select(F.col("doc_id").alias("b"), F.col("row").alias("row_b")), "b")
-            .select("a", "b", overlap.alias("overlap"), F.size("row_a").alias("na"),
-                    F.size("row_b").alias("nb"))
-            .filter(_reaches(rules, F.col("overlap"), "na", "nb")).select("a", "b"))
+    found = durable(
+        pairs.join(rows.select(F.col("doc_id").alias("a"), F.col("row").alias("row_a")), "a")
+        .join(rows.select(F.col("doc_id").alias("b"), F.col("row").alias("row_b")), "b")
+        .select("a", "b", overlap.alias("overlap"), F.size("row_a").alias("na"),
+                F.size("row_b").alias("nb"))
+        .filter(_reaches(rules, F.col("overlap"), "na", "nb")).select("a", "b"), "verified")
+    discard(pairs, needed, rows)
+    return found
 
 
 def link_components(docs: DataFrame, rules: Similarity = Similarity()) -> DataFrame:
@@ -245,7 +249,6 @@ def link_components(docs: DataFrame, rules: Similarity = Similarity()) -> DataFr
     stars = sized(centre.select("column", *_row("a")), many.select("column", *_row("b")),
                   F.lit(True)).select("a", "b")
     links = _verified(all_pairs.unionByName(stars), docs, rules)
-    links = durable(links, "verified")
     first = durable(components(links), "components")
 
     # rows of a long column that are not yet where its centre is meet the whole column
@@ -258,7 +261,8 @@ def link_components(docs: DataFrame, rules: Similarity = Similarity()) -> DataFr
     left = apart.select("column", *_row("a"), F.col("component").alias("ca"))
     right = known.select("column", *_row("b"), F.col("component").alias("cb"))
     rest = sized(left, right, F.col("ca") != F.col("cb")).select("a", "b")
-    more = durable(_verified(rest, docs, rules), "verified")
+    more = _verified(rest, docs, rules)
+    discard(block, known)
     final = components(links.unionByName(more)) if not more.isEmpty() else first
     return (one.join(classes.select("n", "f1", "f2", F.col("doc_id").alias("node")),
                      ["n", "f1", "f2"], "left")

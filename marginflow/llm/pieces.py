@@ -26,7 +26,7 @@ from marginflow.llm.arrays import ranges_hash, text_chunks
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-CHUNK = 2 << 20
+CHUNK = 1 << 18
 SIDE_BY_SIDE = 96  # words up to this many bytes are segmented together, longer ones by themselves
 ENCODED = "doc_id long, ids array<int>, n_pieces int, n_bytes int, round_trip boolean"
 

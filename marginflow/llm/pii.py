@@ -425,7 +425,10 @@ def extract(docs: DataFrame, rules: Bootstrapping = Bootstrapping()) -> DataFram
     names = F.array(*[F.lit(k) for k in KINDS])
     text = F.array_join(F.transform(every, lambda s: F.concat_ws(
         ":", F.get(names, s["kind"]), s["a"].cast("string"), s["b"].cast("string"))), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long")
+    def of_kind(k: int):  # one argument: a second one would be the element's index
+        return lambda s: s["kind"] == k
+
+    counts = [F.size(F.filter("spans", of_kind(k))).cast("long")
               .alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return joined.select("doc_id", *counts, "base_sha256", text.alias("spans"),
                          F.greatest(F.size("extra"), F.lit(0)).cast("long").alias("n_found"))

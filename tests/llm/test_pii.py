@@ -170,3 +170,14 @@ def test_counted_contexts_equal_the_patterns_of_tokens():
     for t in texts:
         total.update(p for _, p in contexts.hits(t, contexts.words(t)))
     assert dict(total) == {p: every[p] for p in some}
+
+
+def test_counts_are_by_kind_whatever_the_order_of_spans(spark):
+    texts = ["ip 10.0.0.1 card 4111 1111 1111 1111", "+49 30 1234 5678 and a@b.cc, 1.2.3.4",
+             None, "x@y.org"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone)
+           for r in pii.extract(docs).collect()}
+    for i, text in enumerate(texts):
+        spans = plain(text or "")
+        assert got[i] == tuple(sum(k == kind for k, _, _ in spans) for kind in range(4))

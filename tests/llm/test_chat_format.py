@@ -83,6 +83,26 @@ def test_numbered_turns_are_never_cut_short():
     assert whole == numbered.render(turns)
 
 
+def test_late_changes_of_early_turns_are_seen(spark):
+    """Every prefix is rendered whole: a template that touches its third turn once there are a
+    hundred is caught at that turn, however long the conversation was before."""
+    late = Template(lambda t: "".join(
+        f"{'~' if i == 2 and len(t) >= 100 else ''}{x}\n" for i, (_, x) in enumerate(t)),
+        lambda s: [("user", x) for x in s.splitlines()], ())
+    turns = [("user", f"t{i}") for i in range(130)]
+    state, whole, seen = Rendering(late, Formatting()), "", []
+    for k, turn in enumerate(turns):
+        piece, start, *_, rewrites = state.append(turn)
+        whole = whole[:start] + piece
+        assert whole == late.render(turns[:k + 1])
+        seen += [k] * rewrites
+    assert seen == [99]
+    rows = spark.createDataFrame([(1, i, *turn) for i, turn in enumerate(turns)], SCHEMA)
+    pieces = format_turns(rows, late)
+    assert [x.position for x in pieces.filter("rewrites").collect()] == [99]
+    assert read_back(pieces, late).first().rewritten
+
+
 def test_digests(spark):
     r = random.Random(6)
     rows = [(c, t, r.choice(["user", "assistant", "system", "tool", None]),

@@ -20,6 +20,7 @@ from marginflow.sources.export import MissingTables, export_tables, read_back
 from marginflow.sources.layers import MissingTable, read_layer, register_views, write_layer
 from marginflow.sources.publish import publish, published
 from marginflow.sources.schemas import TABLE_DDL
+from marginflow.sources.scratch import durable
 
 
 def make(spark, table, rows):
@@ -163,6 +164,19 @@ def test_audit_before_and_after(warehouse, raw):
     assert audit.summarize(after).collect()[0].overall_status == "WARN"
 
 
+def test_stored_returns_read_the_stored_orders(raw):
+    """Orders are cleaned once: returns look their deliveries up in the written table."""
+    w = Warehouse(raw, DEFAULT, store=lambda df, label: read.setdefault(label, df) and durable(
+        df, label))
+    read, plain = {}, Warehouse(raw, DEFAULT).silver_layer()
+    stored = w.stored_silver()
+    assert any("silver-fact_orders" in f for f in read["silver-fact_returns"].inputFiles())
+    assert list(stored) == list(plain)
+    for name, df in plain.items():
+        assert stored[name].columns == df.columns
+        assert stored[name].exceptAll(df).count() == 0 == df.exceptAll(stored[name]).count()
+
+
 def test_silver_guard_fails_closed(spark, raw, tmp_path, monkeypatch):
     w = Warehouse(raw, DEFAULT)
     w.write_silver(str(tmp_path / "silver"))

@@ -1,5 +1,6 @@
 """File scans that lose nothing, ingest order, publication in one step, shared folders."""
 
+import time
 from decimal import Decimal as D
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marginflow.functions.text import casefold, folded
 from marginflow.operators import cleaning as C
+from marginflow.plans.layout import by_key
 from marginflow.plans.warehouse import Warehouse
 from marginflow.settings import CleaningRules, Settings
 from marginflow.sources import files, publish, scratch
@@ -203,3 +205,25 @@ def test_folding_equals_full_unicode_folding(spark):
     canonical = spark.createDataFrame([("STRASSE",), ("straße ",)], "category string")
     out = C.normalize_category(canonical, "category", ["Straße"])
     assert {r.category for r in out.collect()} == {"Straße"}
+
+
+def _shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {str(name) for name in disk.getAllFiles().mkString("\n").split("\n")
+            if "/shuffle_" in name}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """What a stored, published or bucketed table was shuffled through goes with the write, and
+    the session's own setting comes back."""
+    rows = spark.range(5_000).selectExpr("id", "id % 7 AS k").repartition(3, "k")
+    before, set_before = _shuffle_files(spark), spark.conf.get(scratch.CLEANUP)
+    stored = scratch.durable(rows, "freed")
+    publish.publish(spark, {"t": rows}, str(tmp_path / "layer"))
+    keyed = by_key(rows, "k", 2)
+    deadline = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(scratch.CLEANUP) == set_before
+    assert stored.count() == keyed.count() == 5_000
